@@ -30,7 +30,7 @@ from layerloom.operators import metrics as m  # noqa: E402
 from layerloom.operators.align import union_aligned  # noqa: E402
 from layerloom.operators.audit import row_counts, table_report  # noqa: E402
 from layerloom.operators.limits import preview  # noqa: E402
-from layerloom.operators.skew import hot_keys  # noqa: E402
+from layerloom.operators.skew import find_hot  # noqa: E402
 from layerloom.operators.upsert import anti_unchanged, merge_into, upsert  # noqa: E402
 from layerloom.plans import bronze, gold, pipeline, serving, silver  # noqa: E402
 from layerloom.schemas import POST_COLUMNS, USER_COLUMNS_NARROW, USERS  # noqa: E402
@@ -164,22 +164,22 @@ def cast_reputation(spark, sf):
 
 def anti_unchanged_query(spark, sf):
     known = parse_dates(fx.users(spark, sf))
-    return anti_unchanged(known, fx.users_batch(spark, sf), ["Id"], hot_keys(known, ["Id"]))
+    return anti_unchanged(known, fx.users_batch(spark, sf), ["Id"], find_hot(known, ["Id"]))
 
 
 def upsert_users(spark, sf):
     known = _known_users(spark, sf)
-    return upsert(known, _new_users(spark, sf), ["Id"], hot_keys(known, ["Id"]))
+    return upsert(known, _new_users(spark, sf), ["Id"], find_hot(known, ["Id"]))
 
 
 def upsert_users_schema_drift(spark, sf):
     known = _known_users(spark, sf)
-    return upsert(known, _new_users(spark, sf, about=True), ["Id"], hot_keys(known, ["Id"]))
+    return upsert(known, _new_users(spark, sf, about=True), ["Id"], find_hot(known, ["Id"]))
 
 
 def upsert_posts(spark, sf):
     known = fx.posts(spark, sf)
-    return merge_into(known, fx.posts_batch(spark, sf), ["Id"], hot_keys(known, ["Id"]))
+    return merge_into(known, fx.posts_batch(spark, sf), ["Id"], find_hot(known, ["Id"]))
 
 
 def upsert_gold(spark, sf):
@@ -261,7 +261,7 @@ def agg_owner_metrics(spark, sf):
 
 def join_owner_users(spark, sf):
     users = fx.users(spark, sf)
-    return gold.with_users(agg_count(spark, sf), users, hot_keys(users, ["Id"]))
+    return gold.with_users(agg_count(spark, sf), users, find_hot(users, ["Id"]))
 
 
 def gold_post_counts(spark, sf):

@@ -73,6 +73,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Do not record the Python call site of every column expression while plans are built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -29,17 +29,19 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False) -> Da
     schema does not name are dropped unless ``keep_extra`` is set.
     """
     have = dict(df.dtypes)
+    declared = {f.name: f.dataType.simpleString() for f in schema}
+    if all(have.get(n) == t for n, t in declared.items()):
+        return df if keep_extra else df.select(*declared)
     out = []
     for f in schema:
         if f.name not in have:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif have[f.name] == f.dataType.simpleString():
+        elif have[f.name] == declared[f.name]:
             out.append(F.col(f.name))
         elif f.nullable:
             out.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
         else:
             out.append(F.col(f.name).cast(f.dataType).alias(f.name))
     if keep_extra:
-        declared = set(schema.fieldNames())
         out += [F.col(n) for n in df.columns if n not in declared]
     return df.select(*out)

@@ -32,12 +32,11 @@ def hot_keys(
     """The most frequent keys above ``rows_per_split`` rows, with the number of splits each needs.
 
     Reads the key columns only; counts are combined before the shuffle, so a hot key costs one row
-    per task. The result has at most ``max_keys`` rows whatever the size of ``df``.
+    per task. The result has at most ``max_keys`` rows whatever the size of ``df``. Null counts as
+    a key.
     """
     return (
-        df.select(*keys)
-        .na.drop(subset=list(keys))
-        .groupBy(*keys)
+        df.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > rows_per_split)
         .orderBy(F.col("_rows").desc(), *keys)
@@ -46,6 +45,22 @@ def hot_keys(
     )
 
 
+def find_hot(
+    df: DataFrame,
+    keys: Sequence[str],
+    rows_per_split: int = ROWS_PER_SPLIT,
+    max_keys: int = MAX_HOT_KEYS,
+) -> DataFrame | None:
+    """``hot_keys``, looked up now; ``None`` when no key is hot, as is usual.
+
+    Knowing this before the join is planned keeps the salt, and the shuffle it needs, out of plans
+    that have no use for it. At most ``max_keys`` keys come to the driver.
+    """
+    hot = hot_keys(df, keys, rows_per_split, max_keys)
+    found = hot.collect()
+    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
+
+
 def _splits(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     # The broadcast side is bounded by MAX_HOT_KEYS rows of keys, see hot_keys.
     marked = df.join(F.broadcast(hot), list(keys), "left")
@@ -72,15 +87,9 @@ def repeat(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
 
 
 def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Rows of ``left`` whose key is not in ``right``, with the hot keys of ``left`` spread.
-
-    ``right`` is cut down to its distinct keys before it moves, so copies there cost nothing.
-    """
-    wanted = right.select(*keys).na.drop(subset=list(keys)).distinct()
-    kept = spread(left, keys, hot).join(
-        repeat(wanted, keys, hot).drop(SPLITS), [*keys, SALT], "left_anti"
-    )
-    return kept.select(*left.columns)
+    """Rows of ``left`` whose key is not among the distinct keys ``right``, hot keys spread."""
+    wanted = repeat(right, keys, hot).drop(SPLITS)
+    return spread(left, keys, hot).join(wanted, [*keys, SALT], "left_anti").select(*left.columns)
 
 
 def left_join(

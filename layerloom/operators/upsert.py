@@ -19,14 +19,15 @@ def anti_unchanged(
 ) -> DataFrame:
     """Existing rows the batch does not replace, in their own column order.
 
-    A null key equals nothing, so such rows are always kept. Spark broadcasts the batch's keys when
-    their size is below its threshold; otherwise both sides are shuffled, and ``hot``
-    (``skew.hot_keys`` of ``existing``) keeps a key with very many rows from landing in one task.
+    A null key equals nothing, so such rows are always kept. Only the batch's distinct keys take
+    part, and copies are dropped before they are shuffled. Spark broadcasts them when their size is
+    below its threshold; otherwise both sides are shuffled, and ``hot`` (``skew.find_hot`` of
+    ``existing``) keeps a key with very many rows from landing in one task.
     """
+    replaced = incoming.select(*keys).na.drop(subset=list(keys)).distinct()
     if hot is not None:
-        return skew.anti_join(existing, incoming, keys, hot)
-    kept = existing.join(incoming.select(*keys), list(keys), "left_anti")
-    return kept.select(*existing.columns)
+        return skew.anti_join(existing, replaced, keys, hot)
+    return existing.join(replaced, list(keys), "left_anti").select(*existing.columns)
 
 
 def upsert(

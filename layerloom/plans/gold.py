@@ -29,7 +29,7 @@ def with_users(metrics: DataFrame, users: DataFrame, hot: DataFrame | None = Non
     """Add user attributes; owners without a user row keep nulls, repeated users repeat the row.
 
     ``metrics`` has one row per owner, so only the user side can be lopsided: ``hot``
-    (``skew.hot_keys`` of the users' ``Id``) spreads an Id that holds very many rows. No broadcast
+    (``skew.find_hot`` of the users' ``Id``) spreads an Id that holds very many rows. No broadcast
     is forced; Spark broadcasts the users when their size is below its threshold.
     """
     attributes = user_attributes(users)
@@ -44,7 +44,7 @@ def with_users(metrics: DataFrame, users: DataFrame, hot: DataFrame | None = Non
 
 def post_counts_by_user(posts: DataFrame, users: DataFrame) -> DataFrame:
     """Aggregate first, join second: the join sees one row per owner instead of every post."""
-    return with_users(owner_metrics(posts), users, skew.hot_keys(users, ["Id"]))
+    return with_users(owner_metrics(posts), users, skew.find_hot(users, ["Id"]))
 
 
 def build_gold(spark: SparkSession, cfg: Config, on: date | None = None) -> DataFrame:

@@ -36,11 +36,19 @@ def gold_from_silver(posts: DataFrame, users: DataFrame) -> DataFrame:
     """
     measures = served_measures()
     per_owner = owned(posts).groupBy(OWNER).agg(*(m.alias(n) for n, m in measures.items()))
-    people = users.groupBy(F.col("Id").alias("UserId"), "DisplayName", "Location").agg(
+    hot = skew.find_hot(users, ["Id"])
+    # Without a hot Id, one shuffle by Id serves both the grouping and the join. With one, its
+    # copies are combined before they move, and what is left of it is spread.
+    placed = users.repartition("Id") if hot is None else users
+    people = placed.groupBy(F.col("Id").alias("UserId"), "DisplayName", "Location").agg(
         F.count("*").alias("_copies")
     )
-    hot = skew.hot_keys(users, ["Id"]).withColumnRenamed("Id", "UserId")
-    joined = skew.left_join(per_owner, people, OWNER, "UserId", hot)
+    if hot is None:
+        joined = per_owner.join(people, F.col(OWNER) == F.col("UserId"), "left")
+    else:
+        joined = skew.left_join(
+            per_owner, people, OWNER, "UserId", hot.withColumnRenamed("Id", "UserId")
+        )
     copies = F.coalesce("_copies", F.lit(1))
     return joined.select(
         OWNER, *((F.col(n) * copies).alias(n) for n in measures), "DisplayName", "Location"

@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))
         .config("spark.checkpoint.dir", str(root / "shared"))
         .getOrCreate()

@@ -1,0 +1,103 @@
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import fixtures as fx
+from conftest import SF_SMALL
+from layerloom.functions.casts import conform
+from layerloom.operators import skew
+from layerloom.operators.metrics import owner_metrics
+from layerloom.plans import gold, serving
+from layerloom.schemas import POSTS, USERS
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.select(*sorted(df.columns)).collect())
+
+
+def made_posts(spark, pairs):
+    df = spark.createDataFrame(
+        [(i, owner, kind, score) for i, (owner, kind, score) in enumerate(pairs)],
+        "Id long, OwnerUserId long, PostTypeId int, Score int",
+    )
+    return conform(df, POSTS)
+
+
+def made_users(spark, triples):
+    df = spark.createDataFrame(triples, "Id long, DisplayName string, Reputation string")
+    return conform(df, USERS)
+
+
+def joined_first(spark, posts, users):
+    """The report as it is defined, one joined row per post."""
+    posts.createOrReplaceTempView("p")
+    users.createOrReplaceTempView("u")
+    return spark.sql(
+        """
+        SELECT p.OwnerUserId, count(*) AS total_posts,
+               sum(CASE WHEN cast(p.PostTypeId AS int) = 1 THEN 1 ELSE 0 END) AS total_preguntas,
+               sum(CASE WHEN cast(p.PostTypeId AS int) = 2 THEN 1 ELSE 0 END) AS total_respuestas,
+               sum(coalesce(cast(p.Score AS int), 0)) AS total_score,
+               sum(coalesce(cast(p.ViewCount AS int), 0)) AS total_views,
+               sum(coalesce(cast(p.CommentCount AS int), 0)) AS total_comments,
+               u.DisplayName, u.Location
+        FROM p LEFT JOIN u ON p.OwnerUserId = u.Id
+        WHERE p.OwnerUserId IS NOT NULL
+        GROUP BY p.OwnerUserId, u.DisplayName, u.Location
+        """
+    )
+
+
+def test_owner_without_user_stays_and_user_without_posts_does_not_appear(spark):
+    out = gold.post_counts_by_user(
+        made_posts(spark, [(1, 1, 5), (2, 2, None)]), made_users(spark, [(1, "a", "x"), (9, "z", "1")])
+    )
+    got = {r.OwnerUserId: (r.DisplayName, r.Reputation) for r in out.collect()}
+    assert got == {1: ("a", None), 2: (None, None)}
+
+
+def test_repeated_user_doubles_rows_in_gold_and_counts_in_the_report(spark):
+    posts, users = made_posts(spark, [(1, 1, 5)]), made_users(spark, [(1, "a", "7")] * 2)
+    in_gold = gold.post_counts_by_user(posts, users).collect()
+    assert [r.total_posts for r in in_gold] == [1, 1]
+    served = serving.gold_from_silver(posts, users).collect()
+    assert [(r.total_posts, r.total_score) for r in served] == [(2, 10)]
+
+
+def test_sum_of_nulls_is_null_in_gold_and_zero_in_the_report(spark):
+    posts, users = made_posts(spark, [(1, 1, None)]), made_users(spark, [])
+    assert gold.post_counts_by_user(posts, users).first().total_score is None
+    assert serving.gold_from_silver(posts, users).first().total_score == 0
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_report_equals_its_definition(spark, hot, monkeypatch):
+    if hot:
+        monkeypatch.setattr(
+            skew, "find_hot", lambda df, keys: skew.hot_keys(df, keys, rows_per_split=1)
+        )
+    posts = fx.posts(spark, SF_SMALL)
+    users = fx.users(spark, SF_SMALL)
+    some = users.where("Id < 40")
+    doubled = users.unionByName(some).unionByName(some.withColumn("DisplayName", F.lit(None)))
+    served = serving.gold_from_silver(posts, doubled)
+    assert rows(served) == rows(joined_first(spark, posts, doubled))
+
+
+def test_gold_with_hot_users_equals_the_plain_join(spark):
+    users = fx.users(spark, SF_SMALL)
+    one = users.where("Id = 3")
+    numbered = one.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(2000))))
+    copies = numbered.repartition(6, "n").drop("n")
+    lopsided = users.unionByName(copies)
+    metrics = owner_metrics(fx.posts(spark, SF_SMALL))
+    hot = skew.find_hot(lopsided, ["Id"], rows_per_split=300)
+    assert [(r.Id, r._splits) for r in hot.collect()] == [(3, 7)]
+    assert rows(gold.with_users(metrics, lopsided, hot)) == rows(gold.with_users(metrics, lopsided))
+
+
+def test_top_owners(spark):
+    posts = made_posts(spark, [(3, 1, 0), (3, 1, 0), (2, 1, 0), (1, 1, 0)])
+    top = serving.top_owners(posts, made_users(spark, [(3, "c", "1")]), k=2).collect()
+    assert [(r.OwnerUserId, r.total_posts, r.DisplayName) for r in top] == [(3, 2, "c"), (1, 1, None)]
