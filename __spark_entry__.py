@@ -27,11 +27,11 @@ from layerloom.functions.dates import (  # noqa: E402
 )
 from layerloom.functions.stamps import stamp_day, stamp_time  # noqa: E402
 from layerloom.operators import metrics as m  # noqa: E402
+from layerloom.operators import skew  # noqa: E402
 from layerloom.operators.align import union_aligned  # noqa: E402
 from layerloom.operators.audit import row_counts, table_report  # noqa: E402
 from layerloom.operators.limits import preview  # noqa: E402
-from layerloom.operators.skew import find_hot  # noqa: E402
-from layerloom.operators.upsert import anti_unchanged, merge_into, upsert  # noqa: E402
+from layerloom.operators.upsert import anti_unchanged, find_hot, merge_into, upsert  # noqa: E402
 from layerloom.plans import bronze, gold, pipeline, serving, silver  # noqa: E402
 from layerloom.schemas import POST_COLUMNS, USER_COLUMNS_NARROW, USERS  # noqa: E402
 from layerloom.sources import files, tables  # noqa: E402
@@ -163,23 +163,23 @@ def cast_reputation(spark, sf):
 
 
 def anti_unchanged_query(spark, sf):
-    known = parse_dates(fx.users(spark, sf))
-    return anti_unchanged(known, fx.users_batch(spark, sf), ["Id"], find_hot(known, ["Id"]))
+    known, batch = parse_dates(fx.users(spark, sf)), fx.users_batch(spark, sf)
+    return anti_unchanged(known, batch, ["Id"], find_hot(known, batch, ["Id"]))
 
 
 def upsert_users(spark, sf):
-    known = _known_users(spark, sf)
-    return upsert(known, _new_users(spark, sf), ["Id"], find_hot(known, ["Id"]))
+    known, batch = _known_users(spark, sf), _new_users(spark, sf)
+    return upsert(known, batch, ["Id"], find_hot(known, batch, ["Id"]))
 
 
 def upsert_users_schema_drift(spark, sf):
-    known = _known_users(spark, sf)
-    return upsert(known, _new_users(spark, sf, about=True), ["Id"], find_hot(known, ["Id"]))
+    known, batch = _known_users(spark, sf), _new_users(spark, sf, about=True)
+    return upsert(known, batch, ["Id"], find_hot(known, batch, ["Id"]))
 
 
 def upsert_posts(spark, sf):
-    known = fx.posts(spark, sf)
-    return merge_into(known, fx.posts_batch(spark, sf), ["Id"], find_hot(known, ["Id"]))
+    known, batch = fx.posts(spark, sf), fx.posts_batch(spark, sf)
+    return merge_into(known, batch, ["Id"], find_hot(known, batch, ["Id"]))
 
 
 def upsert_gold(spark, sf):
@@ -261,7 +261,7 @@ def agg_owner_metrics(spark, sf):
 
 def join_owner_users(spark, sf):
     users = fx.users(spark, sf)
-    return gold.with_users(agg_count(spark, sf), users, find_hot(users, ["Id"]))
+    return gold.with_users(agg_count(spark, sf), users, skew.find_hot(users, ["Id"]))
 
 
 def gold_post_counts(spark, sf):

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
@@ -19,29 +19,37 @@ SPLITS = "_splits"
 
 # A key needs no splitting below this many rows: one task handles them with ease.
 ROWS_PER_SPLIT = 1_000_000
-# At most this many keys are split. Any key holding more than 1/128 of all rows is among them.
+# At most this many keys are split.
 MAX_HOT_KEYS = 128
+# Counters per sketch. A key with more than about 1/350 of all rows cannot escape so many.
+SKETCH_ITEMS = 1024
+# Sketches are merged in this many tasks before the last merge.
+SKETCH_MERGERS = 256
 
 
 def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    rows_per_split: int = ROWS_PER_SPLIT,
-    max_keys: int = MAX_HOT_KEYS,
+    df: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT, max_keys: int = MAX_HOT_KEYS
 ) -> DataFrame:
-    """The most frequent keys above ``rows_per_split`` rows, with the number of splits each needs.
+    """The most frequent values of ``key`` above ``rows_per_split`` rows, with their splits.
 
-    Reads the key columns only; counts are combined before the shuffle, so a hot key costs one row
-    per task. The result has at most ``max_keys`` rows whatever the size of ``df``. Null counts as
-    a key.
+    One pass over the key column with a frequent-items sketch per task: no row is shuffled, only
+    sketches of fixed size, merged in two steps. The result has at most ``max_keys`` rows whatever
+    the size of ``df``. Null counts as a value.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > rows_per_split)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(max_keys)
-        .select(*keys, F.ceil(F.col("_rows") / rows_per_split).cast("int").alias(SPLITS))
+    value = f"`{key}`"
+    sketches = (
+        df.select(key, F.pmod(F.spark_partition_id(), SKETCH_MERGERS).alias("_merger"))
+        .groupBy("_merger")
+        .agg(F.expr(f"approx_top_k_accumulate({value}, {SKETCH_ITEMS})").alias("_sketch"))
+    )
+    # Grouped by a constant: without any row there is no sketch, and a plain total would fail.
+    merged = sketches.groupBy(F.lit(0).alias("_all")).agg(
+        F.expr(f"approx_top_k_combine(_sketch, {SKETCH_ITEMS})").alias("_sketch")
+    )
+    top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(_sketch, {max_keys})")).alias("_top"))
+    splits = F.ceil(F.col("_top.count") / rows_per_split).cast("int")
+    return top.where(F.col("_top.count") > rows_per_split).select(
+        F.col("_top.item").alias(key), splits.alias(SPLITS)
     )
 
 
@@ -51,23 +59,24 @@ def find_hot(
     rows_per_split: int = ROWS_PER_SPLIT,
     max_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame | None:
-    """``hot_keys``, looked up now; ``None`` when no key is hot, as is usual.
+    """``hot_keys`` of the first key column, looked up now; ``None`` when nothing is hot, as usual.
 
-    Knowing this before the join is planned keeps the salt, and the shuffle it needs, out of plans
-    that have no use for it. At most ``max_keys`` keys come to the driver.
+    A composite key can only be hot if the value of its first column is. Knowing the answer before
+    the join is planned keeps the salt out of plans that have no use for it. At most ``max_keys``
+    values come to the driver.
     """
-    hot = hot_keys(df, keys, rows_per_split, max_keys)
+    hot = hot_keys(df, keys[0], rows_per_split, max_keys)
     found = hot.collect()
     return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
-def _splits(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    # The broadcast side is bounded by MAX_HOT_KEYS rows of keys, see hot_keys.
-    marked = df.join(F.broadcast(hot), list(keys), "left")
+def _with_splits(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    # The broadcast side has at most MAX_HOT_KEYS rows of one value and one number.
+    marked = df.join(F.broadcast(hot), key, "left")
     return marked.withColumn(SPLITS, F.coalesce(SPLITS, F.lit(1)))
 
 
-def spread(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Give each row its salt: 0, or one of the splits of its hot key.
 
     The salt is the number of the input partition, not a random number: it comes out the same when
@@ -75,21 +84,26 @@ def spread(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     key match nothing, so they are spread over all partitions.
     """
     part = F.spark_partition_id()
-    has_null = _any_null(keys)
-    salt = F.when(has_null, part).otherwise(F.pmod(part, F.col(SPLITS)))
-    return _splits(df, keys, hot).withColumn(SALT, salt).drop(SPLITS)
+    salt = F.when(F.col(key).isNull(), part).otherwise(F.pmod(part, F.col(SPLITS)))
+    return _with_splits(df, key, hot).withColumn(SALT, salt).drop(SPLITS)
 
 
-def repeat(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Repeat each row of a hot key once per salt; meant for the side with few rows per key."""
+def repeat(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Repeat each row of a hot key once per salt; meant for the side with one row per key."""
     each = F.explode(F.sequence(F.lit(0), F.col(SPLITS) - 1))
-    return _splits(df, keys, hot).withColumn(SALT, each).withColumn(SPLITS, F.col(SPLITS) > 1)
+    return _with_splits(df, key, hot).withColumn(SALT, each)
 
 
-def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Rows of ``left`` whose key is not among the distinct keys ``right``, hot keys spread."""
-    wanted = repeat(right, keys, hot).drop(SPLITS)
-    return spread(left, keys, hot).join(wanted, [*keys, SALT], "left_anti").select(*left.columns)
+def join_spread(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame, how: str
+) -> DataFrame:
+    """Join with ``right``, one row per key, while the hot keys of ``left`` are spread.
+
+    ``how`` is a join that keeps to the rows of ``left``: left, anti, semi or inner.
+    """
+    a = spread(left, keys[0], hot)
+    b = repeat(right, keys[0], hot).drop(SPLITS)
+    return a.join(b, [*keys, SALT], how).drop(SALT)
 
 
 def left_join(
@@ -101,16 +115,9 @@ def left_join(
     partner under the salts that are not in use; since a hot key has partners under others, those
     empty-handed repeats are dropped again.
     """
-    renamed = hot.withColumnRenamed(right_key, left_key)
-    a = repeat(left, [left_key], renamed).withColumnRenamed(SALT, "_left_salt")
-    b = spread(right, [right_key], hot)
+    a = repeat(left, left_key, hot.withColumnRenamed(right_key, left_key))
+    a = a.withColumnRenamed(SALT, "_left_salt")
+    b = spread(right, right_key, hot)
     joined = a.join(b, (a[left_key] == b[right_key]) & (a["_left_salt"] == b[SALT]), "left")
-    empty_handed = F.col(SPLITS) & F.col(right_key).isNull()
+    empty_handed = (F.col(SPLITS) > 1) & F.col(right_key).isNull()
     return joined.where(~empty_handed).drop("_left_salt", SALT, SPLITS)
-
-
-def _any_null(keys: Sequence[str]) -> Column:
-    out = F.col(keys[0]).isNull()
-    for k in keys[1:]:
-        out = out | F.col(k).isNull()
-    return out

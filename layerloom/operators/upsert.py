@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from layerloom.operators import skew
 
+CLAIMS = "_claims"
 
-class DuplicateKeys(ValueError):
-    """Several incoming rows claim the same target row."""
+
+def find_hot(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Keys with very many rows on either side, for the ``hot`` of the functions below."""
+    both = existing.select(keys[0]).unionAll(incoming.select(keys[0]))
+    return skew.find_hot(both, keys)
 
 
 def anti_unchanged(
@@ -19,15 +23,17 @@ def anti_unchanged(
 ) -> DataFrame:
     """Existing rows the batch does not replace, in their own column order.
 
-    A null key equals nothing, so such rows are always kept. Only the batch's distinct keys take
-    part, and copies are dropped before they are shuffled. Spark broadcasts them when their size is
-    below its threshold; otherwise both sides are shuffled, and ``hot`` (``skew.find_hot`` of
-    ``existing``) keeps a key with very many rows from landing in one task.
+    A null key equals nothing, so such rows are always kept. Only the batch's keys take part: Spark
+    broadcasts them when their size is below its threshold, otherwise both sides are shuffled. When
+    there are hot keys, the batch's copies are dropped before they move and the hot rows of
+    ``existing`` are spread.
     """
-    replaced = incoming.select(*keys).na.drop(subset=list(keys)).distinct()
-    if hot is not None:
-        return skew.anti_join(existing, replaced, keys, hot)
-    return existing.join(replaced, list(keys), "left_anti").select(*existing.columns)
+    replaced = _keys(incoming, keys)
+    if hot is None:
+        kept = existing.join(replaced, list(keys), "left_anti")
+    else:
+        kept = skew.join_spread(existing, replaced.distinct(), keys, hot, "left_anti")
+    return kept.select(*existing.columns)
 
 
 def upsert(
@@ -52,28 +58,27 @@ def merge_into(
 ) -> DataFrame:
     """``upsert`` under the rule of SQL ``MERGE``: one target row, one source row.
 
-    Raises ``DuplicateKeys`` when several incoming rows match the same existing row; with
-    ``strict`` also when they share a key nothing matches. Runs a small job for the check.
+    The job that computes the result fails when several incoming rows match the same existing row;
+    with ``strict`` also when they share a key nothing matches. The check rides on the join, there
+    is no separate pass.
     """
-    check_single_source(existing, incoming, keys, strict)
-    return upsert(existing, incoming, keys, hot)
-
-
-def check_single_source(
-    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], strict: bool = False
-) -> None:
-    repeated = (
-        incoming.select(*keys)
-        .na.drop(subset=list(keys))
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .where("_rows > 1")
-    )
-    sample = repeated.take(1)
-    if sample and not strict:
-        matched = repeated.join(existing.select(*keys), list(keys), "left_semi")
-        sample = matched.take(1)
-    if sample:
-        row = sample[0]
-        named = ", ".join(f"{k}={row[k]}" for k in keys)
-        raise DuplicateKeys(f"{row['_rows']} incoming rows for {named}")
+    claims = _keys(incoming, keys).groupBy(*keys).agg(F.count("*").alias(CLAIMS))
+    if strict:
+        refused = F.when(F.col(CLAIMS) > 1, _refuse(keys).cast("bigint"))
+        claims = claims.withColumn(CLAIMS, refused.otherwise(F.col(CLAIMS)))
+    if hot is None:
+        met = existing.join(claims, list(keys), "left")
+    else:
+        met = skew.join_spread(existing, claims, keys, hot, "left")
+    several = F.when(F.col(CLAIMS) > 1, _refuse(keys).cast("boolean"))
+    kept = met.where(several.otherwise(F.col(CLAIMS).isNull())).select(*existing.columns)
+    return kept.unionByName(incoming, allowMissingColumns=True)
+
+
+def _keys(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return incoming.select(*keys).na.drop(subset=list(keys))
+
+
+def _refuse(keys: Sequence[str]):
+    named = F.to_json(F.struct(*keys))
+    return F.raise_error(F.concat(F.lit("several incoming rows for key "), named))

@@ -75,7 +75,7 @@ def test_sum_of_nulls_is_null_in_gold_and_zero_in_the_report(spark):
 def test_report_equals_its_definition(spark, hot, monkeypatch):
     if hot:
         monkeypatch.setattr(
-            skew, "find_hot", lambda df, keys: skew.hot_keys(df, keys, rows_per_split=1)
+            skew, "find_hot", lambda df, keys: skew.hot_keys(df, keys[0], rows_per_split=1)
         )
     posts = fx.posts(spark, SF_SMALL)
     users = fx.users(spark, SF_SMALL)

@@ -112,7 +112,7 @@ def test_hot_key_is_split_over_tasks(spark, no_broadcast):
     )
     batch = spark.range(30_000, 30_100).select(F.col("id").alias("k"))
     hot = skew.find_hot(known, ["k"], rows_per_split=2_000)
-    salted = skew.spread(known, ["k"], hot).repartition(16, "k", skew.SALT)
+    salted = skew.spread(known, "k", hot).repartition(16, "k", skew.SALT)
     sizes = salted.groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in sizes) < 20_000
     out = upsert(known, batch.withColumn("id", F.col("k")), ["k"], hot)

@@ -3,10 +3,11 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from layerloom.operators import skew
-from layerloom.operators.upsert import DuplicateKeys, anti_unchanged, merge_into, upsert
+from layerloom.operators.upsert import anti_unchanged, find_hot, merge_into, upsert
 
 WIDE, NARROW = "k long, name string, n int", "k long, name string"
 KNOWN = [(1, "a", 10), (2, "b", 20), (None, "n", 5)]
@@ -63,22 +64,23 @@ def test_two_column_key(spark):
     batch = spark.createDataFrame([(1, 2, "B"), (1, None, "C")], "k int, j int, v string")
     want = Counter([(1, 1, "a"), (1, 2, "B"), (1, None, "c"), (1, None, "C")])
     assert rows(upsert(known, batch, ["k", "j"])) == want
-    hot = spark.createDataFrame([(1, 2, 3)], f"k int, j int, {skew.SPLITS} int")
+    hot = spark.createDataFrame([(1, 3)], f"k int, {skew.SPLITS} int")
     assert rows(upsert(known, batch, ["k", "j"], hot)) == want
 
 
 def test_merge_refuses_two_rows_for_one_target(spark):
     known, _ = frames(spark)
     batch = spark.createDataFrame([(2, "B"), (2, "B2")], NARROW)
-    with pytest.raises(DuplicateKeys, match="k=2"):
-        merge_into(known, batch, ["k"])
+    for hot in (None, spark.createDataFrame([(2, 3)], f"k long, {skew.SPLITS} int")):
+        with pytest.raises(SparkRuntimeException, match='several incoming rows for key {"k":2}'):
+            merge_into(known, batch, ["k"], hot).collect()
 
 
 def test_merge_inserts_unmatched_duplicates_unless_strict(spark):
     known, batch = frames(spark)
     assert rows(merge_into(known, batch, ["k"])) == Counter(AFTER)
-    with pytest.raises(DuplicateKeys, match="k=3"):
-        merge_into(known, batch, ["k"], strict=True)
+    with pytest.raises(SparkRuntimeException, match='several incoming rows for key {"k":3}'):
+        merge_into(known, batch, ["k"], strict=True).collect()
 
 
 def test_merge_takes_several_null_keys(spark):
@@ -102,8 +104,11 @@ def test_upsert_against_plain_python(spark, known, batch, per_split):
     b = spark.createDataFrame(batch, "k long, v long")
     want = reference_upsert(known, batch)
     assert rows(upsert(a, b, ["k"])) == want
-    hot = skew.find_hot(a, ["k"], rows_per_split=per_split)
+    hot = skew.hot_keys(a.unionAll(b), "k", rows_per_split=per_split)
     assert rows(upsert(a, b, ["k"], hot)) == want
+    unique = list({k: (k, v) for k, v in batch}.values())
+    once = spark.createDataFrame(unique, "k long, v long")
+    assert rows(merge_into(a, once, ["k"], hot, strict=True)) == reference_upsert(known, unique)
 
 
 def test_second_run_with_unique_keys_changes_nothing(spark):
@@ -114,26 +119,47 @@ def test_second_run_with_unique_keys_changes_nothing(spark):
 
 
 def test_hot_keys_are_bounded_and_sorted_by_weight(spark):
-    df = spark.range(100).select(F.when(F.col("id") < 60, 1).when(F.col("id") < 90, 2).otherwise(F.col("id")).alias("k"))
-    hot = skew.hot_keys(df, ["k"], rows_per_split=20).collect()
+    k = F.when(F.col("id") < 60, 1).when(F.col("id") < 90, 2).otherwise(F.col("id"))
+    df = spark.range(100).select(k.alias("k"))
+    hot = skew.hot_keys(df, "k", rows_per_split=20).collect()
     assert [(r.k, r._splits) for r in hot] == [(1, 3), (2, 2)]
-    assert skew.hot_keys(df, ["k"], rows_per_split=20, max_keys=1).count() == 1
+    assert [r.k for r in skew.hot_keys(df, "k", rows_per_split=20, max_keys=1).collect()] == [1]
     assert skew.find_hot(df, ["k"], rows_per_split=1000) is None
+    assert skew.find_hot(df.limit(0), ["k"]) is None
+
+
+@pytest.mark.parametrize("kind", ["long", "int", "string", "date"])
+def test_heavy_keys_are_found_among_many_light_ones(spark, kind):
+    number = F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 40_000)
+    value = F.date_add(F.lit("2000-01-01"), number.cast("int")) if kind == "date" else number.cast(kind)
+    df = spark.range(200_000, numPartitions=8).select(value.alias("k"))
+    heavy = df.where("k = cast(5 as string)" if kind == "string" else "true").first().k
+    hot = skew.hot_keys(df, "k", rows_per_split=10_000).collect()
+    assert len(hot) == 1 and hot[0]._splits == 7
+    assert kind == "date" or hot[0].k == (heavy if kind == "string" else 5)
 
 
 def test_null_counts_as_a_hot_key(spark):
     df = spark.createDataFrame([(None,)] * 5 + [(1,)], "k long")
-    assert [r.k for r in skew.hot_keys(df, ["k"], rows_per_split=2).collect()] == [None]
+    assert [r.k for r in skew.hot_keys(df, "k", rows_per_split=2).collect()] == [None]
+
+
+def test_hot_key_on_either_side_is_found(spark, monkeypatch):
+    monkeypatch.setattr(skew.find_hot, "__defaults__", (2, 128))
+    one, many = spark.createDataFrame([(1,)], "k long"), spark.createDataFrame([(2,)] * 3, "k long")
+    assert [r.k for r in find_hot(one, many, ["k"]).collect()] == [2]
+    assert [r.k for r in find_hot(many, one, ["k"]).collect()] == [2]
+    assert find_hot(one, one, ["k"]) is None
 
 
 def test_spread_uses_several_salts_for_equal_rows(spark):
     df = spark.range(4000, numPartitions=8).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
     hot = skew.find_hot(df, ["k"], rows_per_split=1000)
-    salted = skew.spread(df, ["k"], hot)
-    sizes = salted.groupBy(skew.SALT).count().collect()
+    sizes = skew.spread(df, "k", hot).groupBy(skew.SALT).count().collect()
     assert sorted(r["count"] for r in sizes) == [1000] * 4
     nulls = df.withColumn("k", F.lit(None).cast("int"))
-    assert skew.spread(nulls, ["k"], skew.find_hot(nulls, ["k"], 1000)).select(skew.SALT).distinct().count() == 8
+    salted = skew.spread(nulls, "k", skew.find_hot(nulls, ["k"], 1000))
+    assert salted.select(skew.SALT).distinct().count() == 8
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -146,5 +172,5 @@ def test_salted_left_join_against_the_plain_one(spark, left, right, per_split):
     a = spark.createDataFrame([(k, k * 10) for k in left], "a long, m long")
     b = spark.createDataFrame(right, "b long, v long").repartition(4)
     plain = a.join(b, a.a == b.b, "left")
-    hot = skew.hot_keys(b, ["b"], rows_per_split=per_split)
+    hot = skew.hot_keys(b, "b", rows_per_split=per_split)
     assert rows(skew.left_join(a, b, "a", "b", hot)) == rows(plain)
