@@ -31,7 +31,13 @@ from layerloom.operators import skew  # noqa: E402
 from layerloom.operators.align import union_aligned  # noqa: E402
 from layerloom.operators.audit import row_counts, table_report  # noqa: E402
 from layerloom.operators.limits import preview  # noqa: E402
-from layerloom.operators.upsert import anti_unchanged, find_hot, merge_into, upsert  # noqa: E402
+from layerloom.operators.upsert import (  # noqa: E402
+    anti_unchanged,
+    find_hot,
+    find_span,
+    merge_into,
+    upsert,
+)
 from layerloom.plans import bronze, gold, pipeline, serving, silver  # noqa: E402
 from layerloom.schemas import POST_COLUMNS, USER_COLUMNS_NARROW, USERS  # noqa: E402
 from layerloom.sources import files, tables  # noqa: E402
@@ -179,7 +185,8 @@ def upsert_users_schema_drift(spark, sf):
 
 def upsert_posts(spark, sf):
     known, batch = fx.posts(spark, sf), fx.posts_batch(spark, sf)
-    return merge_into(known, batch, ["Id"], find_hot(known, batch, ["Id"]))
+    hot, span = find_hot(known, batch, ["Id"]), find_span(batch, ["Id"], min_rows=1)
+    return merge_into(known, batch, ["Id"], hot, span)
 
 
 def upsert_gold(spark, sf):

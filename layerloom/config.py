@@ -72,6 +72,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # When the small side of a shuffled join turns out to fit, hash it instead of sorting both.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.parquet.compression.codec": "snappy",
     # Do not record the Python call site of every column expression while plans are built.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

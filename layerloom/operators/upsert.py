@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,11 @@ from layerloom.operators import skew
 
 CLAIMS = "_claims"
 
+# First and last key of a batch.
+Span = tuple[Any, Any] | None
+# The keys of a smaller batch fit Spark's broadcast threshold; the table is not shuffled anyway.
+SPAN_MIN_ROWS = 1_000_000
+
 
 def find_hot(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     """Keys with very many rows on either side, for the ``hot`` of the functions below."""
@@ -18,26 +24,44 @@ def find_hot(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> D
     return skew.find_hot(both, keys)
 
 
+def find_span(incoming: DataFrame, keys: Sequence[str], min_rows: int = SPAN_MIN_ROWS) -> Span:
+    """Lowest and highest first key of a batch of at least ``min_rows`` rows, looked up now."""
+    key = F.col(keys[0])
+    low, high, rows = incoming.agg(F.min(key), F.max(key), F.count("*")).first()
+    return None if low is None or rows < min_rows else (low, high)
+
+
 def anti_unchanged(
-    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], hot: DataFrame | None = None
+    existing: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    hot: DataFrame | None = None,
+    span: Span = None,
 ) -> DataFrame:
     """Existing rows the batch does not replace, in their own column order.
 
     A null key equals nothing, so such rows are always kept. Only the batch's keys take part: Spark
-    broadcasts them when their size is below its threshold, otherwise both sides are shuffled. When
-    there are hot keys, the batch's copies are dropped before they move and the hot rows of
-    ``existing`` are spread.
+    broadcasts them when their size is below its threshold, otherwise both sides are shuffled.
+
+    ``hot`` (``find_hot``): the batch's copies are dropped before they move and the hot rows of
+    ``existing`` are spread. ``span`` (``find_span``): existing rows outside the batch's key range
+    cannot be replaced and skip the join.
     """
+    near, far = _split(existing, keys, span)
     replaced = _keys(incoming, keys)
     if hot is None:
-        kept = existing.join(replaced, list(keys), "left_anti")
+        kept = near.join(replaced, list(keys), "left_anti")
     else:
-        kept = skew.join_spread(existing, replaced.distinct(), keys, hot, "left_anti")
-    return kept.select(*existing.columns)
+        kept = skew.join_spread(near, replaced.distinct(), keys, hot, "left_anti")
+    return _together(kept.select(*existing.columns), far)
 
 
 def upsert(
-    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], hot: DataFrame | None = None
+    existing: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    hot: DataFrame | None = None,
+    span: Span = None,
 ) -> DataFrame:
     """Replace whole rows by key and add the new ones.
 
@@ -45,7 +69,7 @@ def upsert(
     column only the batch has is added and is null on the rows that stay. All incoming rows are
     kept, also those that share a key.
     """
-    kept = anti_unchanged(existing, incoming, keys, hot)
+    kept = anti_unchanged(existing, incoming, keys, hot, span)
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
@@ -54,6 +78,7 @@ def merge_into(
     incoming: DataFrame,
     keys: Sequence[str],
     hot: DataFrame | None = None,
+    span: Span = None,
     strict: bool = False,
 ) -> DataFrame:
     """``upsert`` under the rule of SQL ``MERGE``: one target row, one source row.
@@ -62,17 +87,34 @@ def merge_into(
     with ``strict`` also when they share a key nothing matches. The check rides on the join, there
     is no separate pass.
     """
+    near, far = _split(existing, keys, span)
     claims = _keys(incoming, keys).groupBy(*keys).agg(F.count("*").alias(CLAIMS))
     if strict:
         refused = F.when(F.col(CLAIMS) > 1, _refuse(keys).cast("bigint"))
         claims = claims.withColumn(CLAIMS, refused.otherwise(F.col(CLAIMS)))
     if hot is None:
-        met = existing.join(claims, list(keys), "left")
+        met = near.join(claims, list(keys), "left")
     else:
-        met = skew.join_spread(existing, claims, keys, hot, "left")
+        met = skew.join_spread(near, claims, keys, hot, "left")
     several = F.when(F.col(CLAIMS) > 1, _refuse(keys).cast("boolean"))
     kept = met.where(several.otherwise(F.col(CLAIMS).isNull())).select(*existing.columns)
-    return kept.unionByName(incoming, allowMissingColumns=True)
+    return _together(kept, far).unionByName(incoming, allowMissingColumns=True)
+
+
+def _split(
+    existing: DataFrame, keys: Sequence[str], span: Span
+) -> tuple[DataFrame, DataFrame | None]:
+    # Two scans with opposite filters on the same column. Both reach the Parquet reader, which
+    # skips row groups by their statistics, so a table in key order is still read about once.
+    if span is None:
+        return existing, None
+    key = F.col(keys[0])
+    outside = key.isNull() | (key < span[0]) | (key > span[1])
+    return existing.where(key.between(*span)), existing.where(outside)
+
+
+def _together(kept: DataFrame, far: DataFrame | None) -> DataFrame:
+    return kept if far is None else kept.unionAll(far)
 
 
 def _keys(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -106,6 +106,14 @@ def test_large_batch_moves_keys_only_to_the_join(stored, no_broadcast):
     assert exchanges(text) == 2
 
 
+def test_rows_outside_the_batch_skip_the_shuffle(stored, no_broadcast):
+    known, batch = stored("posts"), stored("posts").where("Id >= 1000")
+    text = plan(upsert(known, batch, ["Id"], span=(1000, 1499)))
+    assert "GreaterThanOrEqual(Id,1000)" in text and "LessThanOrEqual(Id,1499)" in text
+    assert "LessThan(Id,1000)" in text and "GreaterThan(Id,1499)" in text
+    assert exchanges(text) == 2
+
+
 def test_hot_key_is_split_over_tasks(spark, no_broadcast):
     known = spark.range(40_000, numPartitions=8).select(
         F.when(F.col("id") < 30_000, 7).otherwise(F.col("id")).alias("k"), "id"

@@ -1,4 +1,5 @@
 from collections import Counter
+from datetime import date
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,7 +8,7 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from layerloom.operators import skew
-from layerloom.operators.upsert import anti_unchanged, find_hot, merge_into, upsert
+from layerloom.operators.upsert import anti_unchanged, find_hot, find_span, merge_into, upsert
 
 WIDE, NARROW = "k long, name string, n int", "k long, name string"
 KNOWN = [(1, "a", 10), (2, "b", 20), (None, "n", 5)]
@@ -118,6 +119,26 @@ def test_second_run_with_unique_keys_changes_nothing(spark):
     assert rows(upsert(once, batch, ["k"])) == rows(once)
 
 
+def test_span_of_a_batch(spark):
+    _, batch = frames(spark)
+    assert find_span(batch, ["k"], min_rows=1) == (2, 3)
+    assert find_span(batch, ["k"]) is None
+    assert find_span(batch.limit(0), ["k"], min_rows=0) is None
+    assert find_span(batch.where("k IS NULL"), ["k"], min_rows=1) is None
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(known=keyed, batch=keyed)
+def test_rows_outside_the_span_are_kept(spark, known, batch):
+    a = spark.createDataFrame(known, "k long, v long")
+    b = spark.createDataFrame(batch, "k long, v long")
+    span = find_span(b, ["k"], min_rows=0)
+    assert rows(upsert(a, b, ["k"], span=span)) == reference_upsert(known, batch)
+    unique = list({k: (k, v) for k, v in batch}.values())
+    once = spark.createDataFrame(unique, "k long, v long")
+    assert rows(merge_into(a, once, ["k"], span=span)) == reference_upsert(known, unique)
+
+
 def test_hot_keys_are_bounded_and_sorted_by_weight(spark):
     k = F.when(F.col("id") < 60, 1).when(F.col("id") < 90, 2).otherwise(F.col("id"))
     df = spark.range(100).select(k.alias("k"))
@@ -133,10 +154,9 @@ def test_heavy_keys_are_found_among_many_light_ones(spark, kind):
     number = F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 40_000)
     value = F.date_add(F.lit("2000-01-01"), number.cast("int")) if kind == "date" else number.cast(kind)
     df = spark.range(200_000, numPartitions=8).select(value.alias("k"))
-    heavy = df.where("k = cast(5 as string)" if kind == "string" else "true").first().k
+    heavy = {"string": "5", "date": date(2000, 1, 6)}.get(kind, 5)
     hot = skew.hot_keys(df, "k", rows_per_split=10_000).collect()
-    assert len(hot) == 1 and hot[0]._splits == 7
-    assert kind == "date" or hot[0].k == (heavy if kind == "string" else 5)
+    assert [(r.k, r._splits) for r in hot] == [(heavy, 7)]
 
 
 def test_null_counts_as_a_hot_key(spark):
