@@ -20,9 +20,10 @@ SPLITS = "_splits"
 # A key needs no splitting below this many rows: one task handles them with ease.
 ROWS_PER_SPLIT = 1_000_000
 # At most this many keys are split.
-MAX_HOT_KEYS = 128
-# Counters per sketch. A key with more than about 1/350 of all rows cannot escape so many.
-SKETCH_ITEMS = 1024
+MAX_HOT_KEYS = 1024
+# Counters per sketch, some 160 KB. With so many, a key with more than about 1/2300 of all rows
+# cannot escape; one below that share makes a task larger than its peers, but not by much.
+SKETCH_ITEMS = 8192
 # Sketches are merged in this many tasks before the last merge.
 SKETCH_MERGERS = 256
 

@@ -28,6 +28,17 @@ def ordered(columns, rows):
     return sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
+TYPES = {
+    "BIGINT": {"bigint"},
+    "INTEGER": {"int"},
+    "DOUBLE": {"double"},
+    "VARCHAR": {"string"},
+    "BOOLEAN": {"boolean"},
+    "DATE": {"date"},
+    "TIMESTAMP": {"timestamp", "timestamp_ntz"},
+}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(name, spark, duck):
     got = QUERIES[name](spark, SF_CHECK)
@@ -35,6 +46,9 @@ def test_same_rows(name, spark, duck):
     found = duck.execute(ORACLES[name])
     columns = [d[0] for d in found.description]
     assert sorted(got.columns) == sorted(columns)
+    kinds = dict(got.dtypes)
+    for column, kind, *_ in found.description:
+        assert kinds[column] in TYPES[str(kind)], column
     want = [tuple(r) for r in found.fetchall()]
     assert rows
     assert ordered(got.columns, rows) == ordered(columns, want)

@@ -98,7 +98,7 @@ def reference_upsert(known, batch):
     return Counter([r for r in known if r[0] is None or r[0] not in replaced] + batch)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(known=keyed, batch=keyed, per_split=st.integers(1, 2))
 def test_upsert_against_plain_python(spark, known, batch, per_split):
     a = spark.createDataFrame(known, "k long, v long").repartition(3)
@@ -127,7 +127,7 @@ def test_span_of_a_batch(spark):
     assert find_span(batch.where("k IS NULL"), ["k"], min_rows=1) is None
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(known=keyed, batch=keyed)
 def test_rows_outside_the_span_are_kept(spark, known, batch):
     a = spark.createDataFrame(known, "k long, v long")
@@ -165,7 +165,7 @@ def test_null_counts_as_a_hot_key(spark):
 
 
 def test_hot_key_on_either_side_is_found(spark, monkeypatch):
-    monkeypatch.setattr(skew.find_hot, "__defaults__", (2, 128))
+    monkeypatch.setattr(skew.find_hot, "__defaults__", (2, 1024))
     one, many = spark.createDataFrame([(1,)], "k long"), spark.createDataFrame([(2,)] * 3, "k long")
     assert [r.k for r in find_hot(one, many, ["k"]).collect()] == [2]
     assert [r.k for r in find_hot(many, one, ["k"]).collect()] == [2]
@@ -182,7 +182,7 @@ def test_spread_uses_several_salts_for_equal_rows(spark):
     assert salted.select(skew.SALT).distinct().count() == 8
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     left=st.sets(st.integers(0, 6), max_size=6),
     right=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 2)), max_size=25),
