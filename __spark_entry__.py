@@ -33,8 +33,7 @@ from layerloom.operators.audit import row_counts, table_report  # noqa: E402
 from layerloom.operators.limits import preview  # noqa: E402
 from layerloom.operators.upsert import (  # noqa: E402
     anti_unchanged,
-    find_hot,
-    find_span,
+    look_ahead,
     merge_into,
     upsert,
 )
@@ -170,23 +169,22 @@ def cast_reputation(spark, sf):
 
 def anti_unchanged_query(spark, sf):
     known, batch = parse_dates(fx.users(spark, sf)), fx.users_batch(spark, sf)
-    return anti_unchanged(known, batch, ["Id"], find_hot(known, batch, ["Id"]))
+    return anti_unchanged(known, batch, ["Id"], **look_ahead(known, batch, ["Id"]))
 
 
 def upsert_users(spark, sf):
     known, batch = _known_users(spark, sf), _new_users(spark, sf)
-    return upsert(known, batch, ["Id"], find_hot(known, batch, ["Id"]))
+    return upsert(known, batch, ["Id"], **look_ahead(known, batch, ["Id"]))
 
 
 def upsert_users_schema_drift(spark, sf):
     known, batch = _known_users(spark, sf), _new_users(spark, sf, about=True)
-    return upsert(known, batch, ["Id"], find_hot(known, batch, ["Id"]))
+    return upsert(known, batch, ["Id"], **look_ahead(known, batch, ["Id"]))
 
 
 def upsert_posts(spark, sf):
     known, batch = fx.posts(spark, sf), fx.posts_batch(spark, sf)
-    hot, span = find_hot(known, batch, ["Id"]), find_span(batch, ["Id"], min_rows=1)
-    return merge_into(known, batch, ["Id"], hot, span)
+    return merge_into(known, batch, ["Id"], **look_ahead(known, batch, ["Id"], large=1))
 
 
 def upsert_gold(spark, sf):

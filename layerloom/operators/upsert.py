@@ -14,18 +14,28 @@ CLAIMS = "_claims"
 
 # First and last key of a batch.
 Span = tuple[Any, Any] | None
-# The keys of a smaller batch fit Spark's broadcast threshold; the table is not shuffled anyway.
-SPAN_MIN_ROWS = 1_000_000
+# The keys of a smaller batch are far below Spark's broadcast threshold, so the table stays where it
+# is and there is nothing to prepare.
+LARGE_BATCH = 100_000
+
+
+def look_ahead(
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], large: int = LARGE_BATCH
+) -> dict[str, Any]:
+    """What is worth knowing before a batch of ``large`` rows or more is joined: ``hot`` and
+    ``span`` for the functions below. Reads the key columns; nothing for a smaller batch."""
+    span = find_span(incoming, keys, large)
+    return {} if span is None else {"hot": find_hot(existing, incoming, keys), "span": span}
 
 
 def find_hot(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """Keys with very many rows on either side, for the ``hot`` of the functions below."""
+    """Keys with very many rows on either side."""
     both = existing.select(keys[0]).unionAll(incoming.select(keys[0]))
     return skew.find_hot(both, keys)
 
 
-def find_span(incoming: DataFrame, keys: Sequence[str], min_rows: int = SPAN_MIN_ROWS) -> Span:
-    """Lowest and highest first key of a batch of at least ``min_rows`` rows, looked up now."""
+def find_span(incoming: DataFrame, keys: Sequence[str], min_rows: int) -> Span:
+    """Lowest and highest first key of a batch of at least ``min_rows`` rows."""
     key = F.col(keys[0])
     low, high, rows = incoming.agg(F.min(key), F.max(key), F.count("*")).first()
     return None if low is None or rows < min_rows else (low, high)
@@ -43,9 +53,9 @@ def anti_unchanged(
     A null key equals nothing, so such rows are always kept. Only the batch's keys take part: Spark
     broadcasts them when their size is below its threshold, otherwise both sides are shuffled.
 
-    ``hot`` (``find_hot``): the batch's copies are dropped before they move and the hot rows of
-    ``existing`` are spread. ``span`` (``find_span``): existing rows outside the batch's key range
-    cannot be replaced and skip the join.
+    With ``hot`` (``find_hot``) the batch's copies are dropped before they move and the hot rows of
+    ``existing`` are spread. With ``span`` (``find_span``) existing rows outside the batch's key
+    range, which it cannot replace, skip the join.
     """
     near, far = _split(existing, keys, span)
     replaced = _keys(incoming, keys)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from layerloom.config import Config
 from layerloom.functions.stamps import stamp_time
 from layerloom.operators.align import union_aligned
-from layerloom.operators.upsert import find_hot, find_span, merge_into, upsert
+from layerloom.operators.upsert import look_ahead, merge_into, upsert
 from layerloom.schemas import POST_COLUMNS, POSTS, USERS
 from layerloom.sources import tables
 
@@ -57,8 +57,7 @@ def _write_keyed(spark, cfg, name, incoming, keys, combine) -> DataFrame:
     existing = spark.table(name)
     # The batch feeds both the anti-join and the union, so it is computed once and read twice.
     batch = tables.stage(incoming, cfg.staging_root)
-    hot, span = find_hot(existing, batch, keys), find_span(batch, keys)
-    merged = combine(existing, batch, keys, hot, span)
+    merged = combine(existing, batch, keys, **look_ahead(existing, batch, keys))
     tables.publish(merged, name, cfg.tables_root)
     return spark.table(name)
 

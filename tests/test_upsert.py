@@ -8,7 +8,7 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from layerloom.operators import skew
-from layerloom.operators.upsert import anti_unchanged, find_hot, find_span, merge_into, upsert
+from layerloom.operators.upsert import anti_unchanged, find_hot, find_span, look_ahead, merge_into, upsert
 
 WIDE, NARROW = "k long, name string, n int", "k long, name string"
 KNOWN = [(1, "a", 10), (2, "b", 20), (None, "n", 5)]
@@ -122,11 +122,20 @@ def test_second_run_with_unique_keys_changes_nothing(spark):
 def test_span_of_a_batch(spark):
     _, batch = frames(spark)
     assert find_span(batch, ["k"], min_rows=1) == (2, 3)
-    assert find_span(batch, ["k"]) is None
+    assert find_span(batch, ["k"], min_rows=5) is None
     assert find_span(batch.limit(0), ["k"], min_rows=0) is None
     assert find_span(batch.where("k IS NULL"), ["k"], min_rows=1) is None
 
 
+def test_only_a_large_batch_is_looked_at(spark):
+    known, batch = frames(spark)
+    assert look_ahead(known, batch, ["k"]) == {}
+    assert look_ahead(known, batch, ["k"], large=4) == {"hot": None, "span": (2, 3)}
+    for combine in (upsert, merge_into):
+        ahead = look_ahead(known, batch, ["k"], large=1)
+        assert rows(combine(known, batch, ["k"], **ahead)) == Counter(AFTER)
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(known=keyed, batch=keyed)
 def test_rows_outside_the_span_are_kept(spark, known, batch):
