@@ -94,7 +94,7 @@ def scan_limit(spark, sf):
 
 def catalog_scan(spark, sf):
     cfg = _workspace(spark)
-    tables.create_namespace(spark, cfg.silver)
+    tables.create_namespace(spark, cfg.silver, cfg.tables_root)
     tables.create(parse_dates(fx.users(spark, sf)), cfg.users_table, cfg.tables_root)
     tables.require(spark, cfg.users_table)
     return spark.table(cfg.users_table)
@@ -324,7 +324,9 @@ def audit_table_report(spark, sf):
 
 
 def audit_bronze_files(spark, sf):
-    return files.rows_per_file(spark, [f"{sf}/{name}.parquet" for name in ("orders", "customer")])
+    listed = files.rows_per_file(spark, [f"{sf}/{name}.parquet" for name in ("orders", "customer")])
+    name = F.element_at(F.split("file_path", "/"), -1)
+    return listed.select(name.alias("file_name"), "n_rows")
 
 
 def queries() -> dict[str, Query]:

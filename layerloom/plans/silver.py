@@ -50,7 +50,7 @@ def merge_table(
 
 
 def _write_keyed(spark, cfg, name, incoming, keys, combine) -> DataFrame:
-    tables.create_namespace(spark, name.rpartition(".")[0])
+    tables.create_namespace(spark, name.rpartition(".")[0], cfg.tables_root)
     if not tables.exists(spark, name):
         tables.create(incoming, name, cfg.tables_root)
         return spark.table(name)
@@ -77,7 +77,7 @@ def build_posts(
 def rebuild_posts_light(
     spark: SparkSession, cfg: Config, batches: Sequence[DataFrame], at: datetime | None = None
 ) -> DataFrame:
-    tables.create_namespace(spark, cfg.silver)
+    tables.create_namespace(spark, cfg.silver, cfg.tables_root)
     tables.rebuild(posts_batch_light(batches, at), cfg.posts_table, cfg.tables_root)
     return spark.table(cfg.posts_table)
 
@@ -86,6 +86,6 @@ def register(
     spark: SparkSession, cfg: Config, name: str, batches: Sequence[DataFrame]
 ) -> DataFrame:
     """Put Bronze batches into the catalog as they are: all columns, no stamp, no overwrite."""
-    tables.create_namespace(spark, name.rpartition(".")[0])
+    tables.create_namespace(spark, name.rpartition(".")[0], cfg.tables_root)
     tables.create(union_aligned(batches), name, cfg.tables_root)
     return spark.table(name)

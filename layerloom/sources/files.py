@@ -79,6 +79,4 @@ def rows_per_file(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         .agg(F.count("*").alias("n_rows"))
         for path in paths
     ]
-    return reduce(DataFrame.unionAll, per_path).select(
-        F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "n_rows"
-    )
+    return reduce(DataFrame.unionAll, per_path)

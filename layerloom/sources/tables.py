@@ -28,8 +28,9 @@ def require(spark: SparkSession, *names: str) -> None:
         raise RuntimeError(f"missing source tables: {', '.join(missing)}")
 
 
-def create_namespace(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}")
+def create_namespace(spark: SparkSession, name: str, root: str) -> None:
+    """Make the namespace if it is missing, at home under ``root`` like its tables."""
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name} LOCATION '{root}/{name}'")
 
 
 def create(df: DataFrame, name: str, root: str) -> None:

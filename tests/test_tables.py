@@ -17,7 +17,7 @@ AT, LATER = datetime(2023, 1, 1), datetime(2024, 1, 1)
 
 @pytest.fixture
 def name(spark, cfg):
-    tables.create_namespace(spark, cfg.silver)
+    tables.create_namespace(spark, cfg.silver, cfg.tables_root)
     return f"{cfg.silver}.things"
 
 
@@ -144,7 +144,8 @@ def test_bronze_files_are_snappy_and_listed(spark, tmp_path):
     assert path.endswith("year=2020")
     listed = files.rows_per_file(spark, [path]).collect()
     assert sum(r.n_rows for r in listed) == 7
-    assert all(".snappy.parquet" in r.file_name for r in listed)
+    assert all("year=2020/part-" in r.file_path for r in listed)
+    assert all(r.file_path.endswith(".snappy.parquet") for r in listed)
 
 
 def test_years_with_different_columns(spark, tmp_path):
@@ -176,7 +177,7 @@ def test_pipeline_twice_adds_no_rows(spark, cfg):
 def test_reports(spark, cfg):
     counts = row_counts({"a": spark.range(3), "b": spark.range(0)})
     assert sorted(map(tuple, counts.collect())) == [("a", 3), ("b", 0)]
-    tables.create_namespace(spark, cfg.silver)
+    tables.create_namespace(spark, cfg.silver, cfg.tables_root)
     tables.create(spark.range(4), cfg.users_table, cfg.tables_root)
     report = {r.table_name: r for r in table_report(spark, [cfg.users_table, "nowhere.t"]).collect()}
     assert (report[cfg.users_table].n_rows, report[cfg.users_table].error) == (4, None)
