@@ -21,7 +21,7 @@ SPLITS = "_splits"
 ROWS_PER_SPLIT = 1_000_000
 # At most this many keys are split.
 MAX_HOT_KEYS = 1024
-# Counters per sketch, some 160 KB. With so many, a key with more than about 1/2300 of all rows
+# Counters per sketch, a few hundred KB. With so many, a key with over about 1/2300 of all rows
 # cannot escape; one below that share makes a task larger than its peers, but not by much.
 SKETCH_ITEMS = 8192
 # Sketches are merged in this many tasks before the last merge.
