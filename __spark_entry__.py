@@ -41,6 +41,16 @@ from layerloom.plans import bronze, gold, pipeline, serving, silver  # noqa: E40
 from layerloom.schemas import POST_COLUMNS, USER_COLUMNS_NARROW, USERS  # noqa: E402
 from layerloom.sources import files, tables  # noqa: E402
 
+# The operators for training data live in a folder of their own and may be absent.
+try:
+    import corpus_pipeline  # noqa: E402
+
+    from layerloom.llm import registry as llm  # noqa: E402
+except ModuleNotFoundError as gone:
+    if gone.name not in ("corpus_pipeline", "layerloom.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 FIRST_STAMP, NEXT_STAMP = datetime(2023, 1, 1), datetime(2024, 1, 1)
 FIRST_DAY, NEXT_DAY = date(2023, 1, 1), date(2024, 1, 1)
 YEAR = 1998
@@ -330,6 +340,14 @@ def audit_bronze_files(spark, sf):
 
 
 def queries() -> dict[str, Query]:
+    return {**_own_queries(), **_llm_queries()}
+
+
+def _llm_queries() -> dict[str, Query]:
+    return {} if llm is None else {**llm.queries(), "pipeline": corpus_pipeline.run}
+
+
+def _own_queries() -> dict[str, Query]:
     return {
         "scan_posts": scan_posts,
         "scan_posts_light": scan_posts_light,
@@ -463,6 +481,17 @@ UNION ALL SELECT {_LIGHT}{following} FROM {_LATER_POSTS}"""
 
 
 def oracle_sql() -> dict[str, str]:
+    return {**_own_oracle_sql(), **_llm_oracle_sql()}
+
+
+def _llm_oracle_sql() -> dict[str, str]:
+    if llm is None:
+        return {}
+    whole = corpus_pipeline.ORACLE_SQL
+    return {**llm.oracle_sql(), **({"pipeline": whole} if whole else {})}
+
+
+def _own_oracle_sql() -> dict[str, str]:
     return {
         "scan_posts": fx.POSTS_WIDE_SQL,
         "scan_posts_light": f"SELECT {_LIGHT} FROM {_WIDE}",
