@@ -4,10 +4,22 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from layerloom.llm import host_rules, packing, sequence_files, token_counts
+from pyspark.sql import functions as F
+
+from layerloom.llm import (
+    exact_topk,
+    host_rules,
+    language_ranks,
+    packing,
+    piece_bpe,
+    sequence_files,
+    token_counts,
+)
 from layerloom.llm.common import read
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+LANGUAGE_FOLDS = (5, 0)
 
 
 def op2_host_rules(spark, sf_dir):
@@ -18,22 +30,41 @@ def op3_token_counts(spark, sf_dir):
     return token_counts.count_lines(read(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op4_language_ranks(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    held_out = language_ranks.held_out(*LANGUAGE_FOLDS)
+    profiles = language_ranks.learn(docs.where(~held_out))
+    found = language_ranks.predict(docs, profiles)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op5_best_fit_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op7_piece_bpe(spark, sf_dir):
+    return piece_bpe.digests(read(spark, sf_dir, "documents"), PIECE_BPE)
+
+
 def op8_sequence_files(spark, sf_dir):
     folder = sequence_files.new_folder(spark)
     written = sequence_files.write(read(spark, sf_dir, "documents"), folder, BYTE_BPE)
     return sequence_files.read(written)
 
 
+def op10_exact_topk(spark, sf_dir):
+    return exact_topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries():
     return {
         "op2_host_rules": op2_host_rules,
         "op3_token_counts": op3_token_counts,
+        "op4_language_ranks": op4_language_ranks,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op7_piece_bpe": op7_piece_bpe,
         "op8_sequence_files": op8_sequence_files,
+        "op10_exact_topk": op10_exact_topk,
     }
 
 
