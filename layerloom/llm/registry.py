@@ -14,12 +14,15 @@ from layerloom.llm import (
     piece_bpe,
     sequence_files,
     token_counts,
+    toxicity,
 )
 from layerloom.llm.common import read
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+# Documents whose id's crc32 modulo the first number is the second are kept from learning.
 LANGUAGE_FOLDS = (5, 0)
+TOXICITY_FOLDS = (4, 2)
 
 
 def op2_host_rules(spark, sf_dir):
@@ -52,6 +55,13 @@ def op8_sequence_files(spark, sf_dir):
     return sequence_files.read(written)
 
 
+def op9_toxicity(spark, sf_dir):
+    held_out = toxicity.held_out(*TOXICITY_FOLDS)
+    scored = toxicity.detect(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), ~held_out)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 def op10_exact_topk(spark, sf_dir):
     return exact_topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -64,6 +74,7 @@ def queries():
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_piece_bpe": op7_piece_bpe,
         "op8_sequence_files": op8_sequence_files,
+        "op9_toxicity": op9_toxicity,
         "op10_exact_topk": op10_exact_topk,
     }
 
