@@ -13,6 +13,7 @@ from layerloom.llm import (
     packing,
     piece_bpe,
     sequence_files,
+    shingle_join,
     token_counts,
     toxicity,
 )
@@ -45,6 +46,10 @@ def op5_best_fit_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op6_shingle_join(spark, sf_dir):
+    return shingle_join.join(read(spark, sf_dir, "documents"))
+
+
 def op7_piece_bpe(spark, sf_dir):
     return piece_bpe.digests(read(spark, sf_dir, "documents"), PIECE_BPE)
 
@@ -72,6 +77,7 @@ def queries():
         "op3_token_counts": op3_token_counts,
         "op4_language_ranks": op4_language_ranks,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_shingle_join": op6_shingle_join,
         "op7_piece_bpe": op7_piece_bpe,
         "op8_sequence_files": op8_sequence_files,
         "op9_toxicity": op9_toxicity,
