@@ -1,10 +1,61 @@
-"""A training-data pipeline over ``documents``: stages that each write their rows for the next."""
+"""A training-data pipeline over ``documents``: language, toxicity, near duplicates, packing.
+
+Each stage takes the rows its predecessor kept, in the columns of ``documents``, and is written
+before the next one reads it. Learned stages learn from their own input.
+
+Defined cases: rows with a null id are kept by the near-duplicate stage, as no one can tell them
+apart; rows that repeat an id with the same text are one group of duplicates; an empty input stays
+empty. Columns beyond id, text and language pass through unread.
+"""
 
 from __future__ import annotations
 
-from layerloom.llm import packing
+from pyspark.sql import functions as F
+
+from layerloom.llm import language_ranks, packing, shingle_join, toxicity
 from layerloom.llm.common import read, ship, stage
-from layerloom.llm.registry import BYTE_BPE
+from layerloom.llm.registry import BYTE_BPE, LANGUAGE_FOLDS, TOXICITY_FOLDS
+
+# Texts whose score is lower resemble no language that was learned.
+MIN_LANGUAGE_SCORE = 0.35
+_KEY = ("doc_id", "_text_hash")
+
+
+def _keyed(docs):
+    """Rows by id and text: rows that share an id are told apart."""
+    return docs.withColumn("_text_hash", F.xxhash64("text"))
+
+
+def _without(docs, rejected):
+    """``docs`` less the rejected ones, which are written first: Spark then knows how many."""
+    gone = stage(rejected.select(*_KEY).distinct()).toDF("_gone_id", "_gone_hash")
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_text_hash") == F.col("_gone_hash"))
+    return _keyed(docs).join(gone, same, "left_anti").drop("_text_hash")
+
+
+def language(spark, docs, sf_dir):
+    """Drop texts without a letter and texts that resemble no language learned here."""
+    ship(spark)
+    profiles = language_ranks.learn(docs.where(~language_ranks.held_out(*LANGUAGE_FOLDS)))
+    found = language_ranks.predict(_keyed(docs), profiles, keep=_KEY)
+    unknown = F.col("lang_pred") == language_ranks.UNKNOWN
+    return _without(docs, found.where(unknown | (F.col("score") < MIN_LANGUAGE_SCORE)))
+
+
+def toxic(spark, docs, sf_dir):
+    """Drop documents that score as toxic."""
+    labels = read(spark, sf_dir, "labels")
+    scored = toxicity.detect(_keyed(docs), labels, ~toxicity.held_out(*TOXICITY_FOLDS), keep=_KEY)
+    return _without(docs, scored.where(F.col("score") >= toxicity.THRESHOLD))
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """Keep the document with the smallest id of each group of linked documents."""
+    ship(spark)
+    joined = shingle_join.join(docs)
+    first = stage(joined.where("doc_id = component_id").select("doc_id").distinct())
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
 
 
 def best_fit_packing(spark, docs, sf_dir):
@@ -13,9 +64,14 @@ def best_fit_packing(spark, docs, sf_dir):
     return packing.pack(docs, BYTE_BPE)
 
 
-STAGES = [("best_fit_packing", best_fit_packing)]
+STAGES = [
+    ("language_ranks", language),
+    ("toxicity", toxic),
+    ("shingle_join", near_duplicates),
+    ("best_fit_packing", best_fit_packing),
+]
 
-# Encoding and learned models have no SQL form.
+# Learned models and encoding have no SQL form.
 ORACLE_SQL = None
 
 

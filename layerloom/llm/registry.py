@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from layerloom.llm import (
     exact_topk,
+    host_paths,
     host_rules,
     language_ranks,
     packing,
@@ -26,6 +27,10 @@ LANGUAGE_FOLDS = (5, 0)
 TOXICITY_FOLDS = (4, 2)
 
 
+def op1_host_paths(spark, sf_dir):
+    return host_paths.extract_pages(read(spark, sf_dir, "pages"))
+
+
 def op2_host_rules(spark, sf_dir):
     return host_rules.judge(read(spark, sf_dir, "documents")).drop("host")
 
@@ -73,6 +78,7 @@ def op10_exact_topk(spark, sf_dir):
 
 def queries():
     return {
+        "op1_host_paths": op1_host_paths,
         "op2_host_rules": op2_host_rules,
         "op3_token_counts": op3_token_counts,
         "op4_language_ranks": op4_language_ranks,

@@ -256,8 +256,10 @@ def score(voted: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = ("doc_i
     return voted.select(*keep, "votes", "terms").mapInArrow(run, f"{types}, score double")
 
 
-def learn(docs: DataFrame, labels: DataFrame, learnable: Column) -> tuple[Voters, np.ndarray, DataFrame]:
-    """Voters, weights of the classifier, and the staged votes of all ``docs``."""
+def learn(
+    docs: DataFrame, labels: DataFrame, learnable: Column, keep: tuple[str, ...] = ("doc_id",)
+) -> tuple[np.ndarray, DataFrame]:
+    """Weights of the classifier, and the staged votes of all ``docs`` with their ``keep``."""
     marked = (
         labels.where(learnable & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .groupBy("doc_id")
@@ -265,7 +267,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column) -> tuple[Voters
     )
     texts = docs.where(learnable).select("doc_id", "text").join(marked, "doc_id")
     voters = Voters(mine(texts))
-    voted = stage(vote(docs, voters))
+    voted = stage(vote(docs, voters, keep))
     joined = stage(voted.join(marked, "doc_id", "left"))
     known = F.col("toxic")
     patterns = joined.groupBy("votes").agg(
@@ -275,7 +277,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column) -> tuple[Voters
     ).toPandas()
     n_terms = len(voters.place)
     if not patterns["one"].sum() or not patterns["zero"].sum():
-        return voters, np.append(np.zeros(n_terms + 1), -30.0), voted
+        return np.append(np.zeros(n_terms + 1), -30.0), voted
     columns = [patterns[c].to_numpy() for c in ("votes", "unknown", "zero", "one")]
     model = LabelModel().fit(columns[0], *(c.astype(float) for c in columns[1:]))
     order = F.xxhash64("doc_id")
@@ -283,14 +285,16 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column) -> tuple[Voters
     votes = rows["votes"].to_numpy()
     target = model.posterior(votes)
     terms = [np.asarray(t, np.int64) for t in rows["terms"]]
-    return voters, fit_linear(terms, (votes & 1).astype(float), target, n_terms), voted
+    return fit_linear(terms, (votes & 1).astype(float), target, n_terms), voted
 
 
-def detect(docs: DataFrame, labels: DataFrame, learnable: Column) -> DataFrame:
-    """``doc_id`` and ``score`` of every row of ``docs``. Labels are learned from where
-    ``learnable``, a condition on ``doc_id``, holds."""
-    _, weights, voted = learn(docs.select("doc_id", "text"), labels, learnable)
-    return score(voted, weights)
+def detect(
+    docs: DataFrame, labels: DataFrame, learnable: Column, keep: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """``keep`` and ``score`` of every row of ``docs``. Labels are learned from where ``learnable``,
+    a condition on ``doc_id``, holds."""
+    weights, voted = learn(docs, labels, learnable, keep)
+    return score(voted, weights, keep)
 
 
 def held_out(folds: int, fold: int) -> Column:
