@@ -353,7 +353,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     measured = stage(measure(picked))
     real = measured.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    first = real.groupBy("digest").agg(F.min("doc_id").alias("node"))
+    first = stage(real.groupBy("digest").agg(F.min("doc_id").alias("node")))
     copies = stage(real.select("doc_id", "digest").join(first, "digest").select("doc_id", "node", "digest"))
     own = copies.where("doc_id = node").select("node", "digest").distinct()
     nodes = stage(real.join(own.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"]).select(
