@@ -8,7 +8,8 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from dataclasses import replace
+from datetime import date, datetime, timezone
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from layerloom.config import Config, shared_folder  # noqa: E402
-from layerloom.functions.casts import tolerant_int  # noqa: E402
+from layerloom.functions.casts import conform, tolerant_int, tolerant_timestamp  # noqa: E402
 from layerloom.functions.dates import (  # noqa: E402
     drop_null_dates,
     filter_year,
@@ -33,12 +34,11 @@ from layerloom.operators.audit import row_counts, table_report  # noqa: E402
 from layerloom.operators.limits import preview  # noqa: E402
 from layerloom.operators.upsert import (  # noqa: E402
     anti_unchanged,
-    look_ahead,
     merge_into,
     upsert,
 )
 from layerloom.plans import bronze, gold, pipeline, serving, silver  # noqa: E402
-from layerloom.schemas import POST_COLUMNS, USER_COLUMNS_NARROW, USERS  # noqa: E402
+from layerloom.schemas import POST_COLUMNS, POSTS, USER_COLUMNS_NARROW, USERS  # noqa: E402
 from layerloom.sources import files, tables  # noqa: E402
 
 # The operators for training data live in a folder of their own and may be absent.
@@ -54,6 +54,8 @@ except ModuleNotFoundError as gone:
 FIRST_STAMP, NEXT_STAMP = datetime(2023, 1, 1), datetime(2024, 1, 1)
 FIRST_DAY, NEXT_DAY = date(2023, 1, 1), date(2024, 1, 1)
 YEAR = 1998
+# What orders of the test table get after their time, in turn.
+_ZONES = ("Z", "+05:00", "-03:30", "", " Europe/Paris")
 WIDE_YEARS, NARROW_YEARS = (1995, 1998), (1999, 2001)
 
 GIVEN_TABLES = (
@@ -90,16 +92,28 @@ def _new_users(spark, sf, about=False):
 # --- scans ---------------------------------------------------------------------------------------
 
 
+def _stored(spark, df):
+    """``df`` as files, for queries whose subject is reading them."""
+    root = f"{_workspace(spark).root}/raw"
+    df.write.parquet(root)
+    return root
+
+
 def scan_posts(spark, sf):
-    return fx.posts_wide(spark, sf)
+    return files.read_entity(spark, _stored(spark, fx.posts_wide(spark, sf)))
 
 
 def scan_posts_light(spark, sf):
-    return fx.posts_wide(spark, sf).select(*POST_COLUMNS)
+    return files.read_entity(spark, _stored(spark, fx.posts_wide(spark, sf)), POST_COLUMNS)
 
 
 def scan_limit(spark, sf):
-    return preview(fx.posts(spark, sf), 20)
+    """Which rows a preview shows is open: how many they are, and how many of them are posts."""
+    posts = fx.posts(spark, sf)
+    shown = preview(posts, 20).select("Id")
+    known = posts.select("Id", F.lit(True).alias("known"))
+    met = shown.join(known, "Id", "left")
+    return met.agg(F.count("*").alias("n_rows"), F.count_if("known").alias("n_known"))
 
 
 def catalog_scan(spark, sf):
@@ -170,6 +184,56 @@ def stamp_users(spark, sf):
     return stamp_time(parse_dates(fx.users(spark, sf)), NEXT_STAMP)
 
 
+def stamp_now(spark, sf):
+    """Stamps taken from the clock: one per kind, not before the plan was made."""
+    started = F.to_timestamp(F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S+00:00")))
+    users = fx.users(spark, sf).select("Id")
+    timed, dated = stamp_time(users), stamp_day(users)
+    both = timed.join(dated.withColumnRenamed("fecha_cargue", "day"), "Id")
+    recent = F.col("fecha_cargue").between(started, started + F.expr("INTERVAL 1 HOUR"))
+    near = F.col("day").between(started.cast("date"), F.date_add(started.cast("date"), 1))
+    return both.agg(
+        F.count_distinct("fecha_cargue").alias("n_times"),
+        F.count_distinct("day").alias("n_days"),
+        F.count_if(recent & near).alias("n_in_bounds"),
+    )
+
+
+def parse_zoned_dates(spark, sf):
+    """Text with offsets and zones, made from order dates, back to UTC."""
+    text = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    zone = F.element_at(F.array(*map(F.lit, _ZONES)), (F.col("o_orderkey") % len(_ZONES) + 1).cast("int"))
+    zoned = F.concat(text, zone)
+    return fx.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("Id"), tolerant_timestamp(zoned).alias("CreationDate")
+    )
+
+
+def conform_drift(spark, sf):
+    """A batch with names in other cases, wider integers and integers that went through floats."""
+    posts = fx.posts(spark, sf)
+    drifted = posts.select(
+        F.col("Id").alias("ID"),
+        F.concat(F.col("PostTypeId").cast("string"), F.lit(".0")).alias("posttypeid"),
+        F.col("Score").cast("bigint").alias("score"),
+        F.col("ViewCount").cast("double").alias("VIEWCOUNT"),
+        F.col("CreationDate").cast("string").alias("creationDate"),
+        "OwnerUserId",
+    )
+    return conform(drifted, POSTS).select("Id", "PostTypeId", "Score", "ViewCount", "CreationDate", "OwnerUserId")
+
+
+def settings_in_force(spark, sf):
+    """Parameters from the environment, applied to a table."""
+    cfg = Config.from_env({"WAREHOUSE": "s3a://lake/", "BRONZE_YEAR": "1995,1998", "BRONZE_LIMIT_USERS": "7"})
+    users = parse_dates(fx.users(spark, sf))
+    counts = [
+        bronze.users_of_year(users, y, cfg.limit_users).agg(F.count("*").alias("n_rows")).select(F.lit(y).alias("year"), "n_rows")
+        for y in cfg.years
+    ]
+    return counts[0].unionAll(counts[1])
+
+
 def cast_reputation(spark, sf):
     return fx.users(spark, sf).select("Id", tolerant_int(F.col("Reputation")).alias("Reputation"))
 
@@ -179,22 +243,29 @@ def cast_reputation(spark, sf):
 
 def anti_unchanged_query(spark, sf):
     known, batch = parse_dates(fx.users(spark, sf)), fx.users_batch(spark, sf)
-    return anti_unchanged(known, batch, ["Id"], **look_ahead(known, batch, ["Id"]))
+    return anti_unchanged(known, batch, ["Id"])
 
 
 def upsert_users(spark, sf):
     known, batch = _known_users(spark, sf), _new_users(spark, sf)
-    return upsert(known, batch, ["Id"], **look_ahead(known, batch, ["Id"]))
+    return upsert(known, batch, ["Id"])
 
 
 def upsert_users_schema_drift(spark, sf):
     known, batch = _known_users(spark, sf), _new_users(spark, sf, about=True)
-    return upsert(known, batch, ["Id"], **look_ahead(known, batch, ["Id"]))
+    return upsert(known, batch, ["Id"])
 
 
 def upsert_posts(spark, sf):
     known, batch = fx.posts(spark, sf), fx.posts_batch(spark, sf)
-    return merge_into(known, batch, ["Id"], **look_ahead(known, batch, ["Id"], large=1))
+    return merge_into(known, batch, ["Id"])
+
+
+def upsert_time_key(spark, sf):
+    """Orders keyed by their date, which repeats: a date of the batch replaces all its rows."""
+    orders = fx.table(spark, sf, "orders").select(F.col("o_orderdate").alias("Day"), F.col("o_orderkey").alias("Id"))
+    batch = orders.where("Id % 50 = 0").select("Day", (-F.col("Id")).alias("Id"))
+    return upsert(orders, batch, ["Day"])
 
 
 def upsert_gold(spark, sf):
@@ -213,7 +284,7 @@ def silver_users_table(spark, sf):
 
 
 def silver_posts_table(spark, sf):
-    cfg = _workspace(spark)
+    cfg = replace(_workspace(spark), range_width=2_000)
     silver.build_posts(spark, cfg, [fx.posts(spark, sf)], FIRST_STAMP)
     return silver.build_posts(spark, cfg, [fx.posts_batch(spark, sf)], NEXT_STAMP)
 
@@ -242,6 +313,17 @@ def overwrite_from_self(spark, sf):
     return spark.table(cfg.posts_table)
 
 
+def publish_adds_column(spark, sf):
+    """Publish users, then users with one more column in another order, over the same table."""
+    cfg = _workspace(spark)
+    users = parse_dates(fx.users(spark, sf))
+    silver.register(spark, cfg, cfg.users_table, [users])
+    more = users.withColumn("Karma", F.col("Views").cast("bigint") * 2)
+    tables.publish(more.select("Karma", *users.columns), cfg.users_table, cfg.tables_root)
+    tables.expire(spark, cfg.users_table, cfg.tables_root, keep=0)
+    return spark.table(cfg.users_table)
+
+
 # --- measures ------------------------------------------------------------------------------------
 
 
@@ -275,25 +357,38 @@ def agg_owner_metrics(spark, sf):
 
 
 def join_owner_users(spark, sf):
-    users = fx.users(spark, sf)
-    return gold.with_users(agg_count(spark, sf), users, skew.find_hot(users, ["Id"]))
+    return gold.with_users(agg_count(spark, sf), fx.users(spark, sf))
 
 
 def gold_post_counts(spark, sf):
     return gold.post_counts_by_user(fx.posts(spark, sf), fx.users(spark, sf))
 
 
+def gold_hot_users(spark, sf):
+    """User rows that repeat, one Id with a fifth of all, met by owners who have that Id."""
+    users = fx.users(spark, sf)
+    line = fx.table(spark, sf, "lineitem").select(
+        F.when(F.col("l_linenumber") == 1, 1).otherwise(F.col("l_orderkey")).cast("long").alias("Id"),
+        F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("DisplayName"),
+    )
+    many = line.unionByName(users.select("Id", "DisplayName"))
+    per_owner = agg_count(spark, sf)
+    joined = skew.spread_left_join(per_owner, many, m.OWNER, "Id", rows_per_split=500)
+    return joined.groupBy(m.OWNER, "total_posts").agg(
+        F.count("DisplayName").alias("n_names"), F.count_distinct("DisplayName").alias("n_distinct")
+    )
+
+
 def gold_stamped(spark, sf):
     return stamp_day(gold_post_counts(spark, sf), NEXT_DAY)
 
 
 def pipeline_gold(spark, sf):
-    """Bronze years, Silver tables and Gold table in order, twice over the same files."""
+    """Bronze years, Silver tables and Gold table in order, twice over the same sources."""
     cfg = _workspace(spark)
-    bronze.ingest_span(fx.posts(spark, sf), cfg.bronze("posts"), min(cfg.years), max(cfg.years))
-    _write_bronze_users(spark, sf, cfg)
-    pipeline.build_layers(spark, cfg, FIRST_STAMP, FIRST_DAY)
-    return pipeline.build_layers(spark, cfg, NEXT_STAMP, NEXT_DAY)
+    posts, users = fx.posts(spark, sf), fx.users(spark, sf)
+    pipeline.run_pipeline(spark, cfg, posts, users, FIRST_STAMP, FIRST_DAY)
+    return pipeline.run_pipeline(spark, cfg, posts, users, NEXT_STAMP, NEXT_DAY)
 
 
 # --- serving, audit ------------------------------------------------------------------------------
@@ -322,11 +417,15 @@ def audit_row_counts(spark, sf):
 
 
 def audit_table_report(spark, sf):
-    """Counts of two catalog tables and of one that is not there."""
+    """Counts of two catalog tables, of one that is not there and of one whose files are gone."""
     cfg = _workspace(spark)
     silver.register(spark, cfg, cfg.posts_table, [fx.posts(spark, sf)])
     silver.register(spark, cfg, cfg.users_table, [fx.users(spark, sf)])
-    report = table_report(spark, [cfg.posts_table, cfg.users_table, cfg.gold_table])
+    lost = f"{cfg.silver}.lost"
+    spark.catalog.createTable(lost, path=f"{cfg.tables_root}/nowhere", source="parquet", schema=USERS)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{cfg.tables_root}/nowhere")
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    report = table_report(spark, [cfg.posts_table, cfg.users_table, cfg.gold_table, lost])
     short = F.element_at(F.split("table_name", r"\."), -1)
     return report.select(
         short.alias("table_name"), "n_rows", F.col("error").isNotNull().alias("failed")
@@ -334,9 +433,14 @@ def audit_table_report(spark, sf):
 
 
 def audit_bronze_files(spark, sf):
-    listed = files.rows_per_file(spark, [f"{sf}/{name}.parquet" for name in ("orders", "customer")])
+    """Files with rows, files without any, and a place that is not there."""
+    root = _workspace(spark).root
+    fx.table(spark, sf, "nation").limit(0).coalesce(1).write.parquet(f"{root}/empty")
+    paths = [f"{sf}/orders.parquet", f"{sf}/customer.parquet", f"{root}/empty", f"{root}/absent"]
+    listed = files.rows_per_file(spark, paths)
     name = F.element_at(F.split("file_path", "/"), -1)
-    return listed.select(name.alias("file_name"), "n_rows")
+    known = F.when(name.startswith("part-"), "empty").otherwise(name)
+    return listed.select(known.alias("file_name"), "n_rows", F.col("error").alias("error"))
 
 
 def queries() -> dict[str, Query]:
@@ -362,17 +466,23 @@ def _own_queries() -> dict[str, Query]:
         "bronze_users_by_year": bronze_users_by_year,
         "union_years": union_years,
         "stamp_users": stamp_users,
+        "stamp_now": stamp_now,
+        "parse_zoned_dates": parse_zoned_dates,
+        "conform_drift": conform_drift,
+        "settings_in_force": settings_in_force,
         "cast_reputation": cast_reputation,
         "anti_unchanged": anti_unchanged_query,
         "upsert_users": upsert_users,
         "upsert_users_schema_drift": upsert_users_schema_drift,
         "upsert_posts": upsert_posts,
+        "upsert_time_key": upsert_time_key,
         "upsert_gold": upsert_gold,
         "silver_users_table": silver_users_table,
         "silver_posts_table": silver_posts_table,
         "register_posts": register_posts,
         "rebuild_posts_light": rebuild_posts_light,
         "overwrite_from_self": overwrite_from_self,
+        "publish_adds_column": publish_adds_column,
         "agg_count": agg_count,
         "agg_conditional_count": agg_conditional_count,
         "agg_sum": agg_sum,
@@ -380,6 +490,7 @@ def _own_queries() -> dict[str, Query]:
         "agg_owner_metrics": agg_owner_metrics,
         "join_owner_users": join_owner_users,
         "gold_post_counts": gold_post_counts,
+        "gold_hot_users": gold_hot_users,
         "gold_stamped": gold_stamped,
         "pipeline_gold": pipeline_gold,
         "serve_gold_from_silver": serve_gold_from_silver,
@@ -455,14 +566,21 @@ _RECENT_GOLD = _joined(
     _metrics(f"(SELECT * FROM {_POSTS} WHERE {_between(*NARROW_YEARS)})"), extra=_DAY_NEXT
 )
 
+# Each owner's sums, times the copies of each distinct name and place among the owner's user rows.
+_SERVED_COUNTS = (
+    "COUNT(*) AS total_posts, COUNT(*) FILTER (PostTypeId = 1) AS total_preguntas, "
+    f"COUNT(*) FILTER (PostTypeId = 2) AS total_respuestas, {_ZERO_SUMS}"
+)
+_SERVED_NAMES = (
+    "total_posts", "total_preguntas", "total_respuestas", "total_score", "total_views", "total_comments"
+)
 _SERVED = f"""
-SELECT p.OwnerUserId, COUNT(*) AS total_posts,
-       CAST(SUM(CASE WHEN CAST(p.PostTypeId AS INTEGER) = 1 THEN 1 ELSE 0 END) AS BIGINT) AS total_preguntas,
-       CAST(SUM(CASE WHEN CAST(p.PostTypeId AS INTEGER) = 2 THEN 1 ELSE 0 END) AS BIGINT) AS total_respuestas,
-       {_ZERO_SUMS}, u.DisplayName, u.Location
-FROM {_POSTS} p LEFT JOIN {_RAW_USERS} u ON p.OwnerUserId = u.Id
-WHERE p.OwnerUserId IS NOT NULL
-GROUP BY p.OwnerUserId, u.DisplayName, u.Location"""
+WITH per_owner AS ({_per_owner(_SERVED_COUNTS)}), people AS (
+  SELECT Id, DisplayName, Location, COUNT(*) AS copies FROM {_RAW_USERS} GROUP BY ALL
+)
+SELECT OwnerUserId, {", ".join(f"CAST({n} * COALESCE(copies, 1) AS BIGINT) AS {n}" for n in _SERVED_NAMES)},
+       DisplayName, Location
+FROM per_owner LEFT JOIN people ON Id = OwnerUserId"""
 
 _UPSERTED_USERS = f"""
 SELECT *, {_STAMPED_FIRST} FROM {_USERS} WHERE Id NOT IN (SELECT Id FROM {_LATER_USERS})
@@ -511,6 +629,34 @@ SELECT {_NARROW}, {_NO_ATTRIBUTES}, CAST(year(CreationDate) AS INT) AS year FROM
 WHERE {_between(*NARROW_YEARS)} OR year(CreationDate) = {YEAR}""",
         "union_years": f"SELECT * FROM {_USERS_BY_SHAPE}",
         "stamp_users": f"SELECT *, {_STAMPED_NEXT} FROM {_USERS}",
+        "scan_limit": f"SELECT LEAST(COUNT(*), 20) AS n_rows, LEAST(COUNT(*), 20) AS n_known FROM {_POSTS}",
+        "stamp_now": f"""
+SELECT CAST(1 AS BIGINT) AS n_times, CAST(1 AS BIGINT) AS n_days, COUNT(*) AS n_in_bounds FROM {_RAW_USERS}""",
+        "parse_zoned_dates": """
+SELECT o_orderkey AS Id, CASE o_orderkey % 5
+         WHEN 1 THEN o_orderdate - INTERVAL 5 HOURS
+         WHEN 2 THEN o_orderdate + INTERVAL 210 MINUTES
+         WHEN 4 THEN timezone('UTC', timezone('Europe/Paris', CAST(o_orderdate AS TIMESTAMP)))
+         ELSE CAST(o_orderdate AS TIMESTAMP) END AS CreationDate
+FROM orders""",
+        "conform_drift": f"SELECT Id, PostTypeId, Score, ViewCount, CreationDate, OwnerUserId FROM {_POSTS}",
+        "settings_in_force": f"""
+SELECT CAST(y AS INT) AS year, LEAST(7, (SELECT COUNT(*) FROM {_USERS} WHERE year(CreationDate) = y)) AS n_rows
+FROM (VALUES (1995), (1998)) years(y)""",
+        "upsert_time_key": """
+SELECT o_orderdate AS Day, o_orderkey AS Id FROM orders
+WHERE o_orderdate NOT IN (SELECT o_orderdate FROM orders WHERE o_orderkey % 50 = 0)
+UNION ALL SELECT o_orderdate, -o_orderkey FROM orders WHERE o_orderkey % 50 = 0""",
+        "publish_adds_column": f"SELECT *, CAST(Views AS BIGINT) * 2 AS Karma FROM {_USERS}",
+        "gold_hot_users": f"""
+WITH many AS (
+  SELECT CAST(CASE WHEN l_linenumber = 1 THEN 1 ELSE l_orderkey END AS BIGINT) AS Id,
+         'line ' || l_linenumber AS DisplayName FROM lineitem
+  UNION ALL SELECT Id, DisplayName FROM {_RAW_USERS}
+)
+SELECT OwnerUserId, total_posts, COUNT(DisplayName) AS n_names, COUNT(DISTINCT DisplayName) AS n_distinct
+FROM ({_per_owner("COUNT(Id) AS total_posts")}) LEFT JOIN many ON many.Id = OwnerUserId
+GROUP BY OwnerUserId, total_posts""",
         "cast_reputation": f"""
 SELECT Id, TRY_CAST(split_part(Reputation, '.', 1) AS INTEGER) AS Reputation FROM {_RAW_USERS}""",
         "anti_unchanged": f"""
@@ -535,7 +681,9 @@ UNION ALL SELECT * FROM fresh""",
         "join_owner_users": _joined(_per_owner("COUNT(Id) AS total_posts")),
         "gold_post_counts": _GOLD,
         "gold_stamped": _joined(_metrics(), extra=_DAY_NEXT),
-        "pipeline_gold": _joined(_metrics(), users=_USERS_BY_SHAPE, extra=_DAY_NEXT),
+        "pipeline_gold": _joined(
+            _metrics(), users=f"(SELECT * FROM {_USERS} WHERE {_between(1995, 2001)})", extra=_DAY_NEXT
+        ),
         "serve_gold_from_silver": _SERVED,
         "serve_sums_coalesced": _per_owner(_ZERO_SUMS),
         "serve_top_owners": f"""{_SERVED}
@@ -547,8 +695,10 @@ ORDER BY total_posts DESC, OwnerUserId, DisplayName, Location LIMIT 20""",
         "audit_table_report": f"""
 SELECT 'posts_hist' AS table_name, COUNT(*) AS n_rows, FALSE AS failed FROM {_POSTS}
 UNION ALL SELECT 'users_hist', COUNT(*), FALSE FROM {_RAW_USERS}
-UNION ALL SELECT 'post_counts_by_user', CAST(NULL AS BIGINT), TRUE""",
+UNION ALL SELECT 'post_counts_by_user', CAST(NULL AS BIGINT), TRUE
+UNION ALL SELECT 'lost', CAST(NULL AS BIGINT), TRUE""",
         "audit_bronze_files": """
-SELECT 'orders.parquet' AS file_name, COUNT(*) AS n_rows FROM orders
-UNION ALL SELECT 'customer.parquet', COUNT(*) FROM customer""",
+SELECT 'orders.parquet' AS file_name, COUNT(*) AS n_rows, CAST(NULL AS VARCHAR) AS error FROM orders
+UNION ALL SELECT 'customer.parquet', COUNT(*), NULL FROM customer
+UNION ALL SELECT 'empty', 0, NULL UNION ALL SELECT 'absent', NULL, 'missing'""",
     }

@@ -19,17 +19,30 @@ from layerloom.sources.files import read_entity, read_years, rows_per_file, year
 YEAR_FOLDER = "/year={year}"
 
 
+def _report(spark, *names):
+    table_report(spark, names).show(len(names), truncate=False)
+
+
+def _list(spark, paths):
+    for row in rows_per_file(spark, paths).orderBy("file_path").toLocalIterator():
+        print(*(row[c] for c in ("file_path", "n_bytes", "n_rows", "error")), sep="\t")
+
+
+def _bronze_paths(cfg, *entities):
+    return [yearly_path(cfg.bronze(e) + YEAR_FOLDER, y) for e in entities for y in cfg.years]
+
+
 def ingest_posts(spark, cfg, args):
     for year in cfg.years:
         posts = read_entity(spark, yearly_path(args.source, year))
         bronze.ingest_posts(posts, cfg.bronze("posts"), year, cfg.limit_posts)
+    _list(spark, _bronze_paths(cfg, "posts"))
 
 
 def ingest_users(spark, cfg, args):
-    users = read_entity(spark, args.source)
-    columns = USER_COLUMNS_NARROW if args.narrow else None
-    for year in cfg.years:
-        bronze.ingest_users(users, cfg.bronze("users"), year, cfg.limit_users, columns)
+    users = read_entity(spark, args.source, USER_COLUMNS_NARROW if args.narrow else None)
+    bronze.ingest_span(users, cfg.bronze("users"), min(cfg.years), max(cfg.years), cfg.limit_users)
+    _list(spark, _bronze_paths(cfg, "users"))
 
 
 def _years(spark, cfg, entity):
@@ -38,43 +51,46 @@ def _years(spark, cfg, entity):
 
 def build_users(spark, cfg, args):
     silver.build_users(spark, cfg, _years(spark, cfg, "users"))
+    _report(spark, cfg.users_table)
 
 
 def build_posts(spark, cfg, args):
     silver.build_posts(spark, cfg, _years(spark, cfg, "posts"))
+    _report(spark, cfg.posts_table)
 
 
 def rebuild_posts(spark, cfg, args):
     silver.rebuild_posts_light(spark, cfg, _years(spark, cfg, "posts"))
+    _report(spark, cfg.posts_table)
 
 
 def register(spark, cfg, args):
     silver.register(spark, cfg, cfg.posts_table, _years(spark, cfg, "posts"))
     silver.register(spark, cfg, cfg.users_table, _years(spark, cfg, "users"))
+    _report(spark, cfg.posts_table, cfg.users_table)
 
 
 def build_gold(spark, cfg, args):
     gold.build_gold(spark, cfg).show(5, truncate=False)
+    _report(spark, cfg.gold_table)
 
 
 def build_layers(spark, cfg, args):
     pipeline.build_layers(spark, cfg).show(5, truncate=False)
+    _report(spark, cfg.posts_table, cfg.users_table, cfg.gold_table)
 
 
 def top(spark, cfg, args):
-    posts, users = spark.table(cfg.posts_table), spark.table(cfg.users_table)
+    posts, users = silver.read_table(spark, cfg.posts_table), silver.read_table(spark, cfg.users_table)
     serving.top_owners(posts, users).show(20, truncate=False)
 
 
 def audit(spark, cfg, args):
-    names = [cfg.posts_table, cfg.users_table, cfg.gold_table]
-    table_report(spark, names).show(truncate=False)
+    _report(spark, cfg.posts_table, cfg.users_table, cfg.gold_table)
 
 
 def list_bronze(spark, cfg, args):
-    entities = ("posts", "users")
-    paths = [yearly_path(cfg.bronze(e) + YEAR_FOLDER, y) for e in entities for y in cfg.years]
-    rows_per_file(spark, paths).show(100, truncate=False)
+    _list(spark, _bronze_paths(cfg, "posts", "users"))
 
 
 STEPS = {

@@ -14,7 +14,8 @@ class Config:
     """Everything a run needs to know.
 
     ``root`` is a folder every executor can reach. A limit of ``None`` means no cap and ``0``
-    means no rows.
+    means no rows. ``range_width`` cuts new history tables into partitions of so many Ids, so that
+    an upsert leaves alone the ranges its batch has no keys in; ``None`` keeps a table in one piece.
     """
 
     root: str
@@ -23,6 +24,7 @@ class Config:
     limit_users: int | None = None
     silver: str = "silver"
     gold: str = "gold"
+    range_width: int | None = None
     session: Mapping[str, str] = field(default_factory=dict)
 
     @property
@@ -58,6 +60,7 @@ class Config:
             years=years,
             limit_posts=_limit(env.get("BRONZE_LIMIT_POSTS", shared)),
             limit_users=_limit(env.get("BRONZE_LIMIT_USERS", shared)),
+            range_width=_limit(env.get("RANGE_WIDTH")),
         )
 
 

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerloom.functions.casts import tolerant_timestamp
 
 
 def parse_dates(df: DataFrame, column: str = "CreationDate") -> DataFrame:
+    """Dates without zone; a column that holds them already stays as it is, open to pushdown."""
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        return df
     return df.withColumn(column, tolerant_timestamp(F.col(column)))
 
 

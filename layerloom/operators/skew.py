@@ -1,124 +1,56 @@
-"""Joins that stay even when one key holds a large part of the rows.
+"""A left join that stays even when one key of the right side holds a large part of its rows.
 
-The rows of a hot key are spread over several join partitions by a salt, and the row (or the few
-rows) they meet on the other side is repeated once per salt. A row always carries exactly one salt,
-so every pair is found exactly once and no row is lost or doubled.
-
-Which keys are hot only decides how the work is spread, never the result.
+Adaptive execution splits a large join partition on the left side of a left, semi or anti join and
+on both sides of an inner one. What it cannot split is the right side of a left join; that is what
+``spread_left_join`` is for. The numbers of rows are exact counts that stay in Spark as a frame of
+the plan: no job runs while the plan is built, nothing is collected, and any number of keys may be
+hot.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
 SPLITS = "_splits"
+PLACE = "_place"
 
 # A key needs no splitting below this many rows: one task handles them with ease.
 ROWS_PER_SPLIT = 1_000_000
-# At most this many keys are split.
-MAX_HOT_KEYS = 1024
-# Counters per sketch, a few hundred KB. With so many, a key with over about 1/2300 of all rows
-# cannot escape; one below that share makes a task larger than its peers, but not by much.
-SKETCH_ITEMS = 8192
-# Sketches are merged in this many tasks before the last merge.
-SKETCH_MERGERS = 256
-
 
-def hot_keys(
-    df: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """The most frequent values of ``key`` above ``rows_per_split`` rows, with their splits.
 
-    One pass over the key column with a frequent-items sketch per task: no row is shuffled, only
-    sketches of fixed size, merged in two steps. The result has at most ``max_keys`` rows whatever
-    the size of ``df``. Null counts as a value.
-    """
-    value = f"`{key}`"
-    sketches = (
-        df.select(key, F.pmod(F.spark_partition_id(), SKETCH_MERGERS).alias("_merger"))
-        .groupBy("_merger")
-        .agg(F.expr(f"approx_top_k_accumulate({value}, {SKETCH_ITEMS})").alias("_sketch"))
-    )
-    # Grouped by a constant: without any row there is no sketch, and a plain total would fail.
-    merged = sketches.groupBy(F.lit(0).alias("_all")).agg(
-        F.expr(f"approx_top_k_combine(_sketch, {SKETCH_ITEMS})").alias("_sketch")
-    )
-    top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(_sketch, {max_keys})")).alias("_top"))
-    splits = F.ceil(F.col("_top.count") / rows_per_split).cast("int")
-    return top.where(F.col("_top.count") > rows_per_split).select(
-        F.col("_top.item").alias(key), splits.alias(SPLITS)
-    )
+def split_counts(df: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """Keys with more than ``rows_per_split`` rows and the number of their splits. Null is no key."""
+    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    splits = F.ceil(F.col("_n") / rows_per_split).cast("int")
+    return counted.where(F.col("_n") > rows_per_split).select(key, splits.alias(SPLITS))
 
 
-def find_hot(
-    df: DataFrame,
-    keys: Sequence[str],
+def spread_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
     rows_per_split: int = ROWS_PER_SPLIT,
-    max_keys: int = MAX_HOT_KEYS,
-) -> DataFrame | None:
-    """``hot_keys`` of the first key column, looked up now; ``None`` when nothing is hot, as usual.
-
-    A composite key can only be hot if the value of its first column is. Knowing the answer before
-    the join is planned keeps the salt out of plans that have no use for it. At most ``max_keys``
-    values come to the driver.
-    """
-    hot = hot_keys(df, keys[0], rows_per_split, max_keys)
-    found = hot.collect()
-    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
-
-
-def _with_splits(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    # The broadcast side has at most MAX_HOT_KEYS rows of one value and one number.
-    marked = df.join(F.broadcast(hot), key, "left")
-    return marked.withColumn(SPLITS, F.coalesce(SPLITS, F.lit(1)))
-
-
-def spread(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Give each row its salt: 0, or one of the splits of its hot key.
-
-    The salt is the number of the input partition, not a random number: it comes out the same when
-    a lost task runs again, and equal copies of a row still get different salts. Rows with a null
-    key match nothing, so they are spread over all partitions.
-    """
-    part = F.spark_partition_id()
-    salt = F.when(F.col(key).isNull(), part).otherwise(F.pmod(part, F.col(SPLITS)))
-    return _with_splits(df, key, hot).withColumn(SALT, salt).drop(SPLITS)
-
-
-def repeat(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Repeat each row of a hot key once per salt; meant for the side with one row per key."""
-    each = F.explode(F.sequence(F.lit(0), F.col(SPLITS) - 1))
-    return _with_splits(df, key, hot).withColumn(SALT, each)
-
-
-def join_spread(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame, how: str
-) -> DataFrame:
-    """Join with ``right``, one row per key, while the hot keys of ``left`` are spread.
-
-    ``how`` is a join that keeps to the rows of ``left``: left, anti, semi or inner.
-    """
-    a = spread(left, keys[0], hot)
-    b = repeat(right, keys[0], hot).drop(SPLITS)
-    return a.join(b, [*keys, SALT], how).drop(SALT)
-
-
-def left_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot: DataFrame
 ) -> DataFrame:
-    """Left outer join of one row per key with a side where a key may have very many rows.
+    """Left outer join on one key; the rows of a hot key of ``right`` go to several tasks.
 
-    ``hot`` holds hot keys of ``right`` under the name ``right_key``. A repeated left row finds no
-    partner under the salts that are not in use; since a hot key has partners under others, those
-    empty-handed repeats are dropped again.
+    A right row carries one salt, taken from all its columns and its place in the input, so equal
+    copies and rows of one input task are spread too. A left row is repeated once per split of its
+    key. A repeat without a partner is dropped only if its key is hot: such a key has its partners
+    under other salts, since counts and rows come from the same frame. ``right`` should be a scan
+    or a staged table, whose rows have the same places when a task runs again.
     """
-    a = repeat(left, left_key, hot.withColumnRenamed(right_key, left_key))
-    a = a.withColumnRenamed(SALT, "_left_salt")
-    b = spread(right, right_key, hot)
+    placed = right.where(F.col(right_key).isNotNull()).withColumn(PLACE, F.monotonically_increasing_id())
+    hot = split_counts(right, right_key, rows_per_split)
+    salt = F.pmod(F.xxhash64(*right.columns, PLACE), F.coalesce(F.col(SPLITS), F.lit(1)))
+    salted = placed.join(hot, right_key, "left").withColumn(SALT, salt.cast("int"))
+    b = salted.select(*right.columns, SALT)
+    splits = F.coalesce(F.col(SPLITS), F.lit(1))
+    each = F.explode(F.sequence(F.lit(0), splits - 1)).alias("_left_salt")
+    known = left.join(hot.withColumnRenamed(right_key, left_key), left_key, "left")
+    a = known.select(*left.columns, splits.alias(SPLITS), each)
     joined = a.join(b, (a[left_key] == b[right_key]) & (a["_left_salt"] == b[SALT]), "left")
     empty_handed = (F.col(SPLITS) > 1) & F.col(right_key).isNull()
     return joined.where(~empty_handed).drop("_left_salt", SALT, SPLITS)

@@ -1,130 +1,62 @@
-"""Keyed upserts as pure functions over two frames."""
+"""Keyed upserts as pure functions over two frames.
+
+There is one plan for every batch. The table is the left side of its join, so Spark broadcasts the
+batch's keys when they are small and adaptive execution splits a table key with very many rows when
+they are not. To leave alone what a batch cannot touch, partition the table by ranges of its key
+(``sources.tables.upsert_ranges``).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.operators import skew
-
 CLAIMS = "_claims"
 
-# First and last key of a batch.
-Span = tuple[Any, Any] | None
-# The keys of a smaller batch are far below Spark's broadcast threshold, so the table stays where it
-# is and there is nothing to prepare.
-LARGE_BATCH = 100_000
-
-
-def look_ahead(
-    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], large: int = LARGE_BATCH
-) -> dict[str, Any]:
-    """What is worth knowing before a batch of ``large`` rows or more is joined: ``hot`` and
-    ``span`` for the functions below. Reads the key columns; nothing for a smaller batch."""
-    span = find_span(incoming, keys, large)
-    return {} if span is None else {"hot": find_hot(existing, incoming, keys), "span": span}
-
 
-def find_hot(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """Keys with very many rows on either side."""
-    both = existing.select(keys[0]).unionAll(incoming.select(keys[0]))
-    return skew.find_hot(both, keys)
-
-
-def find_span(incoming: DataFrame, keys: Sequence[str], min_rows: int) -> Span:
-    """Lowest and highest first key of a batch of at least ``min_rows`` rows."""
-    key = F.col(keys[0])
-    low, high, rows = incoming.agg(F.min(key), F.max(key), F.count("*")).first()
-    return None if low is None or rows < min_rows else (low, high)
-
-
-def anti_unchanged(
-    existing: DataFrame,
-    incoming: DataFrame,
-    keys: Sequence[str],
-    hot: DataFrame | None = None,
-    span: Span = None,
-) -> DataFrame:
+def anti_unchanged(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Existing rows the batch does not replace, in their own column order.
 
-    A null key equals nothing, so such rows are always kept. Only the batch's keys take part: Spark
-    broadcasts them when their size is below its threshold, otherwise both sides are shuffled.
-
-    With ``hot`` (``find_hot``) the batch's copies are dropped before they move and the hot rows of
-    ``existing`` are spread. With ``span`` (``find_span``) existing rows outside the batch's key
-    range, which it cannot replace, skip the join.
+    A null key equals nothing, so such rows are always kept.
     """
-    near, far = _split(existing, keys, span)
-    replaced = _keys(incoming, keys)
-    if hot is None:
-        kept = near.join(replaced, list(keys), "left_anti")
-    else:
-        kept = skew.join_spread(near, replaced.distinct(), keys, hot, "left_anti")
-    return _together(kept.select(*existing.columns), far)
-
-
-def upsert(
-    existing: DataFrame,
-    incoming: DataFrame,
-    keys: Sequence[str],
-    hot: DataFrame | None = None,
-    span: Span = None,
-) -> DataFrame:
+    kept = existing.join(_keys(incoming, keys), list(keys), "left_anti")
+    return kept.select(*existing.columns)
+
+
+def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Replace whole rows by key and add the new ones.
 
     Rows are replaced whole: a column the batch lacks becomes null on the rows it replaces. A
     column only the batch has is added and is null on the rows that stay. All incoming rows are
     kept, also those that share a key.
     """
-    kept = anti_unchanged(existing, incoming, keys, hot, span)
+    kept = anti_unchanged(existing, incoming, keys)
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
 def merge_into(
-    existing: DataFrame,
-    incoming: DataFrame,
-    keys: Sequence[str],
-    hot: DataFrame | None = None,
-    span: Span = None,
-    strict: bool = False,
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], strict: bool = False
 ) -> DataFrame:
-    """``upsert`` under the rule of SQL ``MERGE``: one target row, one source row.
+    """``upsert`` under the rules of SQL ``MERGE``.
 
-    The job that computes the result fails when several incoming rows match the same existing row;
-    with ``strict`` also when they share a key nothing matches. The check rides on the join, there
-    is no separate pass.
+    The batch must have every column of the table. The job that computes the result fails when
+    several incoming rows match the same existing row; with ``strict`` also when they share a key
+    nothing matches. That check rides on the join, there is no separate pass.
     """
-    near, far = _split(existing, keys, span)
+    have = {c.lower() for c in incoming.columns}
+    missing = [c for c in existing.columns if c.lower() not in have]
+    if missing:
+        raise ValueError(f"the batch lacks columns of the table: {', '.join(missing)}")
     claims = _keys(incoming, keys).groupBy(*keys).agg(F.count("*").alias(CLAIMS))
     if strict:
         refused = F.when(F.col(CLAIMS) > 1, _refuse(keys).cast("bigint"))
         claims = claims.withColumn(CLAIMS, refused.otherwise(F.col(CLAIMS)))
-    if hot is None:
-        met = near.join(claims, list(keys), "left")
-    else:
-        met = skew.join_spread(near, claims, keys, hot, "left")
+    met = existing.join(claims, list(keys), "left")
     several = F.when(F.col(CLAIMS) > 1, _refuse(keys).cast("boolean"))
     kept = met.where(several.otherwise(F.col(CLAIMS).isNull())).select(*existing.columns)
-    return _together(kept, far).unionByName(incoming, allowMissingColumns=True)
-
-
-def _split(
-    existing: DataFrame, keys: Sequence[str], span: Span
-) -> tuple[DataFrame, DataFrame | None]:
-    # Two scans with opposite filters on the same column. Both reach the Parquet reader, which
-    # skips row groups by their statistics, so a table in key order is still read about once.
-    if span is None:
-        return existing, None
-    key = F.col(keys[0])
-    outside = key.isNull() | (key < span[0]) | (key > span[1])
-    return existing.where(key.between(*span)), existing.where(outside)
-
-
-def _together(kept: DataFrame, far: DataFrame | None) -> DataFrame:
-    return kept if far is None else kept.unionAll(far)
+    return kept.unionByName(incoming, allowMissingColumns=True)
 
 
 def _keys(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -132,5 +64,6 @@ def _keys(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _refuse(keys: Sequence[str]):
-    named = F.to_json(F.struct(*keys))
+    # Binary keys have no JSON form.
+    named = F.concat_ws(", ", *(F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys))
     return F.raise_error(F.concat(F.lit("several incoming rows for key "), named))

@@ -12,7 +12,7 @@ from layerloom.functions.casts import tolerant_int
 from layerloom.functions.stamps import stamp_day
 from layerloom.operators import skew
 from layerloom.operators.metrics import OWNER, owner_metrics
-from layerloom.plans.silver import upsert_table
+from layerloom.plans.silver import read_table, upsert_table
 from layerloom.sources import tables
 
 
@@ -25,29 +25,26 @@ def user_attributes(users: DataFrame) -> DataFrame:
     )
 
 
-def with_users(metrics: DataFrame, users: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def with_users(metrics: DataFrame, users: DataFrame, spread: bool = False) -> DataFrame:
     """Add user attributes; owners without a user row keep nulls, repeated users repeat the row.
 
-    ``metrics`` has one row per owner, so only the user side can be lopsided: ``hot``
-    (``skew.find_hot`` of the users' ``Id``) spreads an Id that holds very many rows. No broadcast
-    is forced; Spark broadcasts the users when their size is below its threshold.
+    No broadcast is forced; Spark broadcasts the users when their size is below its threshold. An
+    ``Id`` is unique in a history table; ``spread`` is for users where one may hold very many rows.
     """
     attributes = user_attributes(users)
-    if hot is None:
-        joined = metrics.join(attributes, F.col(OWNER) == F.col("UserId"), "left")
+    if spread:
+        joined = skew.spread_left_join(metrics, attributes, OWNER, "UserId")
     else:
-        joined = skew.left_join(
-            metrics, attributes, OWNER, "UserId", hot.withColumnRenamed("Id", "UserId")
-        )
+        joined = metrics.join(attributes, F.col(OWNER) == F.col("UserId"), "left")
     return joined.drop("UserId")
 
 
-def post_counts_by_user(posts: DataFrame, users: DataFrame) -> DataFrame:
+def post_counts_by_user(posts: DataFrame, users: DataFrame, spread: bool = False) -> DataFrame:
     """Aggregate first, join second: the join sees one row per owner instead of every post."""
-    return with_users(owner_metrics(posts), users, skew.find_hot(users, ["Id"]))
+    return with_users(owner_metrics(posts), users, spread)
 
 
 def build_gold(spark: SparkSession, cfg: Config, on: date | None = None) -> DataFrame:
     tables.require(spark, cfg.posts_table, cfg.users_table)
-    gold = post_counts_by_user(spark.table(cfg.posts_table), spark.table(cfg.users_table))
+    gold = post_counts_by_user(read_table(spark, cfg.posts_table), read_table(spark, cfg.users_table))
     return upsert_table(spark, cfg, cfg.gold_table, stamp_day(gold, on), [OWNER])

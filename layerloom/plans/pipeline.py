@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from layerloom.config import Config
+from layerloom.plans.bronze import ingest_span
 from layerloom.plans.gold import build_gold
 from layerloom.plans.silver import build_users, rebuild_posts_light
 from layerloom.schemas import POSTS
@@ -24,3 +25,22 @@ def build_layers(
     rebuild_posts_light(spark, cfg, posts, at)
     build_users(spark, cfg, users, at)
     return build_gold(spark, cfg, on)
+
+
+def run_pipeline(
+    spark: SparkSession,
+    cfg: Config,
+    posts: DataFrame,
+    users: DataFrame,
+    at: datetime | None = None,
+    on: date | None = None,
+) -> DataFrame:
+    """Bronze, Silver and Gold of the years of ``cfg`` from the raw sources, each read once.
+
+    Years and row caps come from ``cfg``. Years between the first and the last that ``cfg`` does not
+    name are written to Bronze but not built.
+    """
+    first, last = min(cfg.years), max(cfg.years)
+    ingest_span(posts, cfg.bronze("posts"), first, last, cfg.limit_posts)
+    ingest_span(users, cfg.bronze("users"), first, last, cfg.limit_users)
+    return build_layers(spark, cfg, at, on)

@@ -26,29 +26,24 @@ def served_measures() -> dict:
     return counts | {name: total_or_zero(column) for name, column in SERVED_SUMS.items()}
 
 
-def gold_from_silver(posts: DataFrame, users: DataFrame) -> DataFrame:
+def gold_from_silver(posts: DataFrame, users: DataFrame, spread: bool = False) -> DataFrame:
     """Metrics by owner, display name and location, straight from posts left-joined to users.
 
     The report is defined as join first, group second. All its measures are sums, so the same
     numbers come from grouping both sides first and multiplying: posts shrink to one row per owner
     and users to one row per distinct (Id, name, location) with the number of its copies, before
-    anything is joined. A user row that occurs twice still counts its posts twice.
+    anything is joined. A user row that occurs twice still counts its posts twice. ``spread`` is
+    for users where one ``Id`` may hold very many different rows.
     """
     measures = served_measures()
     per_owner = owned(posts).groupBy(OWNER).agg(*(m.alias(n) for n, m in measures.items()))
-    hot = skew.find_hot(users, ["Id"])
-    # Without a hot Id, one shuffle by Id serves both the grouping and the join. With one, its
-    # copies are combined before they move, and what is left of it is spread.
-    placed = users.repartition("Id") if hot is None else users
-    people = placed.groupBy(F.col("Id").alias("UserId"), "DisplayName", "Location").agg(
+    people = users.groupBy(F.col("Id").alias("UserId"), "DisplayName", "Location").agg(
         F.count("*").alias("_copies")
     )
-    if hot is None:
-        joined = per_owner.join(people, F.col(OWNER) == F.col("UserId"), "left")
+    if spread:
+        joined = skew.spread_left_join(per_owner, people, OWNER, "UserId")
     else:
-        joined = skew.left_join(
-            per_owner, people, OWNER, "UserId", hot.withColumnRenamed("Id", "UserId")
-        )
+        joined = per_owner.join(people, F.col(OWNER) == F.col("UserId"), "left")
     copies = F.coalesce("_copies", F.lit(1))
     return joined.select(
         OWNER, *((F.col(n) * copies).alias(n) for n in measures), "DisplayName", "Location"

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from layerloom.config import Config
 from layerloom.functions.stamps import stamp_time
 from layerloom.operators.align import union_aligned
-from layerloom.operators.upsert import look_ahead, merge_into, upsert
+from layerloom.operators.upsert import merge_into, upsert
 from layerloom.schemas import POST_COLUMNS, POSTS, USERS
 from layerloom.sources import tables
 
@@ -52,14 +52,23 @@ def merge_table(
 def _write_keyed(spark, cfg, name, incoming, keys, combine) -> DataFrame:
     tables.create_namespace(spark, name.rpartition(".")[0], cfg.tables_root)
     if not tables.exists(spark, name):
-        tables.create(incoming, name, cfg.tables_root)
-        return spark.table(name)
-    existing = spark.table(name)
+        if cfg.range_width is None or keys != ["Id"]:
+            tables.create(incoming, name, cfg.tables_root)
+        else:
+            tables.create_ranges(incoming, name, cfg.tables_root, "Id", cfg.range_width)
+        return read_table(spark, name)
     # The batch feeds both the anti-join and the union, so it is computed once and read twice.
-    batch = tables.stage(incoming, cfg.staging_root)
-    merged = combine(existing, batch, keys, **look_ahead(existing, batch, keys))
-    tables.publish(merged, name, cfg.tables_root)
-    return spark.table(name)
+    with tables.staged(incoming, cfg.staging_root) as batch:
+        if tables.RANGE in spark.table(name).columns:
+            tables.upsert_ranges(batch, name, cfg.tables_root, "Id", cfg.range_width, combine)
+        else:
+            tables.publish(combine(spark.table(name), batch, keys), name, cfg.tables_root)
+    return read_table(spark, name)
+
+
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """A history table without the column that only says where its rows lie."""
+    return spark.table(name).drop(tables.RANGE)
 
 
 def build_users(

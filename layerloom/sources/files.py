@@ -68,15 +68,37 @@ def write_years(df: DataFrame, root: str, year_column: str = "year") -> str:
     return root
 
 
+FOUND = "file_path string, n_bytes long, n_rows long, error string"
+
+
 def rows_per_file(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Listing of the files under ``paths`` that hold rows, with their row counts.
+    """Listing of all Parquet files under ``paths``: size and rows, empty files included.
 
-    Only file metadata is asked for, so no column is read.
+    A path that is not there is listed with an error. Only file metadata is asked for, no column
+    and no content is read.
     """
-    per_path = [
-        spark.read.parquet(path)
-        .groupBy(F.col("_metadata.file_path").alias("file_path"))
-        .agg(F.count("*").alias("n_rows"))
-        for path in paths
-    ]
-    return reduce(DataFrame.unionAll, per_path)
+    parts = []
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+            parts.append(spark.createDataFrame([(path, None, None, "missing")], FOUND))
+            continue
+        listed = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .load(path)
+            .select(F.col("path").alias("file_path"), F.col("length").alias("n_bytes"))
+        )
+        counted = (
+            spark.read.parquet(path)
+            .groupBy(F.col("_metadata.file_path").alias("file_path"))
+            .agg(F.count("*").alias("n_rows"))
+        )
+        # One names a local file file:/x, the other file:///x.
+        plain = F.regexp_replace("file_path", r"^file:/+", "file:/")
+        listed, counted = (d.withColumn("file_path", plain) for d in (listed, counted))
+        rows = F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+        both = listed.join(counted, "file_path", "left")
+        parts.append(both.select("file_path", "n_bytes", rows, F.lit(None).cast("string").alias("error")))
+    return reduce(DataFrame.unionAll, parts)

@@ -8,11 +8,14 @@ One writer per table at a time: of two concurrent replaces the last one wins.
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerloom.sources.files import read_entity
 
@@ -41,37 +44,131 @@ def create(df: DataFrame, name: str, root: str) -> None:
     _attach(spark, name, df, _write_version(df, name, root))
 
 
-def publish(df: DataFrame, name: str, root: str) -> None:
+def publish(df: DataFrame, name: str, root: str, widen: bool = False) -> None:
     """Create ``name`` or replace all its rows; ``df`` may read ``name``.
 
-    The table keeps its columns and their order; columns new in ``df`` are added at its end. If
-    columns went away or changed type, see ``rebuild``.
+    The table keeps its columns, their order and their types; columns new in ``df`` are added at its
+    end. A ``df`` that lacks a column, or has one in a type that does not fit into the table's, is
+    refused. ``widen`` lets a column of the table grow to a larger type of its kind.
+
+    With added columns the catalog takes two statements; a reader between them sees the new columns
+    as null.
     """
     spark = df.sparkSession
-    if exists(spark, name):
-        old, new = _columns(spark.table(name)), _columns(df)
-        if old.items() <= new.items():
-            added = {n: t for n, t in new.items() if n not in old}
-            location = _write_version(df.select(*old, *added), name, root)
-            _point(spark, name, location, added)
-            return
-    rebuild(df, name, root)
+    if not exists(spark, name):
+        rebuild(df, name, root)
+        return
+    old, new = _columns(spark.table(name)), _columns(df)
+    lost = [n for n in old if n not in new]
+    if lost:
+        raise ValueError(f"{name} would lose columns: {', '.join(lost)}")
+    grown = [n for n, t in old.items() if new[n] != t and _fits(t, new[n])]
+    unfit = [n for n, t in old.items() if new[n] != t and not _fits(new[n], t) and n not in grown]
+    if unfit or grown and not widen:
+        raise ValueError(f"{name} would change the types of: {', '.join(unfit or grown)}")
+    added = {n: t for n, t in new.items() if n not in old}
+    kept = [F.col(f"`{n}`").cast(new[n] if n in grown else t).alias(n) for n, t in old.items()]
+    shaped = df.select(*kept, *(F.col(f"`{n}`") for n in added))
+    if grown:
+        rebuild(shaped, name, root)
+    else:
+        _point(spark, name, _write_version(shaped, name, root), added)
+
+
+# Types that hold every value of those before them.
+_WIDER = (("tinyint", "smallint", "int", "bigint"), ("float", "double"))
+
+
+def _fits(small: str, large: str) -> bool:
+    return any(small in w and large in w and w.index(small) < w.index(large) for w in _WIDER)
 
 
 def rebuild(df: DataFrame, name: str, root: str) -> None:
     """Create ``name`` or replace it together with its columns and their order.
 
-    The catalog cannot take columns away, so a table whose columns differ is dropped and entered
-    again over the new files, which are complete by then.
+    The catalog cannot take columns away. If columns differ, the new files get an entry under a
+    temporary name, and the two entries change names; if the second rename fails, the first is
+    taken back. Between the renames, an instant, ``name`` is not there; no step before them touches
+    the old table.
     """
     spark = df.sparkSession
     location = _write_version(df, name, root)
-    if exists(spark, name):
-        if list(_columns(spark.table(name)).items()) == list(_columns(df).items()):
-            _point(spark, name, location)
-            return
-        spark.sql(f"DROP TABLE {name}")
-    _attach(spark, name, df, location)
+    if not exists(spark, name):
+        _attach(spark, name, df, location)
+    elif list(_columns(spark.table(name)).items()) == list(_columns(df).items()):
+        _point(spark, name, location)
+    else:
+        mark = uuid.uuid4().hex[:12]
+        fresh, old = f"{name}_new_{mark}", f"{name}_old_{mark}"
+        _attach(spark, fresh, df, location)
+        _rename(spark, name, old)
+        try:
+            _rename(spark, fresh, name)
+        except Exception:
+            _rename(spark, old, name)
+            raise
+        spark.sql(f"DROP TABLE {old}")
+
+
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
+
+
+def location_of(spark: SparkSession, name: str) -> str | None:
+    """Where the files of ``name`` are; ``None`` for a view."""
+    return _described(spark, name)
+
+
+def _described(spark: SparkSession, what: str) -> str | None:
+    # A table may have a column of that name, so only what follows the columns counts.
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {what}").collect()
+    heads = [k for k, r in enumerate(rows) if r["col_name"].startswith("# Detailed")]
+    after = rows[heads[0] :] if heads else []
+    return next((r["data_type"] for r in after if r["col_name"] == "Location"), None)
+
+
+def _path(spark: SparkSession, place: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, place: str) -> bool:
+    path, fs = _path(spark, place)
+    return fs.exists(path)
+
+
+def expire(spark: SparkSession, name: str, root: str, keep: int = 1) -> list[str]:
+    """Remove files of replaced versions of ``name``, all but the ``keep`` latest; what the table
+    points at always stays. Readers that were planned on a removed version fail, so run it when
+    none can be left. Returns the removed folders."""
+    home, fs = _path(spark, "/".join([root.rstrip("/"), *name.split(".")]))
+    if not fs.exists(home):
+        return []
+    used = {_last(location_of(spark, name) or "")} if exists(spark, name) else set()
+    if exists(spark, name) and RANGE in spark.table(name).columns:
+        used |= {_last(p.rpartition("/")[0]) for p in _range_locations(spark, name).values()}
+    found = sorted(s.getPath().getName() for s in fs.listStatus(home) if s.isDirectory())
+    old = [v for v in found if _VERSION.fullmatch(v) and v not in used]
+    gone = old[: len(old) - keep] if keep else old
+    for version in gone:
+        fs.delete(_path(spark, f"{home}/{version}")[0], True)
+    return gone
+
+
+def _last(path: str) -> str:
+    return path.rstrip("/").rpartition("/")[2]
+
+
+@contextmanager
+def staged(df: DataFrame, root: str) -> Iterator[DataFrame]:
+    """``stage`` for as long as the block runs; its folder is removed afterwards."""
+    path = f"{root}/{_version()}"
+    try:
+        df.write.parquet(path)
+        yield read_entity(df.sparkSession, path, schema=df.schema)
+    finally:
+        place, fs = _path(df.sparkSession, path)
+        fs.delete(place, True)
 
 
 def stage(df: DataFrame, root: str) -> DataFrame:
@@ -85,6 +182,9 @@ def stage(df: DataFrame, root: str) -> DataFrame:
     return read_entity(df.sparkSession, path, schema=df.schema)
 
 
+_VERSION = re.compile(r"\d{8}T\d{6}-[0-9a-f]{12}")
+
+
 def _version() -> str:
     return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
 
@@ -119,3 +219,76 @@ def drop(spark: SparkSession, names: Sequence[str]) -> None:
     """Remove catalog entries; their files stay."""
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+# --- tables cut by ranges of their key ------------------------------------------------------------
+
+# The partition column: the whole part of key / width; null for null keys.
+RANGE = "key_range"
+
+
+def _ranged(df: DataFrame, key: str, width: int) -> DataFrame:
+    return df.withColumn(RANGE, F.floor(F.col(key) / F.lit(width)).cast("long"))
+
+
+def _write_ranges(df: DataFrame, name: str, root: str) -> str:
+    location = "/".join([root.rstrip("/"), *name.split("."), _version()])
+    df.hint("rebalance", F.col(RANGE)).write.option("compression", "snappy").partitionBy(RANGE).parquet(location)
+    return location
+
+
+def _range_locations(spark: SparkSession, name: str) -> dict[str, str]:
+    """Partition value to location; as many rows as the table has ranges."""
+    out = {}
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        value = row[0].partition("=")[2]
+        spec = f"{RANGE}={'NULL' if value in ('__HIVE_DEFAULT_PARTITION__', 'null') else value}"
+        out[value] = _described(spark, f"{name} PARTITION ({spec})")
+    return out
+
+
+def create_ranges(df: DataFrame, name: str, root: str, key: str, width: int) -> None:
+    """Create ``name`` as a table that is partitioned by ranges of ``width`` values of ``key``."""
+    spark = df.sparkSession
+    if exists(spark, name):
+        raise ValueError(f"table {name} already exists")
+    location = _write_ranges(_ranged(df, key, width), name, root)
+    columns = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}, {RANGE} BIGINT) USING parquet PARTITIONED BY ({RANGE}) LOCATION '{location}'"
+    )
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
+def upsert_ranges(
+    batch: DataFrame,
+    name: str,
+    root: str,
+    key: str,
+    width: int,
+    combine: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame],
+) -> None:
+    """Combine a staged ``batch`` into ``name``, reading and writing only the ranges it has keys in.
+
+    The touched ranges are written as a whole new version and pointed at one by one; readers in
+    between see some ranges before and some after. The columns must be the table's.
+    """
+    spark = batch.sparkSession
+    old = {n: t for n, t in _columns(spark.table(name)).items() if n != RANGE}
+    if old != _columns(batch):
+        raise ValueError(f"the columns of the batch are not those of {name}")
+    # As many rows as there are ranges: the catalog has an entry for each.
+    touched = [r[0] for r in _ranged(batch, key, width).select(RANGE).distinct().collect()]
+    column = F.col(RANGE)
+    inside = column.isin([t for t in touched if t is not None])
+    if None in touched:
+        inside = inside | column.isNull()
+    existing = spark.table(name).where(inside).select(*old)
+    merged = combine(existing, batch, [key]).select(*old)
+    location = _write_ranges(_ranged(merged, key, width), name, root)
+    for value in touched:
+        folder = f"{RANGE}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+        spec = f"{RANGE}={'NULL' if value is None else value}"
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{location}/{folder}'")
+        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{location}/{folder}'")
+    spark.catalog.refreshTable(name)

@@ -108,16 +108,71 @@ def test_conform_fills_casts_and_drops(spark):
 
 
 def test_conform_keeps_columns_that_already_fit(spark):
-    df = spark.createDataFrame([], USERS_NARROW)
-    assert conform(df, USERS_NARROW, keep_extra=True) is df
+    df = spark.createDataFrame([(1, None, "3")], USERS_NARROW)
+    assert conform(df, USERS_NARROW, keep_extra=True).collect() == df.collect()
+
+
+@pytest.mark.parametrize("kind, value", [
+    ("string", "seven"), ("string", "12.5"), ("string", ""), ("double", 3.25), ("double", float("nan")),
+    ("bigint", 3_000_000_000), ("string", "3000000000"), ("double", 3e9), ("boolean", True),
+])
+def test_conform_fails_on_a_number_it_cannot_hold(spark, kind, value):
+    df = spark.createDataFrame([(1, value)], f"Id long, Views {kind}")
+    with pytest.raises(Exception, match="Views: not a int"):
+        conform(df, USERS).collect()
+
+
+@pytest.mark.parametrize("kind, value, number", [
+    ("string", "12.0", 12), ("string", " -7 ", -7), ("string", "5.", 5), ("double", 12.0, 12), ("double", -1e7, -10_000_000),
+    ("bigint", 2**31 - 1, 2**31 - 1), ("smallint", 3, 3), ("string", None, None), ("decimal(10,2)", 4, 4),
+])
+def test_conform_reads_whole_numbers(spark, kind, value, number):
+    df = spark.createDataFrame([(1, None if value is None else str(value))], "Id long, v string")
+    df = df.selectExpr("Id", f"CAST(v AS {kind}) AS Views")
+    assert conform(df, USERS).first().Views == number
+
+
+def test_conform_matches_names_as_spark_does(spark):
+    df = spark.createDataFrame([(7, "x")], "ID long, displayname string")
+    row = conform(df, USERS, keep_extra=True).first()
+    assert (row.Id, row.DisplayName) == (7, "x") and len(row) == len(USERS)
+
+
+def test_conform_needs_required_columns(spark):
+    df = spark.createDataFrame([("x",)], "DisplayName string")
+    with pytest.raises(ValueError, match="required columns are missing: Id"):
+        conform(df, USERS)
+
+
+def test_conform_tolerates_only_named_dates(spark):
+    df = spark.createDataFrame([(1, "no date", "no date")], "Id long, CreationDate string, LastActivityDate string")
+    with pytest.raises(Exception, match="LastActivityDate: not a timestamp_ntz"):
+        conform(df, POSTS).collect()
+    assert conform(df.drop("LastActivityDate"), POSTS).first().CreationDate is None
 
 
 def test_conform_fails_on_unreadable_key(spark):
     df = spark.createDataFrame([("seven",)], "Id string")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="Id: not a bigint"):
         conform(df, USERS).collect()
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_zoned_text_is_read_in_utc(spark, zone):
+    texts = {
+        "2019-12-31T23:30:00-02:00": datetime(2020, 1, 1, 1, 30), "2020-01-01 02:00:00+05:00": datetime(2019, 12, 31, 21),
+        "2020-01-01T02:00:00Z": datetime(2020, 1, 1, 2), "2020-01-01T02:00:00.5": datetime(2020, 1, 1, 2, 0, 0, 500_000),
+        "2020-01-01": datetime(2020, 1, 1), "2020-01-01 02:00:00 Europe/Paris": datetime(2020, 1, 1, 1), "x": None,
+    }
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame(list(enumerate(texts)), "i long, CreationDate string")
+        found = parse_dates(df).orderBy("i").collect()
+        assert [r.CreationDate for r in found] == list(texts.values())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_union_fills_missing_columns_and_keeps_duplicates(spark):
     a = spark.createDataFrame([(1, "x")], "Id long, DisplayName string")
     b = spark.createDataFrame([(1,), (2,)], "Id long")

@@ -71,30 +71,26 @@ def test_sum_of_nulls_is_null_in_gold_and_zero_in_the_report(spark):
     assert serving.gold_from_silver(posts, users).first().total_score == 0
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_report_equals_its_definition(spark, hot, monkeypatch):
-    if hot:
-        monkeypatch.setattr(
-            skew, "find_hot", lambda df, keys: skew.hot_keys(df, keys[0], rows_per_split=1)
-        )
+@pytest.mark.parametrize("spread", [False, True])
+def test_report_equals_its_definition(spark, spread):
     posts = fx.posts(spark, SF_SMALL)
     users = fx.users(spark, SF_SMALL)
     some = users.where("Id < 40")
     doubled = users.unionByName(some).unionByName(some.withColumn("DisplayName", F.lit(None)))
-    served = serving.gold_from_silver(posts, doubled)
+    served = serving.gold_from_silver(posts, doubled, spread)
     assert rows(served) == rows(joined_first(spark, posts, doubled))
 
 
 def test_gold_with_hot_users_equals_the_plain_join(spark):
     users = fx.users(spark, SF_SMALL)
     one = users.where("Id = 3")
-    numbered = one.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(2000))))
-    copies = numbered.repartition(6, "n").drop("n")
+    copies = one.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(2000)))).drop("n")
     lopsided = users.unionByName(copies)
     metrics = owner_metrics(fx.posts(spark, SF_SMALL))
-    hot = skew.find_hot(lopsided, ["Id"], rows_per_split=300)
-    assert [(r.Id, r._splits) for r in hot.collect()] == [(3, 7)]
-    assert rows(gold.with_users(metrics, lopsided, hot)) == rows(gold.with_users(metrics, lopsided))
+    people = gold.user_attributes(lopsided)
+    spread = skew.spread_left_join(metrics, people, "OwnerUserId", "UserId", 300).drop("UserId")
+    assert rows(spread) == rows(gold.with_users(metrics, lopsided))
+    assert rows(gold.with_users(metrics, lopsided, spread=True)) == rows(spread)
 
 
 def test_top_owners(spark):

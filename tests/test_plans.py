@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 import fixtures as fx
 from conftest import SF_SMALL
 from layerloom.functions.dates import filter_year, parse_dates
-from layerloom.operators import skew
 from layerloom.operators.metrics import owner_metrics
 from layerloom.operators.upsert import upsert
 from layerloom.plans import bronze, gold, serving
 from layerloom.schemas import POST_COLUMNS, POSTS
-from layerloom.sources import files
+from layerloom.sources import files, tables
 
 
 def plan(df):
@@ -80,8 +79,10 @@ def test_gold_shuffles_posts_once_and_users_once(stored, no_broadcast):
     assert "_salt" not in text and "Broadcast" not in text
 
 
-def test_report_shuffles_posts_once_and_users_once(stored, no_broadcast):
-    assert exchanges(plan(serving.gold_from_silver(stored("posts"), stored("users")))) == 2
+def test_report_combines_both_sides_before_they_meet(stored, no_broadcast):
+    text = plan(serving.gold_from_silver(stored("posts"), stored("users")))
+    # Users once by name to count copies, once by Id to meet their posts.
+    assert exchanges(text) == 3 and text.count("partial_count(1)") >= 2
 
 
 def test_top_owners_never_sorts_everything(stored):
@@ -106,25 +107,44 @@ def test_large_batch_moves_keys_only_to_the_join(stored, no_broadcast):
     assert exchanges(text) == 2
 
 
-def test_rows_outside_the_batch_skip_the_shuffle(stored, no_broadcast):
-    known, batch = stored("posts"), stored("posts").where("Id >= 1000")
-    text = plan(upsert(known, batch, ["Id"], span=(1000, 1499)))
-    assert "GreaterThanOrEqual(Id,1000)" in text and "LessThanOrEqual(Id,1499)" in text
-    assert "LessThan(Id,1000)" in text and "GreaterThan(Id,1499)" in text
-    assert exchanges(text) == 2
-
-
-def test_hot_key_is_split_over_tasks(spark, no_broadcast):
-    known = spark.range(40_000, numPartitions=8).select(
-        F.when(F.col("id") < 30_000, 7).otherwise(F.col("id")).alias("k"), "id"
-    )
-    batch = spark.range(30_000, 30_100).select(F.col("id").alias("k"))
-    hot = skew.find_hot(known, ["k"], rows_per_split=2_000)
-    salted = skew.spread(known, "k", hot).repartition(16, "k", skew.SALT)
-    sizes = salted.groupBy(F.spark_partition_id()).count().collect()
-    assert max(r["count"] for r in sizes) < 20_000
-    out = upsert(known, batch.withColumn("id", F.col("k")), ["k"], hot)
-    assert out.count() == 40_000
+def test_building_a_plan_runs_no_job(spark, stored):
+    posts, users = stored("posts"), stored("users")
+    posts.schema, users.schema
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans", "plans")
+    for spread in (False, True):
+        gold.post_counts_by_user(posts, users, spread)
+        serving.gold_from_silver(posts, users, spread)
+    upsert(posts, posts, ["Id"])
+    assert list(tracker.getJobIdsForGroup("plans")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_upsert_leaves_other_ranges_alone(spark, cfg, stored):
+    """Only the ranges with keys of the batch are read, written and pointed at anew."""
+    name = f"{cfg.silver}.ranged"
+    tables.create_namespace(spark, cfg.silver, cfg.tables_root)
+    posts = stored("posts").select("Id", "Score")
+    tables.create_ranges(posts, name, cfg.tables_root, "Id", 500)
+    before = tables._range_locations(spark, name)
+    assert len(before) > 2
+    batch = posts.where("Id BETWEEN 500 AND 510").withColumn("Score", F.lit(-777)).select("Id", "Score")
+    seen = {}
+
+    def combine(existing, incoming, keys):
+        seen["plan"] = plan(existing)
+        seen["files"] = existing.inputFiles()
+        return upsert(existing, incoming, keys)
+
+    with tables.staged(batch, cfg.staging_root) as staged:
+        tables.upsert_ranges(staged, name, cfg.tables_root, "Id", 500, combine)
+    assert "PartitionFilters" in seen["plan"] and all("key_range=1/" in f for f in seen["files"])
+    after = tables._range_locations(spark, name)
+    assert {k for k in before if before[k] != after[k]} == {"1"} and set(after) == set(before)
+    found = spark.table(name)
+    assert found.count() == posts.count() and found.where("Score = -777").count() == batch.count()
+    tables.expire(spark, name, cfg.tables_root, keep=0)
+    assert spark.table(name).count() == posts.count()
 
 
 def test_no_python_in_any_plan(spark, stored):

@@ -65,8 +65,56 @@ def test_rebuild_replaces_the_columns(spark, cfg, name):
     tables.rebuild(spark.sql("SELECT 'x' AS tag, 7L AS id"), name, cfg.tables_root)
     tables.rebuild(spark.range(1), name, cfg.tables_root)
     assert spark.table(name).columns == ["id"]
-    tables.publish(spark.sql("SELECT 'seven' AS id"), name, cfg.tables_root)
+    tables.rebuild(spark.sql("SELECT 'seven' AS id"), name, cfg.tables_root)
     assert spark.table(name).dtypes == [("id", "string")]
+    assert [t.name for t in spark.catalog.listTables(cfg.silver)] == ["things"]
+
+
+def test_rebuild_that_fails_midway_leaves_the_table(spark, cfg, name, monkeypatch):
+    tables.rebuild(spark.range(3), name, cfg.tables_root)
+    rename, calls = tables._rename, []
+
+    def second_fails(session, old, new):
+        calls.append(new)
+        if len(calls) == 2:
+            raise RuntimeError("catalog is away")
+        rename(session, old, new)
+
+    monkeypatch.setattr(tables, "_rename", second_fails)
+    with pytest.raises(RuntimeError):
+        tables.rebuild(spark.sql("SELECT 'x' AS tag"), name, cfg.tables_root)
+    assert spark.table(name).count() == 3
+
+
+def test_publish_refuses_lost_and_retyped_columns(spark, cfg, name):
+    tables.publish(spark.sql("SELECT 1 AS id, 'x' AS tag"), name, cfg.tables_root)
+    with pytest.raises(ValueError, match="lose columns: tag"):
+        tables.publish(spark.sql("SELECT 1 AS id"), name, cfg.tables_root)
+    for retyped in ("SELECT '1' AS id, 'x' AS tag", "SELECT 1L AS id, 'x' AS tag"):
+        with pytest.raises(ValueError, match="types of: id"):
+            tables.publish(spark.sql(retyped), name, cfg.tables_root)
+    tables.publish(spark.sql("SELECT CAST(2 AS SMALLINT) AS id, 'y' AS tag"), name, cfg.tables_root)
+    assert spark.table(name).dtypes == [("id", "int"), ("tag", "string")]
+    tables.publish(spark.sql("SELECT 5000000000 AS id, 'z' AS tag"), name, cfg.tables_root, widen=True)
+    assert spark.table(name).dtypes == [("id", "bigint"), ("tag", "string")]
+    assert [tuple(r) for r in spark.table(name).collect()] == [(5_000_000_000, "z")]
+
+
+def test_expire_keeps_what_is_in_use(spark, cfg, name):
+    for n in range(4):
+        tables.publish(spark.range(n), name, cfg.tables_root)
+    assert len(tables.expire(spark, name, cfg.tables_root, keep=2)) == 1
+    assert len(tables.expire(spark, name, cfg.tables_root, keep=0)) == 2
+    assert tables.expire(spark, name, cfg.tables_root, keep=0) == []
+    assert spark.table(name).count() == 3
+    assert tables.expire(spark, f"{cfg.silver}.never", cfg.tables_root) == []
+
+
+def test_staged_batch_goes_with_its_block(spark, cfg):
+    with tables.staged(spark.range(3), cfg.staging_root) as batch:
+        (path,) = {p.rpartition("/")[0] for p in batch.inputFiles()}
+        assert tables.path_exists(spark, path) and batch.count() == 3
+    assert not tables.path_exists(spark, path)
 
 
 def test_empty_table(spark, cfg, name):

@@ -1,5 +1,7 @@
+import time
 from collections import Counter
-from datetime import date
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,7 +10,7 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from layerloom.operators import skew
-from layerloom.operators.upsert import anti_unchanged, find_hot, find_span, look_ahead, merge_into, upsert
+from layerloom.operators.upsert import anti_unchanged, merge_into, upsert
 
 WIDE, NARROW = "k long, name string, n int", "k long, name string"
 KNOWN = [(1, "a", 10), (2, "b", 20), (None, "n", 5)]
@@ -29,12 +31,6 @@ def test_rows_are_replaced_whole_nulls_and_duplicates_stay(spark):
     assert rows(upsert(known, batch, ["k"])) == Counter(AFTER)
 
 
-def test_salted_upsert_is_the_same(spark):
-    known, batch = frames(spark)
-    hot = spark.createDataFrame([(1, 3), (2, 4)], f"k long, {skew.SPLITS} int")
-    assert rows(upsert(known, batch, ["k"], hot)) == Counter(AFTER)
-
-
 def test_column_order_of_the_target_stays(spark):
     known = spark.createDataFrame([("a", 1)], "name string, k long")
     batch = spark.createDataFrame([(1, "b")], "k long, name string")
@@ -65,31 +61,69 @@ def test_two_column_key(spark):
     batch = spark.createDataFrame([(1, 2, "B"), (1, None, "C")], "k int, j int, v string")
     want = Counter([(1, 1, "a"), (1, 2, "B"), (1, None, "c"), (1, None, "C")])
     assert rows(upsert(known, batch, ["k", "j"])) == want
-    hot = spark.createDataFrame([(1, 3)], f"k int, {skew.SPLITS} int")
-    assert rows(upsert(known, batch, ["k", "j"], hot)) == want
 
 
 def test_merge_refuses_two_rows_for_one_target(spark):
     known, _ = frames(spark)
-    batch = spark.createDataFrame([(2, "B"), (2, "B2")], NARROW)
-    for hot in (None, spark.createDataFrame([(2, 3)], f"k long, {skew.SPLITS} int")):
-        with pytest.raises(SparkRuntimeException, match='several incoming rows for key {"k":2}'):
-            merge_into(known, batch, ["k"], hot).collect()
+    batch = spark.createDataFrame([(2, "B", 1), (2, "B2", 1)], WIDE)
+    with pytest.raises(SparkRuntimeException, match="several incoming rows for key 2"):
+        merge_into(known, batch, ["k"]).collect()
 
 
 def test_merge_inserts_unmatched_duplicates_unless_strict(spark):
     known, batch = frames(spark)
-    assert rows(merge_into(known, batch, ["k"])) == Counter(AFTER)
-    with pytest.raises(SparkRuntimeException, match='several incoming rows for key {"k":3}'):
-        merge_into(known, batch, ["k"], strict=True).collect()
+    whole = batch.withColumn("n", F.lit(None).cast("int"))
+    assert rows(merge_into(known, whole, ["k"])) == Counter(AFTER)
+    with pytest.raises(SparkRuntimeException, match="several incoming rows for key 3"):
+        merge_into(known, whole, ["k"], strict=True).collect()
 
 
 def test_merge_takes_several_null_keys(spark):
     known, _ = frames(spark)
-    batch = spark.createDataFrame([(None, "x"), (None, "y")], NARROW)
+    batch = spark.createDataFrame([(None, "x", 1), (None, "y", 1)], WIDE)
     assert merge_into(known, batch, ["k"], strict=True).count() == 5
 
 
+def test_merge_needs_every_column_of_the_table(spark):
+    known, batch = frames(spark)
+    with pytest.raises(ValueError, match="lacks columns of the table: n"):
+        merge_into(known, batch, ["k"])
+    renamed = batch.withColumn("N", F.lit(1))
+    assert merge_into(known, renamed, ["k"]).count() == len(AFTER)
+
+
+KEYS = {
+    "ntz": ("timestamp_ntz", [datetime(2020, 1, d, 2, 30) for d in range(1, 6)]),
+    "date": ("date", [date(2020, 1, d) for d in range(1, 6)]),
+    "decimal": ("decimal(20,3)", [Decimal(d) / 8 for d in range(1, 6)]),
+    "text": ("string", list("abcde")),
+    "binary": ("binary", [bytearray([0, d]) for d in range(5)]),
+}
+
+
+@pytest.mark.parametrize("kind", KEYS)
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_any_key_type_in_any_zone(spark, kind, zone, monkeypatch):
+    """The same rows whatever the clocks of the machine and the session say."""
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        type_, keys = KEYS[kind]
+        known = spark.createDataFrame([(k, "old") for k in keys], f"k {type_}, v string")
+        batch = spark.createDataFrame([(k, "new") for k in keys[1:4]], f"k {type_}, v string")
+        for combine in (upsert, merge_into):
+            found = [(r.k, r.v) for r in combine(known, batch, ["k"]).orderBy("k").collect()]
+            assert found == [(k, "new" if k in keys[1:4] else "old") for k in keys]
+        twice = batch.unionAll(batch)
+        with pytest.raises(SparkRuntimeException, match="several incoming rows"):
+            merge_into(known, twice, ["k"]).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        monkeypatch.undo()
+        time.tzset()
+
+
 keyed = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 3)), max_size=12)
 
 
@@ -99,17 +133,15 @@ def reference_upsert(known, batch):
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(known=keyed, batch=keyed, per_split=st.integers(1, 2))
-def test_upsert_against_plain_python(spark, known, batch, per_split):
+@given(known=keyed, batch=keyed)
+def test_upsert_against_plain_python(spark, known, batch):
     a = spark.createDataFrame(known, "k long, v long").repartition(3)
     b = spark.createDataFrame(batch, "k long, v long")
     want = reference_upsert(known, batch)
     assert rows(upsert(a, b, ["k"])) == want
-    hot = skew.hot_keys(a.unionAll(b), "k", rows_per_split=per_split)
-    assert rows(upsert(a, b, ["k"], hot)) == want
     unique = list({k: (k, v) for k, v in batch}.values())
     once = spark.createDataFrame(unique, "k long, v long")
-    assert rows(merge_into(a, once, ["k"], hot, strict=True)) == reference_upsert(known, unique)
+    assert rows(merge_into(a, once, ["k"], strict=True)) == reference_upsert(known, unique)
 
 
 def test_second_run_with_unique_keys_changes_nothing(spark):
@@ -119,87 +151,40 @@ def test_second_run_with_unique_keys_changes_nothing(spark):
     assert rows(upsert(once, batch, ["k"])) == rows(once)
 
 
-def test_span_of_a_batch(spark):
-    _, batch = frames(spark)
-    assert find_span(batch, ["k"], min_rows=1) == (2, 3)
-    assert find_span(batch, ["k"], min_rows=5) is None
-    assert find_span(batch.limit(0), ["k"], min_rows=0) is None
-    assert find_span(batch.where("k IS NULL"), ["k"], min_rows=1) is None
-
-
-def test_only_a_large_batch_is_looked_at(spark):
-    known, batch = frames(spark)
-    assert look_ahead(known, batch, ["k"]) == {}
-    assert look_ahead(known, batch, ["k"], large=4) == {"hot": None, "span": (2, 3)}
-    for combine in (upsert, merge_into):
-        ahead = look_ahead(known, batch, ["k"], large=1)
-        assert rows(combine(known, batch, ["k"], **ahead)) == Counter(AFTER)
-
-
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(known=keyed, batch=keyed)
-def test_rows_outside_the_span_are_kept(spark, known, batch):
-    a = spark.createDataFrame(known, "k long, v long")
-    b = spark.createDataFrame(batch, "k long, v long")
-    span = find_span(b, ["k"], min_rows=0)
-    assert rows(upsert(a, b, ["k"], span=span)) == reference_upsert(known, batch)
-    unique = list({k: (k, v) for k, v in batch}.values())
-    once = spark.createDataFrame(unique, "k long, v long")
-    assert rows(merge_into(a, once, ["k"], span=span)) == reference_upsert(known, unique)
-
-
-def test_hot_keys_are_bounded_and_sorted_by_weight(spark):
-    k = F.when(F.col("id") < 60, 1).when(F.col("id") < 90, 2).otherwise(F.col("id"))
-    df = spark.range(100).select(k.alias("k"))
-    hot = skew.hot_keys(df, "k", rows_per_split=20).collect()
-    assert [(r.k, r._splits) for r in hot] == [(1, 3), (2, 2)]
-    assert [r.k for r in skew.hot_keys(df, "k", rows_per_split=20, max_keys=1).collect()] == [1]
-    assert skew.find_hot(df, ["k"], rows_per_split=1000) is None
-    assert skew.find_hot(df.limit(0), ["k"]) is None
+def salted_rows(right, key, rows_per_split):
+    """Rows of each (key, salt), as ``spread_left_join`` deals them."""
+    placed = right.withColumn(skew.PLACE, F.monotonically_increasing_id())
+    hot = skew.split_counts(right, key, rows_per_split)
+    salt = F.pmod(F.xxhash64(*right.columns, skew.PLACE), F.coalesce(F.col(skew.SPLITS), F.lit(1)))
+    return placed.join(hot, key, "left").withColumn(skew.SALT, salt).groupBy(key, skew.SALT).count()
 
 
-@pytest.mark.parametrize("kind", ["long", "int", "string", "date"])
-def test_heavy_keys_are_found_among_many_light_ones(spark, kind):
-    number = F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 40_000)
-    value = F.date_add(F.lit("2000-01-01"), number.cast("int")) if kind == "date" else number.cast(kind)
-    df = spark.range(200_000, numPartitions=8).select(value.alias("k"))
-    heavy = {"string": "5", "date": date(2000, 1, 6)}.get(kind, 5)
-    hot = skew.hot_keys(df, "k", rows_per_split=10_000).collect()
-    assert [(r.k, r._splits) for r in hot] == [(heavy, 7)]
+def test_thousands_of_hot_keys_are_all_split(spark):
+    right = spark.range(100_000).select((F.col("id") % 5_000).alias("k"), "id")
+    hot = skew.split_counts(right, "k", rows_per_split=5)
+    assert hot.count() == 5_000 and hot.agg(F.min(skew.SPLITS)).first()[0] == 4
+    assert salted_rows(right, "k", 5).groupBy("k").count().agg(F.min("count")).first()[0] > 1
 
 
-def test_null_counts_as_a_hot_key(spark):
-    df = spark.createDataFrame([(None,)] * 5 + [(1,)], "k long")
-    assert [r.k for r in skew.hot_keys(df, "k", rows_per_split=2).collect()] == [None]
+def test_equal_rows_of_one_input_task_are_spread(spark):
+    right = spark.range(5_000, numPartitions=1).select(F.lit(7).alias("k"), F.lit("same").alias("v"))
+    sizes = [r["count"] for r in salted_rows(right, "k", 1_000).collect()]
+    assert len(sizes) == 5 and max(sizes) < 1_300
 
 
-def test_hot_key_on_either_side_is_found(spark, monkeypatch):
-    monkeypatch.setattr(skew.find_hot, "__defaults__", (2, 1024))
-    one, many = spark.createDataFrame([(1,)], "k long"), spark.createDataFrame([(2,)] * 3, "k long")
-    assert [r.k for r in find_hot(one, many, ["k"]).collect()] == [2]
-    assert [r.k for r in find_hot(many, one, ["k"]).collect()] == [2]
-    assert find_hot(one, one, ["k"]) is None
+def test_null_is_no_hot_key(spark):
+    df = spark.createDataFrame([(None,)] * 9 + [(1,)], "k long")
+    assert skew.split_counts(df, "k", 2).count() == 0
+    assert skew.split_counts(df.limit(0), "k", 2).count() == 0
 
 
-def test_spread_uses_several_salts_for_equal_rows(spark):
-    df = spark.range(4000, numPartitions=8).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
-    hot = skew.find_hot(df, ["k"], rows_per_split=1000)
-    sizes = skew.spread(df, "k", hot).groupBy(skew.SALT).count().collect()
-    assert sorted(r["count"] for r in sizes) == [1000] * 4
-    nulls = df.withColumn("k", F.lit(None).cast("int"))
-    salted = skew.spread(nulls, "k", skew.find_hot(nulls, ["k"], 1000))
-    assert salted.select(skew.SALT).distinct().count() == 8
+sided = st.lists(st.one_of(st.none(), st.integers(0, 5)), max_size=14)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(
-    left=st.sets(st.integers(0, 6), max_size=6),
-    right=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 2)), max_size=25),
-    per_split=st.integers(1, 3),
-)
-def test_salted_left_join_against_the_plain_one(spark, left, right, per_split):
-    a = spark.createDataFrame([(k, k * 10) for k in left], "a long, m long")
-    b = spark.createDataFrame(right, "b long, v long").repartition(4)
-    plain = a.join(b, a.a == b.b, "left")
-    hot = skew.hot_keys(b, "b", rows_per_split=per_split)
-    assert rows(skew.left_join(a, b, "a", "b", hot)) == rows(plain)
+@given(left=sided, right=sided, per_split=st.integers(1, 3))
+def test_spread_left_join_against_the_plain_one(spark, left, right, per_split):
+    a = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "a long, i long")
+    b = spark.createDataFrame([(k, "same") for k in right], "b long, j string").repartition(3)
+    plain = a.join(b, a["a"] == b["b"], "left")
+    assert rows(skew.spread_left_join(a, b, "a", "b", per_split)) == rows(plain)
