@@ -187,7 +187,16 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
 
     parts = docs.mapInArrow(split, "bucket int, once binary, more binary, counts binary")
     counted = parts.groupBy("bucket").applyInArrow(count, "mark long, n long")
-    top = counted.orderBy(F.desc("n"), "mark").limit(FREQUENT).toPandas().sort_values("mark")
+    # Levels of frequency, a few hundred at most; the highest ones that fit are taken.
+    counted = stage(counted.withColumn("level", F.floor(F.log2("n") * 16).cast("int")))
+    sizes = {r["level"]: r["count"] for r in counted.groupBy("level").count().collect()}
+    lowest, held = max(sizes, default=0) + 1, 0
+    for level in sorted(sizes, reverse=True):
+        held += sizes[level]
+        if held > FREQUENT:
+            break
+        lowest = level
+    top = counted.where(F.col("level") >= lowest).toPandas().sort_values("mark")
     return top["mark"].to_numpy(np.uint64), top["n"].to_numpy(np.int64), int(shift)
 
 
