@@ -265,7 +265,8 @@ def learn(
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    texts = docs.where(learnable).select("doc_id", "text").join(marked, "doc_id")
+    # Labels may be many: a merge join at every size, which adaptive execution can split.
+    texts = docs.where(learnable).select("doc_id", "text").join(marked.hint("merge"), "doc_id")
     voters = Voters(mine(texts))
     voted = stage(vote(docs, voters, keep))
     joined = stage(voted.join(marked, "doc_id", "left"))
