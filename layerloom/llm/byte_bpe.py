@@ -21,10 +21,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 0
-# Chunks that a worker keeps; beyond, it starts anew. Changes time and memory, never results.
+# Chunks that a worker keeps. Changes time and memory, never results.
 KEEP = 700_000
 # Bytes of text handled at once; a longer text is handled alone.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 16 << 20
 _JOIN = 256
 _CUT = "\x00"
 # Invisible characters that some rule sets count as white space.
@@ -55,6 +55,27 @@ def slices(texts: pa.Array) -> Iterator[pa.Array]:
         yield texts.slice(low, high - low)
 
 
+class Memo(dict):
+    """Keeps about ``size`` entries: those asked for again since the memo was last half full, and
+    newer ones."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.half, self.old = size // 2, {}
+
+    def look_up(self, keys: Sequence[str]) -> list[bytes | None]:
+        """Values of ``keys``, ``None`` where there is none."""
+        if len(self) > self.half:
+            self.old = dict(self)
+            self.clear()
+        get, old = self.get, self.old
+        found = list(map(get, keys))
+        for k, value in enumerate(found):
+            if value is None and (value := old.get(keys[k])) is not None:
+                found[k] = self[keys[k]] = value
+        return found
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str, spans: bool = False) -> Encoder:
     return Encoder(path, spans)
@@ -78,7 +99,7 @@ class Encoder:
         )
         self.with_spans = spans
         self.vocab_size = self.tokenizer.get_vocab_size()
-        self.known: dict[str, bytes] = {}
+        self.known = Memo(KEEP)
 
     def _whole(self, texts: Sequence[str]) -> list[bytes]:
         run = self.tokenizer.encode_batch if self.with_spans else self.tokenizer.encode_batch_fast
@@ -117,18 +138,18 @@ class Encoder:
         coded = chunks.flatten().dictionary_encode()
         names = coded.dictionary.to_pylist()
         places = coded.indices.to_numpy()
-        if len(self.known) > KEEP:
-            self.known.clear()
-        fresh = [c for c in names if c not in self.known]
+        packed = self.known.look_up(names)
+        fresh = [c for c, p in zip(names, packed) if p is None]
         odd = {c for c in fresh if not _regular(c)}
-        self._learn([c for c in fresh if c not in odd])
+        if fresh:
+            self._learn([c for c in fresh if c not in odd])
+            get = self.known.get
+            packed = [get(c, b"") if p is None else p for c, p in zip(names, packed)]
         if odd:
             # Count of odd chunks in each text: those are encoded whole.
             is_odd = np.fromiter((c in odd for c in names), bool, len(names))
             before = np.concatenate([[0], np.cumsum(is_odd[places])])
             alone = alone | (before[edges[1:]] > before[edges[:-1]])
-        get = self.known.get
-        packed = [get(c, b"") for c in names]
         width = 8 if self.with_spans else 4
         tokens = np.fromiter(map(len, packed), np.int64, len(packed)) // width
         flat = np.frombuffer(pa.array(packed, pa.large_binary()).take(coded.indices).buffers()[2] or b"", "<u4")

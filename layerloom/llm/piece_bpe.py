@@ -27,10 +27,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.llm.byte_bpe import slices
+from layerloom.llm.byte_bpe import Memo, slices
 
 MARK = "▁"
-# Words that a worker keeps; beyond, it starts anew. Changes time and memory, never results.
+# Words that a worker keeps. Changes time and memory, never results.
 KEEP = 700_000
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 _CUT = "\x00"
@@ -86,7 +86,7 @@ class PieceCodec:
                 surface[i] = sp.decode([i]).encode()
         self.surface = pa.array(surface, pa.large_binary())
         self.decimal = pa.array([f"{i},".encode() for i in range(n)], pa.large_binary())
-        self.known: dict[str, bytes] = {}
+        self.known = Memo(KEEP)
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged symbol of each pair."""
@@ -203,10 +203,10 @@ class PieceCodec:
             words, edges = self._words(pc.fill_null(part, "").cast(pa.string()))
             coded = words.dictionary_encode()
             names = coded.dictionary.to_pylist()
-            if len(self.known) > KEEP:
-                self.known.clear()
-            self._learn([w for w in names if w and w not in self.known])
-            packed = [self.known.get(w, b"") for w in names]
+            packed = self.known.look_up(names)
+            self._learn([w for w, p in zip(names, packed) if w and p is None])
+            get = self.known.get
+            packed = [get(w, b"") if p is None else p for w, p in zip(names, packed)]
             counts = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
             ends = np.concatenate([[0], np.cumsum(counts[coded.indices.to_numpy()])])
             flat = pa.array(packed, pa.large_binary()).take(coded.indices).buffers()[2]
