@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.schemas import POST_COLUMNS
+from layerloom.sources.files import read_entity
 
 COMMUNITY = -1  # owner of every fifth post; has no user row
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_entity(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _whole(c) -> F.Column:

@@ -7,11 +7,12 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from layerloom.config import Config
+from layerloom.functions.dates import parse_dates
 from layerloom.plans.bronze import ingest_span
 from layerloom.plans.gold import build_gold
 from layerloom.plans.silver import build_users, rebuild_posts_light
 from layerloom.schemas import POSTS
-from layerloom.sources.files import read_years
+from layerloom.sources.files import read_span, read_years
 
 
 def build_layers(
@@ -22,6 +23,10 @@ def build_layers(
     year_of = "/year={year}"
     posts = read_years(spark, cfg.bronze("posts") + year_of, cfg.years, POSTS)
     users = read_years(spark, cfg.bronze("users") + year_of, cfg.years)
+    return _build(spark, cfg, posts, users, at, on)
+
+
+def _build(spark, cfg, posts, users, at, on) -> DataFrame:
     rebuild_posts_light(spark, cfg, posts, at)
     build_users(spark, cfg, users, at)
     return build_gold(spark, cfg, on)
@@ -38,9 +43,13 @@ def run_pipeline(
     """Bronze, Silver and Gold of the years of ``cfg`` from the raw sources, each read once.
 
     Years and row caps come from ``cfg``. Years between the first and the last that ``cfg`` does not
-    name are written to Bronze but not built.
+    name are written to Bronze but not built. What Bronze holds is known here, so its schemas are
+    not inferred again.
     """
     first, last = min(cfg.years), max(cfg.years)
-    ingest_span(posts, cfg.bronze("posts"), first, last, cfg.limit_posts)
-    ingest_span(users, cfg.bronze("users"), first, last, cfg.limit_users)
-    return build_layers(spark, cfg, at, on)
+    written = []
+    for entity, source, limit in (("posts", posts, cfg.limit_posts), ("users", users, cfg.limit_users)):
+        dated = parse_dates(source)
+        ingest_span(dated, cfg.bronze(entity), first, last, limit)
+        written.append(read_span(spark, cfg.bronze(entity), cfg.years, dated.schema))
+    return _build(spark, cfg, *([w] for w in written), at, on)

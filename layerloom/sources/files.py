@@ -44,6 +44,18 @@ def read_years(
     return [conform(f, schema, keep_extra) for f in frames]
 
 
+def read_span(
+    spark: SparkSession, root: str, years: Iterable[int], schema: T.StructType
+) -> DataFrame:
+    """The given years of an entity that was written with one schema, as one scan.
+
+    Nothing is inferred, so no job runs; folders of other years are not opened.
+    """
+    whole = T.StructType([*schema.fields, T.StructField("year", T.IntegerType())])
+    every = read_entity(spark, root, schema=whole)
+    return every.where(F.col("year").isin([*years])).drop("year")
+
+
 def write_year(df: DataFrame, root: str, year: int) -> str:
     """Replace one year of an entity; other years stay as they are."""
     target = f"{root}/year={year}"
