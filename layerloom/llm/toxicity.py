@@ -18,7 +18,6 @@ and text are read, of ``labels`` id and label.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -41,10 +40,11 @@ STEMS = (4, 5, 6, 7)
 TIMES = (1, 2, 3)
 # Mined terms that are kept, the strongest first.
 TERMS = 4096
-# A term is mined if this much more likely under its own toxic share than under the usual one (in nats), and mostly toxic.
+# A term is mined if its documents are so much likelier (in nats) under its own toxic share than
+# under the usual one, and if that share is high enough.
 EVIDENCE = 11.0
 MIN_SHARE = 0.4
-# Voters: insults, four patterns of writing, and lexicons of mined terms.
+# Patterns of writing; with the insults and the lexicons of mined terms they are the voters.
 WRITING = (
     r"(\p{Lu}{2,}\P{L}+){8}",  # shouting
     r"(\S[!?*#$%&]{2,}\s+){4}",  # signs after words
@@ -52,7 +52,11 @@ WRITING = (
     r"\pN{7,}",  # numbers that may expose somebody
 )
 PATTERNS = 1 + len(WRITING)
-VOTERS = 16
+# Toxic shares that part the lexicons of whole words, beginnings, and beginnings used repeatedly.
+LEVELS = (0.95, 0.8, 0.6)
+VOTERS = PATTERNS + 3 * (len(LEVELS) + 1)
+# Log odds by which a label that is known outweighs the voters in the posterior of its document.
+KNOWN_LABEL = 6.0
 # Labelled rows that the linear classifier is fitted to.
 SAMPLE = 30_000
 THRESHOLD = 0.3
@@ -100,8 +104,9 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.record_batch([terms, pa.array(n_toxic), pa.array(n[held])], names=["term", "n_toxic", "n"])
 
 
-def mine(labelled: DataFrame) -> list[str]:
-    """Terms of ``labelled`` (``text``, ``toxic``) that speak for toxicity, the strongest first."""
+def mine(labelled: DataFrame) -> list[tuple[str, float]]:
+    """Terms of ``labelled`` (``text``, ``toxic``) that speak for toxicity, the strongest first, with
+    the toxic share of their documents."""
     totals = labelled.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < totals[1] < totals[0]:
         return []
@@ -117,18 +122,23 @@ def mine(labelled: DataFrame) -> list[str]:
     evidence = F.col("n") * (share * F.ln(share / base) + rest)
     strong = counts.where((share >= MIN_SHARE) & (share > base)).withColumn("evidence", evidence)
     top = strong.where(F.col("evidence") >= EVIDENCE).orderBy(F.desc("evidence"), "term").limit(TERMS)
-    return [r["term"] for r in top.select("term").collect()]
+    return [(r["term"], r["share"]) for r in top.select("term", share.alias("share")).collect()]
+
+
+def _lexicon(term: str, share: float) -> int:
+    """Terms of one kind and about one toxic share form a lexicon, so its members are alike."""
+    kind = min(2, term.count("*"))
+    return kind * (len(LEVELS) + 1) + sum(share < level for level in LEVELS)
 
 
 class Voters:
     """Votes and terms of texts."""
 
-    def __init__(self, terms: list[str]):
-        self.place = {t: k for k, t in enumerate(terms)}
-        self.stems = {t.rstrip("*") for t in terms if t.endswith("*")}
+    def __init__(self, terms: list[tuple[str, float]]):
+        self.place = {t: k for k, (t, _) in enumerate(terms)}
+        self.stems = {t.rstrip("*") for t, _ in terms if t.endswith("*")}
         self.insults = frozenset(INSULTS)
-        free = VOTERS - PATTERNS
-        self.voter = [PATTERNS + zlib.crc32(t.encode()) % free for t in terms]
+        self.voter = [PATTERNS + _lexicon(t, share) for t, share in terms]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
         names, text, word, uses = _words(texts)
@@ -214,11 +224,14 @@ class LabelModel:
         np.fill_diagonal(correlation, 1.0)
         return correlation.sum(axis=1)
 
-    def posterior(self, patterns: np.ndarray) -> np.ndarray:
+    def posterior(self, patterns: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
+        """Chance of class 1 by the votes, and by the ``label`` where one is known."""
         fires = (patterns[:, None] >> np.arange(VOTERS)) & 1
         yes = np.log(self.rate[1] / self.rate[0]) * self.weight
         no = np.log((1 - self.rate[1]) / (1 - self.rate[0])) * self.weight
         odds = np.log(self.prior / (1 - self.prior)) + fires @ yes + (1 - fires) @ no
+        if label is not None:
+            odds = np.clip(odds, -KNOWN_LABEL / 2, KNOWN_LABEL / 2) + np.where(label == 1, KNOWN_LABEL, -KNOWN_LABEL)
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
@@ -282,9 +295,9 @@ def learn(
     columns = [patterns[c].to_numpy() for c in ("votes", "unknown", "zero", "one")]
     model = LabelModel().fit(columns[0], *(c.astype(float) for c in columns[1:]))
     order = F.xxhash64("doc_id")
-    rows = joined.where(known.isNotNull()).orderBy(order, "doc_id").limit(SAMPLE).select("votes", "terms").toPandas()
+    rows = joined.where(known.isNotNull()).orderBy(order, "doc_id").limit(SAMPLE).select("votes", "terms", "toxic").toPandas()
     votes = rows["votes"].to_numpy()
-    target = model.posterior(votes)
+    target = model.posterior(votes, rows["toxic"].to_numpy())
     terms = [np.asarray(t, np.int64) for t in rows["terms"]]
     return fit_linear(terms, (votes & 1).astype(float), target, n_terms), voted
 
