@@ -13,6 +13,7 @@ An empty or null text has no ids. Special tokens' strings are read as the librar
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -22,9 +23,9 @@ import pyarrow.compute as pc
 
 END_ID = 0
 # Chunks that a worker keeps. Changes time and memory, never results.
-KEEP = 700_000
+KEEP = 400_000
 # Bytes of text handled at once; a longer text is handled alone.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 _JOIN = 256
 _CUT = "\x00"
 # Invisible characters that some rule sets count as white space.
@@ -53,6 +54,8 @@ def slices(texts: pa.Array) -> Iterator[pa.Array]:
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
     for low, high in zip(edges, edges[1:]):
         yield texts.slice(low, high - low)
+        # Hand back what the part took; workers live on through other stages.
+        pa.default_memory_pool().release_unused()
 
 
 class Memo(dict):
@@ -86,6 +89,8 @@ class Encoder:
     ``spans=True``): per text the character starts and ends of its tokens."""
 
     def __init__(self, path: str, spans: bool = False):
+        # A task has one core.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

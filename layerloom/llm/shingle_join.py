@@ -61,6 +61,15 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """Ids and token sets, a few megabytes of text at a time."""
+    for batch in batches:
+        at = 0
+        for part in slices(batch.column("text")):
+            yield batch.column("doc_id").slice(at, len(part)), shingles(part)
+            at += len(part)
+
+
 def shingles(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text. A-Z is lower-cased; words are separated by
     ASCII white space."""
@@ -133,11 +142,10 @@ def measure(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n`` tokens, a ``digest`` of the set (null if empty) and its ``bits``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = shingles(batch.column("text"))
+        for ids, sets in _parts(batches):
             yield pa.record_batch(
                 [
-                    batch.column("doc_id"),
+                    ids,
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary()),
@@ -159,21 +167,19 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
     rest = (1 << 32) - 1
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch.column("text")):
-                every = shingles(part)
-                found, n = np.unique(np.concatenate(every) >> shift, return_counts=True)
-                edges = np.searchsorted(found, np.arange((1 << power) + 1, dtype=np.uint64) << np.uint64(32))
-                low, single = (found & np.uint64(rest)).astype("<u4"), n == 1
-                held = np.flatnonzero(np.diff(edges))
-                rows = [(low[a:b], single[a:b], n[a:b]) for a, b in zip(edges[held], edges[held + 1])]
-                columns = [
-                    pa.array(held.astype(np.int32)),
-                    pa.array([t[s].tobytes() for t, s, _ in rows], pa.binary()),
-                    pa.array([t[~s].tobytes() for t, s, _ in rows], pa.binary()),
-                    pa.array([c[~s].astype("<u4").tobytes() for _, s, c in rows], pa.binary()),
-                ]
-                yield pa.record_batch(columns, names=["bucket", "once", "more", "counts"])
+        for _, every in _parts(batches):
+            found, n = np.unique(np.concatenate(every) >> shift, return_counts=True)
+            edges = np.searchsorted(found, np.arange((1 << power) + 1, dtype=np.uint64) << np.uint64(32))
+            low, single = (found & np.uint64(rest)).astype("<u4"), n == 1
+            held = np.flatnonzero(np.diff(edges))
+            rows = [(low[a:b], single[a:b], n[a:b]) for a, b in zip(edges[held], edges[held + 1])]
+            columns = [
+                pa.array(held.astype(np.int32)),
+                pa.array([t[s].tobytes() for t, s, _ in rows], pa.binary()),
+                pa.array([t[~s].tobytes() for t, s, _ in rows], pa.binary()),
+                pa.array([c[~s].astype("<u4").tobytes() for _, s, c in rows], pa.binary()),
+            ]
+            yield pa.record_batch(columns, names=["bucket", "once", "more", "counts"])
 
     def count(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
@@ -248,12 +254,9 @@ def _signed(docs: DataFrame, table) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, counts, shift = table.value
-        for batch in batches:
-            sets = shingles(batch.column("text"))
-            sigs = [signatures(s, marks, counts, shift).view(np.int64) if len(s) else s[:0].view(np.int64) for s in sets]
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(sigs, pa.list_(pa.int64()))], names=["doc_id", "sigs"]
-            )
+        for ids, sets in _parts(batches):
+            sigs = [(signatures(s, marks, counts, shift) if len(s) else s).view(np.int64) for s in sets]
+            yield pa.record_batch([ids, pa.array(sigs, pa.list_(pa.int64()))], names=["doc_id", "sigs"])
 
     return docs.mapInArrow(run, "doc_id long, sigs array<long>")
 
@@ -299,9 +302,8 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs whose token sets link. Only documents in ``pairs`` are read into sets again."""
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [s.tobytes() for s in shingles(batch.column("text"))]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(packed, pa.large_binary()).cast(pa.binary())], names=["node", "tokens"])
+        for ids, found in _parts(batches):
+            yield pa.record_batch([ids, pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "tokens"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
