@@ -2,19 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_rows(df: DataFrame, limit: int | None, *order: str) -> DataFrame:
-    """The ``limit`` lowest rows by ``order``: ``None`` keeps all, ``0`` keeps none.
+# Keys of one bucket; the rows of one bucket are ranked in one task.
+BUCKET = 65_536
+_BEFORE_ALL = -(2**63)
 
-    Files have no row order once they are read in parallel, so the order is spelled out. Each task
-    keeps at most ``limit`` rows before they meet.
+
+def first_rows(df: DataFrame, limit: int | None, key: str, within: str | None = None) -> DataFrame:
+    """The ``limit`` rows with the lowest ``key``, a whole number: ``None`` keeps all, ``0`` none.
+
+    With ``within`` that many of each of its values, which must be few (years). Files have no row
+    order once they are read in parallel, so the order is spelled out; null keys come first.
+
+    Rows are counted per bucket of keys. Buckets wholly below the limit are kept as they are, and only
+    the rows of the bucket in which the limit falls are ranked, so a large cap gathers no more rows
+    in one task than a small one.
     """
     if limit is None:
         return df
-    return df.orderBy(*order).limit(limit)
+    group = F.lit(0) if within is None else F.col(within)
+    bucket = F.coalesce(F.floor(F.col(key) / BUCKET).cast("long"), F.lit(_BEFORE_ALL))
+    placed = df.select("*", group.alias("_group"), bucket.alias("_bucket"))
+    sizes = placed.groupBy("_group", "_bucket").agg(F.count("*").alias("_n"))
+    lower = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(lower), F.lit(0))
+    counted = sizes.withColumn("_before", before)
+    edge = counted.where((F.col("_before") <= limit) & (F.col("_before") + F.col("_n") > limit))
+    take = F.struct(F.col("_bucket").alias("at"), (limit - F.col("_before")).alias("take"))
+    edges = edge.agg(F.map_from_entries(F.collect_list(F.struct("_group", take))).alias("edges"))
+    marked = placed.withColumn("_edge", F.try_element_at(edges.scalar(), F.col("_group")))
+    whole = marked.where(F.col("_edge").isNull() | (F.col("_bucket") < F.col("_edge.at")))
+    order = Window.partitionBy("_group").orderBy(key, F.xxhash64(*df.columns))
+    cut = marked.where(F.col("_bucket") == F.col("_edge.at")).withColumn("_place", F.row_number().over(order))
+    cut = cut.where(F.col("_place") <= F.col("_edge.take"))
+    return whole.select(*df.columns).unionAll(cut.select(*df.columns))
 
 
 def preview(df: DataFrame, limit: int = 20) -> DataFrame:

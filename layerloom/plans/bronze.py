@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.functions.dates import drop_null_dates, filter_year, in_years, parse_dates, with_year
@@ -51,12 +51,8 @@ def ingest_span(
 ) -> str:
     """Split a source that spans years into its yearly folders in one pass over it.
 
-    ``limit`` keeps the rows with the lowest Ids of each year; a task sends on at most that many of
-    a year.
+    ``limit`` keeps the rows with the lowest Ids of each year.
     """
     dated = parse_dates(df)
     kept = with_year(dated.where(in_years(F.col("CreationDate"), first, last)))
-    if limit is not None:
-        place = F.row_number().over(Window.partitionBy("year").orderBy("Id"))
-        kept = kept.withColumn("_place", place).where(F.col("_place") <= limit).drop("_place")
-    return write_years(kept, root)
+    return write_years(first_rows(kept, limit, "Id", "year"), root)

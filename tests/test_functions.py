@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from layerloom.functions.casts import conform, tolerant_int, tolerant_timestamp
 from layerloom.functions.dates import drop_null_dates, filter_year, parse_dates, with_year
 from layerloom.functions.stamps import stamp_day, stamp_time
+from layerloom.operators import limits
 from layerloom.operators.align import union_aligned
 from layerloom.operators.limits import first_rows, preview, top_rows
 from layerloom.operators.metrics import owner_metrics
@@ -193,6 +194,22 @@ def test_row_cap(spark, limit, ids):
     assert sorted(values(first_rows(df, limit, "Id"), "Id")) == ids
 
 
+@pytest.mark.parametrize("limit", [0, 1, 3, 64, 65, 100, 1000])
+def test_row_cap_over_buckets(spark, monkeypatch, limit):
+    """Caps that fall inside a bucket, on its edge and past the end, per year and in all."""
+    monkeypatch.setattr(limits, "BUCKET", 16)
+    ids = [None, None, -40, -1, *range(0, 300, 3)]
+    rows = [(i, year) for year in (2020, 2021) for i in (ids if year == 2020 else ids[:50])]
+    df = spark.createDataFrame(rows, "Id long, year int").repartition(4)
+    order = lambda r: (r[0] is not None, r[0] or 0)
+    for year, mine in ((2020, ids), (2021, ids[:50])):
+        found = limits.first_rows(df, limit, "Id", "year").where(f"year = {year}").collect()
+        assert sorted([r.Id for r in found], key=lambda i: (i is not None, i or 0)) == mine[:limit]
+    every = [tuple(r) for r in limits.first_rows(df, limit, "Id").collect()]
+    want = sorted(rows, key=order)[:limit]
+    assert sorted(r[0] is None or r[0] for r in every) == sorted(r[0] is None or r[0] for r in want)
+
+
 def test_top_rows_breaks_ties_by_key(spark):
     df = spark.createDataFrame([(3, 5), (1, 5), (2, 9)], "k long, n long")
     assert values(top_rows(df, "n", 2, "k"), "k") == [2, 1]
