@@ -12,10 +12,11 @@ An empty or null text has no ids. Special tokens' strings are read as the librar
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,26 +24,37 @@ import pyarrow.compute as pc
 
 END_ID = 0
 # Chunks that a worker keeps. Changes time and memory, never results.
-KEEP = 400_000
+KEEP = 250_000
 # Bytes of text handled at once; a longer text is handled alone.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _JOIN = 256
 _CUT = "\x00"
-# Invisible characters that some rule sets count as white space.
-_INVISIBLE = frozenset("\x00\x1c\x1d\x1e\x1f\x85᠎​‌‍⁠﻿")
+# White space by any rule set, and invisible characters that some of them count as such.
+_SPACES = frozenset(chr(c) for c in range(0x3100) if chr(c).isspace()) | frozenset(
+    map(chr, (0x00, 0x180E, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF))
+)
 
 
-def _space(c: str) -> bool:
-    return c.isspace() or c in _INVISIBLE
-
-
-def _regular(chunk: str) -> bool:
-    """Whether the text may be cut before and after this chunk."""
+def _odd(chunk: str) -> bool:
+    """Whether the text must not be cut before or after this chunk."""
     if not chunk:
-        return True
-    if _space(chunk[-1]):
         return False
-    return chunk[0] != " " or not _space(chunk[1])
+    return chunk[-1] in _SPACES or chunk[0] == " " and chunk[1] in _SPACES
+
+
+@cache
+def _trim():
+    """The C library's call that returns freed memory to the system, where there is one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError, TypeError):
+        return lambda _: 0
+
+
+def _hand_back() -> None:
+    """Return what a part took; Python workers live on through other stages."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
 
 
 def slices(texts: pa.Array) -> Iterator[pa.Array]:
@@ -54,8 +66,7 @@ def slices(texts: pa.Array) -> Iterator[pa.Array]:
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
     for low, high in zip(edges, edges[1:]):
         yield texts.slice(low, high - low)
-        # Hand back what the part took; workers live on through other stages.
-        pa.default_memory_pool().release_unused()
+        _hand_back()
 
 
 class Memo(dict):
@@ -105,6 +116,10 @@ class Encoder:
         self.with_spans = spans
         self.vocab_size = self.tokenizer.get_vocab_size()
         self.known = Memo(KEEP)
+        # A character no piece of the vocabulary holds with others: its id parts joined chunks.
+        mark = self.tokenizer.encode(_CUT, add_special_tokens=False)
+        alone = len(mark.ids) == 1 and sum(mark.tokens[0] in t for t in self.tokenizer.get_vocab()) == 1
+        self.mark = mark.ids[0] if alone else None
 
     def _whole(self, texts: Sequence[str]) -> list[bytes]:
         run = self.tokenizer.encode_batch if self.with_spans else self.tokenizer.encode_batch_fast
@@ -112,11 +127,36 @@ class Encoder:
         return [np.asarray(e.offsets if self.with_spans else e.ids, "<u4").tobytes() for e in found]
 
     def _learn(self, new: list[str]) -> None:
+        """Encode ``new``. A full stop or comma after a letter is a piece of its own, so a word need
+        not be encoded once more for it."""
+        known, old = self.known, self.known.old
+        tailed = {c for c in new if c[-1:] in (".", ",") and c[-2:-1].isalpha()}
+        stems = {c[:-1] for c in tailed}
+        self._encode(list(stems.union(new).difference(tailed, known, old)))
+        end = dict(zip(".,", self._whole(".,")))
+        for c in tailed:
+            tail = np.array([len(c) - 1, len(c)], "<u4").tobytes() if self.with_spans else end[c[-1]]
+            stem = known.get(c[:-1])
+            known[c] = (old[c[:-1]] if stem is None else stem) + tail
+
+    def _encode(self, new: list[str]) -> None:
         single = [c for c in new if c[:1] != " "]
         self.known.update(zip(single, self._whole(single)))
         follow = [c for c in new if c[:1] == " "]
-        for i in range(0, len(follow), _JOIN):
-            group = follow[i : i + _JOIN]
+        groups = [follow[i : i + _JOIN] for i in range(0, len(follow), _JOIN)]
+        if self.mark is None or self.with_spans:
+            self._learn_by_offsets(groups)
+            return
+        texts = [_CUT.join(g) + _CUT for g in groups]
+        for group, encoded in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.asarray(encoded.ids, dtype="<u4")
+            flat, at = ids.tobytes(), 0
+            for chunk, end in zip(group, (np.flatnonzero(ids == self.mark) * 4).tolist()):
+                self.known[chunk] = flat[at:end]
+                at = end + 4
+
+    def _learn_by_offsets(self, groups: list[list[str]]) -> None:
+        for group in groups:
             (encoded,) = self.tokenizer.encode_batch(["".join(group)], add_special_tokens=False)
             offsets = np.asarray(encoded.offsets, dtype=np.int64).reshape(-1, 2)
             sizes = np.fromiter(map(len, group), np.int64, len(group))
@@ -145,7 +185,7 @@ class Encoder:
         places = coded.indices.to_numpy()
         packed = self.known.look_up(names)
         fresh = [c for c, p in zip(names, packed) if p is None]
-        odd = {c for c in fresh if not _regular(c)}
+        odd = {c for c in fresh if _odd(c)}
         if fresh:
             self._learn([c for c in fresh if c not in odd])
             get = self.known.get

@@ -321,19 +321,28 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _blocks(long: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs of documents of one cluster of long lists, in different components so far, that may
-    link. Clusters are cut into blocks by hash, and blocks met pairwise."""
+    link. The documents outside a cluster's largest component meet all its documents, those inside
+    meet only the others. Both are cut into blocks by hash, and blocks met pairwise."""
     cluster = components(long).select("node", F.col("component").alias("cluster"))
     known = parts.select("node", "component")
-    placed = cluster.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ones = placed.groupBy("cluster").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m")
-    ).where("low < high")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    mine = placed.join(open_ones.select("cluster", blocks.alias("blocks")), "cluster")
-    mine = mine.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = stage(cluster.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    sizes = placed.groupBy("cluster", "component").agg(F.count("*").alias("m"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    shape = sizes.groupBy("cluster").agg(
+        F.max_by("component", F.struct("m", "component")).alias("largest"),
+        blocks(F.sum("m") - F.max("m")).alias("apart"),
+        blocks(F.max("m")).alias("inside"),
+    )
+    mine = placed.join(shape.where("apart > 0"), "cluster")
+    inner = F.col("component") == F.col("largest")
+    hashed = F.xxhash64("node")
+    block = F.when(inner, F.col("apart") + F.pmod(hashed, F.col("inside"))).otherwise(F.pmod(hashed, F.col("apart")))
+    mine = mine.withColumn("block", block.cast("int")).withColumn(
+        "meets", F.when(inner, F.col("apart")).otherwise(F.col("apart") + F.col("inside"))
+    )
     mine = stage(mine.join(nodes.select("node", "n", "bits"), "node"))
     # Each block goes to every block pair it belongs to.
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    other = F.explode(F.sequence(F.lit(0), F.col("meets") - 1)).alias("other")
     sent = mine.select("cluster", "block", "component", "node", "n", "bits", other).select(
         "*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
