@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 def brute(text, rule, code):
     lines, at = [], 0
-    for line in text.splitlines(keepends=True) if False else text.split("\n"):
+    for line in text.split("\n"):
         end = min(len(text), at + len(line) + 1)
         lines.append((at, end))
         at = end
