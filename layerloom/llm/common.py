@@ -34,10 +34,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows that go to a Python worker at once while a table is staged: texts may be long.
+ARROW_ROWS = 1000
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back: lineage is cut, a lost executor
-    costs a re-read, and the planner knows the size."""
-    return tables.stage(df, f"{shared_folder(df.sparkSession)}/llm")
+    costs a re-read, and the planner knows the size. Arrow batches are kept small meanwhile."""
+    conf, rows = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(rows)
+    conf.set(rows, str(ARROW_ROWS))
+    try:
+        return tables.stage(df, f"{shared_folder(df.sparkSession)}/llm")
+    finally:
+        conf.set(rows, before)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
