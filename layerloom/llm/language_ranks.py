@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerloom.llm.byte_bpe import slices
+from layerloom.llm.common import stage
 
 # N-grams in a profile. What the driver and each task hold is this many per language.
 PROFILE = 300
@@ -77,7 +78,7 @@ def learn(
     """
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).na.drop()
     counted = rows.mapInArrow(_counts, "lang string, gram long, n long")
-    totals = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    totals = stage(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     ranked = totals.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
     profiles: dict[str, list[int]] = {}

@@ -121,7 +121,8 @@ def mine(labelled: DataFrame) -> list[tuple[str, float]]:
     rest = F.when(share < 1, (1 - share) * F.ln((1 - share) / (1 - base))).otherwise(0.0)
     evidence = F.col("n") * (share * F.ln(share / base) + rest)
     strong = counts.where((share >= MIN_SHARE) & (share > base)).withColumn("evidence", evidence)
-    top = strong.where(F.col("evidence") >= EVIDENCE).orderBy(F.desc("evidence"), "term").limit(TERMS)
+    found = stage(strong.where(F.col("evidence") >= EVIDENCE))
+    top = found.orderBy(F.desc("evidence"), "term").limit(TERMS)
     return [(r["term"], r["share"]) for r in top.select("term", share.alias("share")).collect()]
 
 
