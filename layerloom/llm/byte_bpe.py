@@ -24,9 +24,9 @@ import pyarrow.compute as pc
 
 END_ID = 0
 # Chunks that a worker keeps. Changes time and memory, never results.
-KEEP = 250_000
+KEEP = 700_000
 # Bytes of text handled at once; a longer text is handled alone.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 _JOIN = 256
 _CUT = "\x00"
 # White space by any rule set, and invisible characters that some of them count as such.
@@ -91,15 +91,15 @@ class Memo(dict):
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, spans: bool = False) -> Encoder:
-    return Encoder(path, spans)
+def encoder(path: str, spans: bool = False, keep: int = KEEP) -> Encoder:
+    return Encoder(path, spans, keep)
 
 
 class Encoder:
     """``ids``: per text its ids, unsigned 32-bit. ``spans`` (of an encoder made with
     ``spans=True``): per text the character starts and ends of its tokens."""
 
-    def __init__(self, path: str, spans: bool = False):
+    def __init__(self, path: str, spans: bool = False, keep: int = KEEP):
         # A task has one core.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -115,7 +115,7 @@ class Encoder:
         )
         self.with_spans = spans
         self.vocab_size = self.tokenizer.get_vocab_size()
-        self.known = Memo(KEEP)
+        self.known = Memo(keep)
         # A character no piece of the vocabulary holds with others: its id parts joined chunks.
         mark = self.tokenizer.encode(_CUT, add_special_tokens=False)
         alone = len(mark.ids) == 1 and sum(mark.tokens[0] in t for t in self.tokenizer.get_vocab()) == 1

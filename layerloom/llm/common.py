@@ -38,12 +38,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 ARROW_ROWS = 1000
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, arrow_rows: int = ARROW_ROWS) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back: lineage is cut, a lost executor
     costs a re-read, and the planner knows the size. Arrow batches are kept small meanwhile."""
     conf, rows = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = conf.get(rows)
-    conf.set(rows, str(ARROW_ROWS))
+    conf.set(rows, str(arrow_rows))
     try:
         return tables.stage(df, f"{shared_folder(df.sparkSession)}/llm")
     finally:

@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerloom.llm.byte_bpe import END_ID, encoder
+from layerloom.llm.byte_bpe import END_ID, KEEP, encoder
 from layerloom.llm.common import shuffle_partitions, stage
 
 CAPACITY = 2048
+# Documents that go to a Python worker at once.
+ARROW_ROWS = 2500
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLAN = "length long, low long, high long, bin long, offset long"
 
@@ -37,12 +39,13 @@ def pieces(
     capacity: int = CAPACITY,
     id_col: str = "doc_id",
     text_col: str = "text",
+    keep: int = KEEP,
 ) -> DataFrame:
     """One row per piece. A text longer than a sequence fills whole sequences from its end; the
     rest is its first piece. No shuffle."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = encoder(tokenizer)
+        code = encoder(tokenizer, keep=keep)
         end = np.array([END_ID], "<u4")
         for batch in batches:
             rows = []
@@ -150,6 +153,10 @@ def pack(
     capacity: int = CAPACITY,
     id_col: str = "doc_id",
     text_col: str = "text",
+    keep: int = KEEP,
+    arrow_rows: int = ARROW_ROWS,
 ) -> DataFrame:
-    """Pieces of all documents with their sequences and offsets."""
-    return assign(stage(pieces(docs, tokenizer, capacity, id_col, text_col)), capacity)
+    """Pieces of all documents with their sequences and offsets. ``keep`` and ``arrow_rows`` trade
+    the memory of Python workers for speed."""
+    cut = pieces(docs, tokenizer, capacity, id_col, text_col, keep)
+    return assign(stage(cut, arrow_rows), capacity)

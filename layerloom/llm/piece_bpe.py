@@ -31,7 +31,7 @@ from layerloom.llm.byte_bpe import Memo, slices
 
 MARK = "▁"
 # Words that a worker keeps. Changes time and memory, never results.
-KEEP = 250_000
+KEEP = 700_000
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 _CUT = "\x00"
 _NONE = np.iinfo(np.int64).max

@@ -30,6 +30,8 @@ from layerloom.llm.byte_bpe import END_ID, encoder
 from layerloom.llm.common import stage
 
 SEQUENCE = 2048
+# Documents that go to a Python worker at once.
+ARROW_ROWS = 2500
 # Sequences in one record batch of a file.
 BATCH = 128
 MANIFEST = (
@@ -171,7 +173,7 @@ def write(
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     keyed = picked.withColumn("h", F.xxhash64("text"))
     ordered = keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    return stage(ordered.select("doc_id", "text").mapInArrow(shard, MANIFEST))
+    return stage(ordered.select("doc_id", "text").mapInArrow(shard, MANIFEST), ARROW_ROWS)
 
 
 def read(manifest: DataFrame) -> DataFrame:
