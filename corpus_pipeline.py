@@ -61,7 +61,7 @@ def near_duplicates(spark, docs, sf_dir):
 def best_fit_packing(spark, docs, sf_dir):
     """Pack the documents into sequences. Workers that served other stages have less room left."""
     ship(spark)
-    return packing.pack(docs, BYTE_BPE, keep=250_000, arrow_rows=1000)
+    return packing.pack(docs, BYTE_BPE, keep=50_000, arrow_rows=1000)
 
 
 STAGES = [
