@@ -28,7 +28,7 @@ from layerloom.llm.common import shuffle_partitions, stage
 
 CAPACITY = 2048
 # Documents that go to a Python worker at once.
-ARROW_ROWS = 10_000
+ARROW_ROWS = 2500
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLAN = "length long, low long, high long, bin long, offset long"
 

@@ -31,7 +31,7 @@ from layerloom.llm.common import stage
 
 SEQUENCE = 2048
 # Documents that go to a Python worker at once.
-ARROW_ROWS = 10_000
+ARROW_ROWS = 2500
 # Sequences in one record batch of a file.
 BATCH = 128
 MANIFEST = (
