@@ -18,6 +18,8 @@ from layerloom.llm.registry import BYTE_BPE, LANGUAGE_FOLDS, TOXICITY_FOLDS
 
 # Texts whose score is lower resemble no language that was learned.
 MIN_LANGUAGE_SCORE = 0.35
+# Near duplicates share 80 of 100 shingles of five words. op6's own contract (four, 85) binds only op6.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 _KEY = ("doc_id", "_text_hash")
 
 
@@ -50,9 +52,10 @@ def toxic(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Keep the document with the smallest id of each group of linked documents."""
+    """Keep the document with the smallest id of each group of linked documents: those whose sets of
+    five-word shingles have a similarity of 0.8 or more."""
     ship(spark)
-    joined = shingle_join.join(docs)
+    joined = shingle_join.join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     first = stage(joined.where("doc_id = component_id").select("doc_id").distinct())
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)

@@ -39,8 +39,9 @@ from layerloom.llm.byte_bpe import slices
 from layerloom.llm.common import shuffle_partitions, stage
 from layerloom.llm.components import components
 
+# Defaults of ``words`` and ``percent``, those of op6's contract. Two documents link when
+# 100 * intersection >= percent * union.
 WORDS = 4
-# Two documents link when 100 * intersection >= PERCENT * union.
 PERCENT = 85
 # A token of more documents is frequent; lists up to this length give all pairs.
 RARE = 10
@@ -61,12 +62,12 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+def _parts(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
     """Ids and token sets, a few megabytes of text at a time."""
     for batch in batches:
         at = 0
         for part in slices(batch.column("text")):
-            yield batch.column("doc_id").slice(at, len(part)), shingles(part)
+            yield batch.column("doc_id").slice(at, len(part)), shingles(part, words)
             at += len(part)
 
 
@@ -124,25 +125,25 @@ def _fold(bits: bytes, size: int) -> int:
     return int.from_bytes(bits)
 
 
-def least_common(total: int) -> int:
+def least_common(total: int, percent: int = PERCENT) -> int:
     """Common tokens that two sets with ``total`` tokens together need at least."""
-    return -(-PERCENT * total // (100 + PERCENT))
+    return -(-percent * total // (100 + percent))
 
 
-def may_link(n_a: int, bits_a: bytes, n_b: int, bits_b: bytes) -> bool:
+def may_link(n_a: int, bits_a: bytes, n_b: int, bits_b: bytes, percent: int = PERCENT) -> bool:
     """False only if the sets cannot link: sizes too far apart, or too many bits differ."""
-    if 100 * min(n_a, n_b) < PERCENT * max(n_a, n_b):
+    if 100 * min(n_a, n_b) < percent * max(n_a, n_b):
         return False
     size = min(len(bits_a), len(bits_b))
     differ = (_fold(bits_a, size) ^ _fold(bits_b, size)).bit_count()
-    return differ <= n_a + n_b - 2 * least_common(n_a + n_b)
+    return differ <= n_a + n_b - 2 * least_common(n_a + n_b, percent)
 
 
-def measure(docs: DataFrame) -> DataFrame:
+def measure(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``doc_id``, ``n`` tokens, a ``digest`` of the set (null if empty) and its ``bits``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _parts(batches):
+        for ids, sets in _parts(batches, words):
             yield pa.record_batch(
                 [
                     ids,
@@ -156,7 +157,7 @@ def measure(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, digest binary, bits binary")
 
 
-def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+def frequent_tokens(docs: DataFrame, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, int]:
     """The most frequent tokens, as fingerprints in order, with their numbers of documents.
 
     Tokens are counted within a part of a task, then by ranges of their values; what moves is 4
@@ -167,7 +168,7 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
     rest = (1 << 32) - 1
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, every in _parts(batches):
+        for _, every in _parts(batches, words):
             found, n = np.unique(np.concatenate(every) >> shift, return_counts=True)
             edges = np.searchsorted(found, np.arange((1 << power) + 1, dtype=np.uint64) << np.uint64(32))
             low, single = (found & np.uint64(rest)).astype("<u4"), n == 1
@@ -206,21 +207,23 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
     return top["mark"].to_numpy(np.uint64), top["n"].to_numpy(np.int64), int(shift)
 
 
-def _band(n: int) -> int:
+def _band(n: int, percent: int) -> int:
     """Partners' bands differ by one at most: a band spans the largest ratio of sizes."""
-    return int(np.floor(np.log(n) / np.log(100 / PERCENT) + 1e-9))
+    return int(np.floor(np.log(n) / np.log(100 / percent) + 1e-9))
 
 
-def _classes(band: int) -> int:
+def _classes(band: int, percent: int) -> int:
     """Classes of frequent tokens for a band; 0: the sets are too small to pair tokens."""
-    size = (100 / PERCENT) ** band
-    return 0 if size < PAIRED else max(1, int((1 - PERCENT / 100) * size / CLASS))
+    size = (100 / percent) ** band
+    return 0 if size < PAIRED else max(1, int((1 - percent / 100) * size / CLASS))
 
 
-def signatures(tokens: np.ndarray, marks: np.ndarray, counts: np.ndarray, shift: int) -> np.ndarray:
+def signatures(
+    tokens: np.ndarray, marks: np.ndarray, counts: np.ndarray, shift: int, percent: int = PERCENT
+) -> np.ndarray:
     """Signatures of one set (sorted tokens)."""
     n = len(tokens)
-    need = n - -(-PERCENT * n // 100) + 1
+    need = n - -(-percent * n // 100) + 1
     mark = tokens >> np.uint64(shift)
     at = np.minimum(np.searchsorted(marks, mark), max(0, len(marks) - 1))
     common = marks[at] == mark if len(marks) else np.zeros(n, bool)
@@ -230,8 +233,8 @@ def signatures(tokens: np.ndarray, marks: np.ndarray, counts: np.ndarray, shift:
     frequent = tokens[common][np.lexsort((tokens[common], counts[at[common]]))]
     need -= len(rare)
     out = [rare]
-    for band in (_band(n), _band(n) + 1):
-        classes = _classes(band)
+    for band in (_band(n, percent), _band(n, percent) + 1):
+        classes = _classes(band, percent)
         if not classes:
             out.append(frequent[:need])
             continue
@@ -249,13 +252,13 @@ def signatures(tokens: np.ndarray, marks: np.ndarray, counts: np.ndarray, shift:
     return np.unique(np.concatenate(out))
 
 
-def _signed(docs: DataFrame, table) -> DataFrame:
+def _signed(docs: DataFrame, table, words: int, percent: int) -> DataFrame:
     """``doc_id`` and its ``sigs``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, counts, shift = table.value
-        for ids, sets in _parts(batches):
-            sigs = [(signatures(s, marks, counts, shift) if len(s) else s).view(np.int64) for s in sets]
+        for ids, sets in _parts(batches, words):
+            sigs = [(signatures(s, marks, counts, shift, percent) if len(s) else s).view(np.int64) for s in sets]
             yield pa.record_batch([ids, pa.array(sigs, pa.list_(pa.int64()))], names=["doc_id", "sigs"])
 
     return docs.mapInArrow(run, "doc_id long, sigs array<long>")
@@ -286,23 +289,23 @@ def _both(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b")
 
 
-def _screen(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _screen(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs that the bitmaps do not rule out."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("n_a", "bits_a", "n_b", "bits_b")]
-            keep = pa.array([may_link(*x) for x in zip(*columns)], pa.bool_())
+            keep = pa.array([may_link(*x, percent) for x in zip(*columns)], pa.bool_())
             yield batch.select(["a", "b"]).filter(keep)
 
     return _both(pairs, nodes.select("node", "n", "bits")).mapInArrow(run, "a long, b long")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs whose token sets link. Only documents in ``pairs`` are read into sets again."""
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, found in _parts(batches):
+        for ids, found in _parts(batches, words):
             yield pa.record_batch([ids, pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "tokens"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,7 +314,7 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             for x, y in zip(batch.column("tokens_a"), batch.column("tokens_b")):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(common >= least_common(len(x) + len(y)))
+                keep.append(common >= least_common(len(x) + len(y), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     asked = stage(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct())
@@ -319,7 +322,7 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return _both(pairs, found).mapInArrow(run, "a long, b long").distinct()
 
 
-def _blocks(long: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
+def _blocks(long: DataFrame, nodes: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents of one cluster of long lists, in different components so far, that may
     link. The documents outside a cluster's largest component meet all its documents, those inside
     meet only the others. Both are cut into blocks by hash, and blocks met pairwise."""
@@ -357,9 +360,9 @@ def _blocks(long: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
         out_a, out_b = [], []
         for x in left.tolist():
             far = right if i != j else right[node[right] > node[x]]
-            far = far[(part[far] != part[x]) & (100 * np.minimum(n[far], n[x]) >= PERCENT * np.maximum(n[far], n[x]))]
+            far = far[(part[far] != part[x]) & (100 * np.minimum(n[far], n[x]) >= percent * np.maximum(n[far], n[x]))]
             for y in far.tolist():
-                if may_link(n[x].item(), column["bits"][x], n[y].item(), column["bits"][y]):
+                if may_link(n[x].item(), column["bits"][x], n[y].item(), column["bits"][y], percent):
                     out_a.append(min(node[x], node[y]))
                     out_b.append(max(node[x], node[y]))
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
@@ -367,27 +370,30 @@ def _blocks(long: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
     return sent.groupBy("cluster", "i", "j").applyInArrow(meet, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
+def join(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links between
+    documents of which at least ``percent`` of 100 shingles of ``words`` words are common."""
     spark = docs.sparkSession
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    measured = stage(measure(picked))
+    measured = stage(measure(picked, words))
     real = measured.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     first = stage(real.groupBy("digest").agg(F.min("doc_id").alias("node")))
     copies = stage(real.select("doc_id", "digest").join(first, "digest").select("doc_id", "node", "digest"))
     own = copies.where("doc_id = node").select("node", "digest").distinct()
     nodes = stage(real.join(own.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"]).select(
         F.col("doc_id").alias("node"), "n", "bits").distinct())
-    table = spark.sparkContext.broadcast(frequent_tokens(picked))
+    table = spark.sparkContext.broadcast(frequent_tokens(picked, words))
     ids = nodes.select(F.col("node").alias("doc_id")).distinct()
-    signed = stage(_signed(picked, table).join(ids, "doc_id", "left_semi").distinct())
+    signed = stage(_signed(picked, table, words, percent).join(ids, "doc_id", "left_semi").distinct())
     pairs, long = _lists(signed)
-    links = stage(_verify(stage(_screen(pairs, nodes)), picked))
+    links = stage(_verify(stage(_screen(pairs, nodes, percent)), picked, words, percent))
     parts = stage(components(links))
     if not long.isEmpty():
-        more = stage(_blocks(long, nodes, parts))
+        more = stage(_blocks(long, nodes, parts, percent))
         if not more.isEmpty():
-            links = links.unionAll(_verify(more, picked))
+            links = links.unionAll(_verify(more, picked, words, percent))
             parts = stage(components(links))
     grouped = copies.join(parts.withColumnRenamed("component", "found"), "node", "left").select(
         "doc_id", "digest", F.coalesce("found", "node").alias("component_id")

@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline as cp
 from layerloom.llm import registry, toxicity
 from layerloom.llm.common import stage
@@ -40,3 +42,38 @@ def test_odd_and_empty(spark, odd, none):
             assert found.columns == docs.columns and found.count() <= docs.count()
             docs = found
         assert cp.STAGES[-1][1](spark, docs, SF).count() >= docs.count()
+
+
+def test_near_duplicates_link_at_five_words_and_80(spark, documents):
+    """Copies with 1 to 14 words replaced, many of them between this threshold and op6's own."""
+    draw = random.Random(11)
+    vocabulary = [f"v{k}" for k in range(4000)]
+    texts = ["a b c d", "a b c d", "A b c d e", "a b c d e f"]
+    for words in (9, 40, 120, 120, 200, 300):
+        base = draw.choices(vocabulary, k=words)
+        texts.append(" ".join(base))
+        for edits in range(1, 15):
+            copy = list(base)
+            for k in draw.sample(range(words), min(edits, words // 8)):
+                copy[k] = draw.choice(vocabulary)
+            texts.append(" ".join(copy))
+    rows = [(k, t, None, None, None) for k, t in enumerate(texts)]
+
+    def kept_by(words, percent):
+        sets = [_shingles(t, words) for t in texts]
+        group = list(range(len(texts)))
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                    low, high = sorted((group[i], group[j]))
+                    group = [low if g == high else g for g in group]
+        return {k for k, g in enumerate(group) if k == g}
+
+    assert kept_by(5, 80) != kept_by(4, 85)
+    kept = cp.near_duplicates(spark, spark.createDataFrame(rows, documents.schema), SF)
+    assert {r["doc_id"] for r in kept.collect()} == kept_by(5, 80)
+
+
+def _shingles(text, words):
+    w = text.lower().split()
+    return {tuple(w[k : k + words]) for k in range(len(w) - words + 1)} or {tuple(w)}
