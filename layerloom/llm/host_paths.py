@@ -1,10 +1,12 @@
 """Main text of web pages by consensus paths of their hosts.
 
 First every page scores its containers by the text that stands in them, less that in links, and
-names the path of the best one: tags and classes from the body down, numbers generalised. Spark
+names the path of the best one, or of the outermost article or main around it: tags and classes
+from the body down, numbers generalised. Spark
 counts the votes per host and path. Then each page is read again with the winning paths of its host:
 the first of them that the page has, by votes, holds the article; a page with none of them uses its
-own best container.
+own best container. All elements of the page with that path belong to the article, such as its
+sections; where a path is cut to its last steps, those as deep as the best one.
 
 Left out wherever they stand: menus, headers, footers, sidebars, notices, adverts, forms, reader
 comments (told by tag, role or class), scripts, styles, markup and what is hidden. Character
@@ -223,8 +225,8 @@ class Page:
         return "/".join(reversed(steps))
 
     def scores(self, noise: list[bool]) -> dict[int, float]:
-        """Score of every container that has text: its own blocks count whole, those of containers
-        directly inside it by half."""
+        """Score of every container that has text inside: its own blocks count whole, and each
+        container hands half of its score to the one around it."""
         held: dict[int, float] = {}
         near, linked = [0] * len(self.tag), [False] * len(self.tag)
         for k in range(1, len(near)):
@@ -236,9 +238,10 @@ class Page:
                 n = len(piece) - piece.count(" ")
                 home = near[k]
                 held[home] = held.get(home, 0.0) + (-n if linked[k] else n)
-        for k in [k for k in held if k]:
-            up = near[self.parent[k]]
-            held[up] = held.get(up, 0.0) + held[k] / 2
+        for k in range(len(near) - 1, 0, -1):
+            if k in held:
+                up = near[self.parent[k]]
+                held[up] = held.get(up, 0.0) + held[k] / 2
         for k in held:
             if self.tag[k] in ("article", "main"):
                 held[k] *= 2
@@ -250,7 +253,22 @@ class Page:
 
     def best(self, noise: list[bool], scores: dict[int, float]) -> int | None:
         whole = [k for k in scores if not noise[k] and (scores[k] > 0 or self.tag[k] == "article")]
-        return max(whole, key=lambda k: (scores[k], -k), default=None)
+        best = max(whole, key=lambda k: (scores[k], -k), default=None)
+        k = -1 if best is None else self.parent[best]
+        while k >= 0:
+            if self.tag[k] in ("article", "main"):
+                best = k
+            k = self.parent[k]
+        return best
+
+    def texts(self, found: list[int], scores: dict[int, float], noise: list[bool]) -> str:
+        """Text of the elements ``found``, which have one path, as far as they are as deep as the best."""
+        best = max(found, key=lambda k: (scores.get(k, 0.0), -k))
+        depth = [0]
+        for up in self.parent[1:] if len(found) > 1 else []:
+            depth.append(depth[up] + 1)
+        every = (self.text(k, noise) for k in found if k == best or depth[k] == depth[best])
+        return " ".join(t for t in every if t)
 
     def text(self, k: int, noise: list[bool]) -> str:
         kept = (
@@ -283,10 +301,9 @@ def extract(html: str | None, paths: list[str]) -> str:
             found.setdefault(page.path(k), []).append(k)
     for path in paths:
         if path in found:
-            best = max(found[path], key=lambda k: (scores.get(k, 0.0), -k))
-            return page.text(best, noise)
+            return page.texts(found[path], scores, noise)
     best = page.best(noise, scores)
-    return "" if best is None else page.text(best, noise)
+    return "" if best is None else page.texts(found.get(page.path(best), [best]), scores, noise)
 
 
 def host_of(url):

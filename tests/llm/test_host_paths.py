@@ -84,3 +84,31 @@ def test_whole_table(spark):
 def test_escapes_round_trip():
     text = "a & b < c > d \" ' é 漢"
     assert host_paths.extract(f"<article><p>{escape(text)}</p></article>", []) == text
+
+
+def test_nested_containers():
+    """Title, lead and every section belong to the article, however deep they lie."""
+    one, two, three = ("one " * 125).strip(), ("two " * 75).strip(), ("three " * 20).strip()
+    parts = f"<section>{one}</section><section>{two}</section><section>{three}</section>"
+    body = f"{one} {two} {three}"
+    for html, want in (
+        (f"<article><h1>T</h1><div class=c>{parts}</div></article>", f"T {body}"),
+        (f"<div>out</div><article><h1>T</h1><div><div><div>{one}</div></div></div></article>", f"T {one}"),
+        (f"<main><h1>T</h1><article><div>{parts}</div></article></main><div>out</div>", f"T {body}"),
+        (f"<div class=c>{parts}</div><div class=d>out</div>", body),
+        (f"<div class=c><div class=e>{parts}</div></div><div class=d>out</div>", body),
+    ):
+        vote = host_paths._vote(html)
+        assert host_paths.extract(html, [vote]) == want
+        assert host_paths.extract(html, []) == want
+
+
+def test_scores_reach_every_ancestor():
+    page = host_paths.Page("<div><div><div><p>" + "x" * 80 + "</p></div></div></div>")
+    assert page.scores(page.noise()) == {0: 10.0, 1: 20.0, 2: 40.0, 3: 80.0}
+
+
+def test_cut_paths_do_not_reach_around_the_best():
+    html = "<div>" * 9 + "<div>out</div><div>" + "in " * 50 + "</div>" + "</div>" * 9
+    path = "/".join(["div"] * host_paths.STEPS)
+    assert host_paths.extract("<div>far</div>" + html, [path]) == "out " + ("in " * 50).strip()
