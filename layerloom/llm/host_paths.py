@@ -5,7 +5,10 @@ names the path of the best one, or of the outermost article or main around it: t
 from the body down, numbers generalised. Spark
 counts the votes per host and path. Then each page is read again with the winning paths of its host:
 the first of them that the page has, by votes, holds the article; a page with none of them uses its
-own best container. All elements of the page with that path belong to the article, such as its
+own best container. A path that is not an article or main gives way to a winning path inside it that
+wins on at least half of the pages which have it: the body is on every page, so on its own it says
+nothing about pages of another template. If the body is left, an article or main that is the page's
+own best container is taken instead. All elements of the page with that path belong to the article, such as its
 sections; where a path is cut to its last steps, those as deep as the best one.
 
 Left out wherever they stand: menus, headers, footers, sidebars, notices, adverts, forms, reader
@@ -13,7 +16,7 @@ comments (told by tag, role or class), scripts, styles, markup and what is hidde
 references are decoded, white space inside a block becomes one space, and blocks are joined by one.
 
 Defined cases: null or empty html and pages without an article's text give an empty text; a page
-whose url is null or has no host counts to the host of the empty name; repeated rows vote and are
+whose url is null or has no host uses its own best container; repeated rows vote and are
 extracted each; an empty table gives an empty result. Only id, url and html are read.
 """
 
@@ -279,17 +282,24 @@ class Page:
         return " ".join("".join(kept).split())
 
 
-def _vote(html: str | None) -> str | None:
+def _votes(html: str | None) -> tuple[str | None, set[str]]:
+    """The path of a page's best container, and those of all its containers."""
     if not html:
-        return None
+        return None, set()
     page = Page(html)
     noise = page.noise()
     best = page.best(noise, page.scores(noise))
-    return None if best is None else page.path(best)
+    every = {page.path(k) for k, tag in enumerate(page.tag) if tag in _CONTAINERS and not noise[k]}
+    return (None if best is None else page.path(best)), every
+
+
+def _vote(html: str | None) -> str | None:
+    return _votes(html)[0]
 
 
-def extract(html: str | None, paths: list[str]) -> str:
-    """The article of a page, given its host's paths in order of votes."""
+def extract(html: str | None, paths: list[str], firm: Iterable[str] = ()) -> str:
+    """The article of a page, given its host's paths in order of votes, and those of them that win on
+    at least half of the pages which have them."""
     if not html:
         return ""
     page = Page(html)
@@ -299,10 +309,24 @@ def extract(html: str | None, paths: list[str]) -> str:
     for k, tag in enumerate(page.tag):
         if tag in _CONTAINERS and not noise[k]:
             found.setdefault(page.path(k), []).append(k)
-    for path in paths:
-        if path in found:
-            return page.texts(found[path], scores, noise)
     best = page.best(noise, scores)
+    path = next((p for p in paths if p in found), None)
+    held = set(firm)
+    inside = [p for p in paths if p in held and p in found]
+    while path is not None:
+        # Paths inside a whole article are its parts.
+        if page.tag[found[path][0]] in ("article", "main"):
+            return page.texts(found[path], scores, noise)
+        spans = [(k, page.last[k]) for k in found[path]]
+        inner = (p for p in inside if p != path and any(a < k <= z for k in found[p] for a, z in spans))
+        deeper = next(inner, None)
+        if deeper is None:
+            break
+        # No path is left for one that was left before.
+        inside = [p for p in inside if p not in (path, deeper)]
+        path = deeper
+    if path is not None and not (path == page.path(0) and best and page.tag[best] in ("article", "main")):
+        return page.texts(found[path], scores, noise)
     return "" if best is None else page.texts(found.get(page.path(best), [best]), scores, noise)
 
 
@@ -313,19 +337,40 @@ def host_of(url):
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """``host`` and its ``paths``, most votes first. Votes are combined before they move."""
+    """``host``, its ``paths``, most votes first, and the ``firm`` ones, which win on at least half of
+    the pages that have them. Votes and pages are combined before they move."""
 
     def vote(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths = [_vote(x) for part in slices(batch.column("html")) for x in part.to_pylist()]
-            yield pa.record_batch([batch.column("host"), pa.array(paths, pa.string())], names=["host", "path"])
+            hosts = batch.column("host").to_pylist()
+            counts: dict[tuple[str, str], list[int]] = {}
+            at = 0
+            for part in slices(batch.column("html")):
+                for html in part.to_pylist():
+                    best, every = _votes(html)
+                    for path in every if best is None else every | {best}:
+                        mine = counts.setdefault((hosts[at], path), [0, 0])
+                        mine[0] += path == best
+                        mine[1] += 1
+                    at += 1
+            yield pa.record_batch(
+                [
+                    pa.array([h for h, _ in counts], pa.string()),
+                    pa.array([p for _, p in counts], pa.string()),
+                    pa.array([n for n, _ in counts.values()], pa.int64()),
+                    pa.array([m for _, m in counts.values()], pa.int64()),
+                ],
+                names=["host", "path", "n", "pages"],
+            )
 
-    votes = pages.select("host", "html").mapInArrow(vote, "host string, path string")
-    counted = stage(votes.where("path IS NOT NULL").groupBy("host", "path").agg(F.count("*").alias("n")))
+    votes = pages.where("host != ''").select("host", "html").mapInArrow(vote, "host string, path string, n long, pages long")
+    counted = votes.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages"))
+    counted = stage(counted.where("n > 0"))
     total = counted.groupBy("host").agg(F.sum("n").alias("total"))
     won = counted.join(total, "host").where(F.col("n") >= WIN * F.col("total"))
     order = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "path")))
-    return won.groupBy("host").agg(order["path"].alias("paths"))
+    firm = F.collect_list(F.when(2 * F.col("n") >= F.col("pages"), F.col("path")))
+    return won.groupBy("host").agg(order["path"].alias("paths"), firm.alias("firm"))
 
 
 def extract_pages(
@@ -340,10 +385,10 @@ def extract_pages(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            paths = batch.column("paths").to_pylist()
+            paths, firm = batch.column("paths").to_pylist(), batch.column("firm").to_pylist()
             for part in slices(batch.column("html")):
                 for html in part.to_pylist():
-                    texts.append(extract(html, paths[len(texts)] or []))
+                    texts.append(extract(html, paths[len(texts)] or [], firm[len(texts)] or []))
             yield pa.record_batch(
                 [
                     batch.column("page_id"),
@@ -361,5 +406,5 @@ def extract_pages(
         host_of(F.col(url_col)).alias("host"),
     )
     winners = stage(winning_paths(picked))
-    joined = picked.join(winners, "host", "left").select("page_id", "url", "html", "paths")
+    joined = picked.join(winners, "host", "left").select("page_id", "url", "html", "paths", "firm")
     return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")

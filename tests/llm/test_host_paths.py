@@ -112,3 +112,23 @@ def test_cut_paths_do_not_reach_around_the_best():
     html = "<div>" * 9 + "<div>out</div><div>" + "in " * 50 + "</div>" + "</div>" * 9
     path = "/".join(["div"] * host_paths.STEPS)
     assert host_paths.extract("<div>far</div>" + html, [path]) == "out " + ("in " * 50).strip()
+
+
+def test_pages_of_another_template(spark):
+    """Mostly plain hosts, pages without a host and a rare template: text around an article is out."""
+    out = "<p>unmarked text</p>"
+    plain, whole = "<p>some plain text of a page</p>", "some plain text of a page"
+    article, story = f"{out}<article>{ARTICLE}</article>{out}", f"{out}<div class=story>{ARTICLE * 3}</div>{out}"
+    long = " ".join([TEXT] * 3)
+    thread = "<p>a reader says more than the article</p>" * 9
+    rows = [("plain", plain, whole)] * 60 + [("plain", article, TEXT)] * 25 + [("plain", story, long)] * 15
+    rows += [("rare", plain, whole)] * 199 + [("rare", article, TEXT)]
+    # A path inside the article's that wins on few of the pages that have it does not replace it.
+    told = "<div class=story>" + ARTICLE + "<div class=thread>{}</div></div>"
+    rows += [("thread", told.format("ok"), TEXT + " ok")] * 50
+    rows += [("thread", told.format(thread), TEXT + " a reader says more than the article" * 9)] * 3
+    rows = [(k, f"http://{h}.example.com/{k}", x, want) for k, (h, x, want) in enumerate(rows)]
+    rows += [(1000, None, plain, whole)] * 9 + [(1001, None, article, TEXT), (1002, "no host", story, long)]
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in host_paths.extract_pages(df).collect()}
+    assert got == {k: want for k, _, _, want in rows}
