@@ -7,16 +7,19 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from layerloom.llm import (
+    collocations,
     exact_topk,
     host_paths,
     host_rules,
     language_ranks,
     packing,
     piece_bpe,
+    ranked_search,
     sequence_files,
     shingle_join,
     token_counts,
     toxicity,
+    winnowing,
 )
 from layerloom.llm.common import read
 
@@ -76,6 +79,18 @@ def op10_exact_topk(spark, sf_dir):
     return exact_topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_ranked_search(spark, sf_dir):
+    return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_winnowing(spark, sf_dir):
+    return winnowing.digests(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def queries():
     return {
         "op1_host_paths": op1_host_paths,
@@ -88,8 +103,16 @@ def queries():
         "op8_sequence_files": op8_sequence_files,
         "op9_toxicity": op9_toxicity,
         "op10_exact_topk": op10_exact_topk,
+        "op11_ranked_search": op11_ranked_search,
+        "op12_winnowing": op12_winnowing,
+        "op13_collocations": op13_collocations,
     }
 
 
 def oracle_sql():
-    return {"op2_host_rules": host_rules.ORACLE_SQL}
+    return {
+        "op2_host_rules": host_rules.ORACLE_SQL,
+        "op11_ranked_search": ranked_search.ORACLE_SQL,
+        "op12_winnowing": winnowing.ORACLE_SQL,
+        "op13_collocations": collocations.ORACLE_SQL,
+    }
