@@ -33,7 +33,8 @@ KGRAM = 5
 _LONGS_BITS = 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_MARK = F.lit(7)
+# Begins the second hash of what is named by two.
+_MARK = 7
 
 
 def _words(text: Column) -> Column:
@@ -79,7 +80,12 @@ _PLACED = "array<struct<length:int,start:int,print:bigint>>"
 
 def _window(length: int | Column, start: Column) -> list[Column]:
     run = F.slice("hashes", start + 1, length)
-    return [F.xxhash64(run), F.xxhash64(_MARK, run)]
+    return [F.xxhash64(run), F.xxhash64(F.lit(_MARK), run)]
+
+
+def _lengths(df: DataFrame) -> list[int]:
+    """At most as many values as a window has words."""
+    return sorted(r["length"] for r in df.select("length").distinct().collect())
 
 
 def item_windows(
@@ -88,12 +94,11 @@ def item_windows(
     """Distinct windows of the items: ``item``, ``length``, ``print``, ``first``, ``second``."""
     cut = items.select(F.col(item_col).alias("item"), _words(F.col(text_col)).alias("words"))
     hashed = cut.select("item", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
-    hashed = hashed.where(F.size("hashes") > 0)
+    # Only items with fewer words have windows of other lengths.
+    hashed = stage(hashed.withColumn("length", F.least(F.lit(window), F.size("hashes"))).where("length > 0"))
     parts = []
-    for length in range(1, window + 1):
-        # Only items with fewer words have windows of other lengths.
-        right = F.size("hashes") >= window if length == window else F.size("hashes") == length
-        printed = _fingerprints(hashed.where(right), length, kgram)
+    for length in _lengths(hashed) or [window]:
+        printed = _fingerprints(hashed.where(F.col("length") == length), length, kgram)
         # An outer explode: for a plain one Spark puts a filter before every step that made the prints,
         # with all steps nested in it.
         placed = printed.select("item", "hashes", F.posexplode_outer("prints").alias("start", "print"))
@@ -124,7 +129,7 @@ def _read(docs: DataFrame, id_col: str, text_col: str, lengths: list[int], windo
     out = docs.select(
         F.col(id_col).alias("doc_id"),
         F.xxhash64(text).alias("name"),
-        F.xxhash64(_MARK, text).alias("name2"),
+        F.xxhash64(F.lit(_MARK), text).alias("name2"),
         _words(text).alias("words"),
     )
     out = out.select(
@@ -164,8 +169,7 @@ def decontaminate(
     """Per document ``doc_id``, ``n_words``, ``n_hit``, ``n_items``, ``items`` (their ids as text,
     sorted) and ``contaminated``."""
     named = stage(item_windows(items, item_col, item_text_col, window, kgram))
-    # At most ``window`` rows.
-    lengths = sorted(r["length"] for r in named.select("length").distinct().collect())
+    lengths = _lengths(named)
     windows = stage(named.select("length", "print", "first", "second").distinct())
     read = stage(_read(docs, id_col, text_col, lengths, windows, kgram))
 

@@ -1,0 +1,95 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+
+from layerloom.llm import ranked_search, registry
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def cut(text):
+    return WORD.findall((text or "").translate(FOLD))
+
+
+def brute(docs, items, k=10):
+    """Every document against every item; ``docs`` and ``items`` are (id, text)."""
+    terms = [(d, Counter(cut(t))) for d, t in docs]
+    n_docs = sum(1 for _, c in terms if c)
+    total = sum(sum(c.values()) for _, c in terms)
+    df = Counter(t for _, c in terms for t in c)
+    wanted = {}
+    for item, text in items:
+        wanted.setdefault(item, set()).update(cut(text))
+    rows = []
+    for item, query in wanted.items():
+        scored = []
+        for doc, c in terms:
+            if not c:
+                continue
+            m = 100 - 90 + (90 * sum(c.values()) * n_docs) // total
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m))
+                for t in query
+                if c[t]
+            )
+            if score > 0:
+                scored.append((-score, doc is None, doc if doc is not None else 0))
+        for rank, (score, unknown, doc) in enumerate(sorted(scored)[:k], 1):
+            rows.append((item, rank, None if unknown else doc, -score))
+    return sorted(rows, key=repr)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.select("item_id", "rank", "doc_id", "score").collect()), key=repr)
+
+
+ITEMS = [(1, "one two three"), (2, None), (3, ""), (4, "Ünïcode WORD w1 w2 w3"), (4, "w4 naïve"), (None, "one a b")]
+
+
+def items_of(spark, rows):
+    return spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "item_id long, text string, rank string, doc_id string")
+
+
+def test_odd_rows(spark, odd):
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    assert found(ranked_search.search(odd, items_of(spark, ITEMS))) == brute(rows, ITEMS)
+
+
+@pytest.mark.parametrize("postings", [1, 2_000, 2_000_000])
+@pytest.mark.parametrize("pairs", [20, 10**6])
+def test_shards_and_blocks_do_not_change_results(spark, documents, postings, pairs):
+    docs = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").limit(25)
+    rows = [(r["item_id"], r["text"]) for r in items.collect()]
+    items = items_of(spark, rows)
+    got = ranked_search.search(documents, items, block_pairs=pairs, shard_postings=postings)
+    assert found(got) == brute(docs, rows)
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    docs = spark.createDataFrame([(k, "same words here") for k in (9, 3, 7, 3, 1, None)], "doc_id long, text string")
+    got = found(ranked_search.search(docs, items_of(spark, [(1, "words same other")]), k=4))
+    assert [(r[1], r[2]) for r in got] == [(1, 1), (2, 3), (3, 3), (4, 7)]
+
+
+def test_survivors_are_exact_after_accumulators_stop(spark):
+    """One rare term decides early; common terms still count for the documents that are left."""
+    docs = [(k, "common " * (1 + k % 5) + ("rare rare" if k % 40 == 0 else "filler")) for k in range(800)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    items = [(1, "rare common"), (2, "filler common")]
+    assert found(ranked_search.search(df, items_of(spark, items), k=3)) == brute(docs, items, 3)
+
+
+def test_empty(spark, none, documents):
+    assert found(ranked_search.search(none, items_of(spark, ITEMS))) == []
+    assert found(ranked_search.search(documents, items_of(spark, []))) == []
+
+
+def test_query(spark):
+    got = registry.op11_ranked_search(spark, "/root/testdata/sf0.001")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()
+    assert found(got) == brute([(r["doc_id"], r["text"]) for r in docs], [(r["item_id"], r["text"]) for r in items])
