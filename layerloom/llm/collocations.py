@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerloom.llm.common import stage
+from layerloom.llm.common import shuffles_freed, stage
 
 SUPPORT = 30
 TOP = 2000
@@ -286,6 +286,11 @@ def count(
 ) -> tuple[DataFrame, DataFrame]:
     """Exact counts of the phrases of 1 to 4 words that occur at least ``support`` times, as
     ``lang``, ``k``, ``phrase``, ``n``; and per language all its words, as ``lang``, ``n``."""
+    with shuffles_freed(docs.sparkSession):
+        return _count(docs, text_col, lang_col, support)
+
+
+def _count(docs: DataFrame, text_col: str, lang_col: str, support: int) -> tuple[DataFrame, DataFrame]:
     plain = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     words = _count_words(plain).groupBy("lang", "shard", "word").agg(F.sum("n").alias("n"))
     words = stage(words.where(F.col("word").isNull() | (F.col("n") >= support)))
