@@ -52,17 +52,18 @@ def merge_table(
 def _write_keyed(spark, cfg, name, incoming, keys, combine) -> DataFrame:
     tables.create_namespace(spark, name.rpartition(".")[0], cfg.tables_root)
     if not tables.exists(spark, name):
-        if cfg.range_width is None or keys != ["Id"]:
-            tables.create(incoming, name, cfg.tables_root)
-        else:
-            tables.create_ranges(incoming, name, cfg.tables_root, "Id", cfg.range_width)
+        key = keys[0] if len(keys) == 1 else None
+        tables.rebuild(incoming, name, cfg.tables_root, key, cfg.range_width)
         return read_table(spark, name)
+    since, own = tables.version(spark, name), tables.ranges_of(spark, name)
+    if cfg.range_width is not None and own is not None and own[1] != cfg.range_width:
+        raise ValueError(f"{name} is cut by {own[1]} values of {own[0]}, not by {cfg.range_width}")
     # The batch feeds both the anti-join and the union, so it is computed once and read twice.
     with tables.staged(incoming, cfg.staging_root) as batch:
-        if tables.RANGE in spark.table(name).columns:
-            tables.upsert_ranges(batch, name, cfg.tables_root, "Id", cfg.range_width, combine)
+        if own is not None:
+            tables.upsert_ranges(batch, name, cfg.tables_root, combine, since)
         else:
-            tables.publish(combine(spark.table(name), batch, keys), name, cfg.tables_root)
+            tables.publish(combine(spark.table(name), batch, keys), name, cfg.tables_root, since=since)
     return read_table(spark, name)
 
 
@@ -87,8 +88,8 @@ def rebuild_posts_light(
     spark: SparkSession, cfg: Config, batches: Sequence[DataFrame], at: datetime | None = None
 ) -> DataFrame:
     tables.create_namespace(spark, cfg.silver, cfg.tables_root)
-    tables.rebuild(posts_batch_light(batches, at), cfg.posts_table, cfg.tables_root)
-    return spark.table(cfg.posts_table)
+    tables.rebuild(posts_batch_light(batches, at), cfg.posts_table, cfg.tables_root, "Id", cfg.range_width)
+    return read_table(spark, cfg.posts_table)
 
 
 def register(

@@ -3,19 +3,26 @@
 A table is a catalog entry over a folder of Parquet files. A replace writes a complete new folder
 next to the old one and then points the entry at it, so a plan may read the table it replaces, a
 failed write leaves the table as it was, and readers that are already planned keep the old files.
-One writer per table at a time: of two concurrent replaces the last one wins.
+
+Every change is a numbered commit. A writer remembers the number it planned against; once its files
+are complete it claims the next number by a file that only one writer can make, and then changes the
+catalog. Of two writers on the same number the second is refused (``Moved``) and has changed nothing.
+A claim says what its writer was about to do, so ``recover`` can finish for one that died.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerloom.sources.files import read_entity
 
@@ -41,15 +48,16 @@ def create(df: DataFrame, name: str, root: str) -> None:
     spark = df.sparkSession
     if exists(spark, name):
         raise ValueError(f"table {name} already exists")
-    _attach(spark, name, df, _write_version(df, name, root))
+    _commit(spark, name, root, 0, {"do": "attach", **_plain(df, _write_version(df, name, root))})
 
 
-def publish(df: DataFrame, name: str, root: str, widen: bool = False) -> None:
+def publish(df: DataFrame, name: str, root: str, widen: bool = False, since: int | None = None) -> None:
     """Create ``name`` or replace all its rows; ``df`` may read ``name``.
 
-    The table keeps its columns, their order and their types; columns new in ``df`` are added at its
-    end. A ``df`` that lacks a column, or has one in a type that does not fit into the table's, is
-    refused. ``widen`` lets a column of the table grow to a larger type of its kind.
+    The table keeps its columns, their order, their types and its ranges; columns new in ``df`` are
+    added at its end. A ``df`` that lacks a column, or has one in a type that does not fit into the
+    table's, is refused. ``widen`` lets a column of the table grow to a larger type of its kind.
+    ``since`` is the ``version`` that ``df`` was planned against, if that is older than this call.
 
     With added columns the catalog takes two statements; a reader between them sees the new columns
     as null.
@@ -58,7 +66,18 @@ def publish(df: DataFrame, name: str, root: str, widen: bool = False) -> None:
     if not exists(spark, name):
         rebuild(df, name, root)
         return
-    old, new = _columns(spark.table(name)), _columns(df)
+    since = version(spark, name) if since is None else since
+    shaped, added, grown = _shaped(df, name, widen)
+    if grown or ranges_of(spark, name):
+        rebuild(shaped, name, root, since=since)
+    else:
+        location = _write_version(shaped, name, root)
+        _commit(spark, name, root, since, {"do": "point", "location": location, "added": added})
+
+
+def _shaped(df: DataFrame, name: str, widen: bool = False) -> tuple[DataFrame, dict[str, str], list[str]]:
+    """``df`` in the columns and types of ``name``, the columns it adds and those that grow."""
+    old, new = _columns(_unranged(df.sparkSession, name)), _columns(df)
     lost = [n for n in old if n not in new]
     if lost:
         raise ValueError(f"{name} would lose columns: {', '.join(lost)}")
@@ -68,11 +87,7 @@ def publish(df: DataFrame, name: str, root: str, widen: bool = False) -> None:
         raise ValueError(f"{name} would change the types of: {', '.join(unfit or grown)}")
     added = {n: t for n, t in new.items() if n not in old}
     kept = [F.col(f"`{n}`").cast(new[n] if n in grown else t).alias(n) for n, t in old.items()]
-    shaped = df.select(*kept, *(F.col(f"`{n}`") for n in added))
-    if grown:
-        rebuild(shaped, name, root)
-    else:
-        _point(spark, name, _write_version(shaped, name, root), added)
+    return df.select(*kept, *(F.col(f"`{n}`") for n in added)), added, grown
 
 
 # Types that hold every value of those before them.
@@ -83,35 +98,163 @@ def _fits(small: str, large: str) -> bool:
     return any(small in w and large in w and w.index(small) < w.index(large) for w in _WIDER)
 
 
-def rebuild(df: DataFrame, name: str, root: str) -> None:
+def rebuild(
+    df: DataFrame, name: str, root: str, key: str | None = None, width: int | None = None, since: int | None = None
+) -> None:
     """Create ``name`` or replace it together with its columns and their order.
 
-    The catalog cannot take columns away. If columns differ, the new files get an entry under a
-    temporary name, and the two entries change names; if the second rename fails, the first is
-    taken back. Between the renames, an instant, ``name`` is not there; no step before them touches
-    the old table.
+    A table that is cut by ranges of its key stays so, with its own width; ``key`` and ``width`` are
+    for a table that is not there or not cut yet.
+
+    The catalog cannot take columns away. If columns or ranges differ, the new files get an entry
+    under a temporary name, and the two entries change names; if the second rename fails, the first
+    is taken back. Between the renames, an instant, ``name`` is not there; no step before them
+    touches the old table, and ``recover`` finishes for a writer that died in between.
     """
     spark = df.sparkSession
-    location = _write_version(df, name, root)
-    if not exists(spark, name):
-        _attach(spark, name, df, location)
-    elif list(_columns(spark.table(name)).items()) == list(_columns(df).items()):
-        _point(spark, name, location)
+    there = exists(spark, name)
+    since = since if since is not None else version(spark, name) if there else 0
+    cut = _agreed(name, ranges_of(spark, name) if there else None, key, width)
+    if cut:
+        made = {"key": cut[0], "width": cut[1], **_plain(df, _write_ranges(_ranged(df, *cut), name, root))}
+    else:
+        made = _plain(df, _write_version(df, name, root))
+    if not there:
+        _commit(spark, name, root, since, {"do": "attach", **made})
+    elif not cut and list(_columns(spark.table(name)).items()) == list(_columns(df).items()):
+        _commit(spark, name, root, since, {"do": "point", "location": made["location"], "added": {}})
     else:
         mark = uuid.uuid4().hex[:12]
-        fresh, old = f"{name}_new_{mark}", f"{name}_old_{mark}"
-        _attach(spark, fresh, df, location)
-        _rename(spark, name, old)
+        names = {"fresh": f"{name}_new_{mark}", "old": f"{name}_old_{mark}"}
+        _commit(spark, name, root, since, {"do": "swap", **names, **made})
+
+
+def _plain(df: DataFrame, location: str) -> dict:
+    return {"location": location, "schema": df.schema.json()}
+
+
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
+
+
+# --- commits -------------------------------------------------------------------------------------
+
+VERSION, KEY, WIDTH = "layerloom.version", "layerloom.range.key", "layerloom.range.width"
+
+
+class Moved(RuntimeError):
+    """Another writer committed, or claimed, what this one was about to."""
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def version(spark: SparkSession, name: str) -> int:
+    """The number of the last commit of ``name``; 0 for a table this library did not write."""
+    return int(_properties(spark, name).get(VERSION, 0))
+
+
+def _set(spark: SparkSession, name: str, **properties) -> None:
+    pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+
+
+def _home(name: str, root: str) -> str:
+    return "/".join([root.rstrip("/"), *name.split(".")])
+
+
+def _claims(spark: SparkSession, name: str, root: str) -> list[int]:
+    folder, fs = _path(spark, f"{_home(name, root)}/_commits")
+    if not fs.exists(folder):
+        return []
+    names = (s.getPath().getName() for s in fs.listStatus(folder))
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def _claim(spark: SparkSession, name: str, root: str, number: int, change: Mapping) -> None:
+    place, fs = _path(spark, f"{_home(name, root)}/_commits/{number}")
+    try:
+        out = fs.create(place, False)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            raise Moved(f"commit {number} of {name} is claimed by another writer; recover() finishes for one that died") from e
+        raise
+    out.write(bytearray(json.dumps(change).encode()))
+    out.close()
+
+
+def _claimed(spark: SparkSession, name: str, root: str, number: int) -> dict:
+    place, _ = _path(spark, f"{_home(name, root)}/_commits/{number}")
+    return json.loads("\n".join(r[0] for r in spark.read.text(place.toString()).collect()))
+
+
+def _commit(spark: SparkSession, name: str, root: str, since: int, change: dict) -> None:
+    """Change the catalog for files that are complete, unless ``name`` is no longer at ``since``."""
+    if exists(spark, name):
+        now = version(spark, name)
+        if now != since or change["do"] == "attach":
+            raise Moved(f"{name} is at commit {now}, not at {since} any more")
+    else:
+        # A name that was dropped goes on counting where it was.
+        since = max(_claims(spark, name, root), default=0)
+    _claim(spark, name, root, since + 1, change)
+    try:
+        _apply(spark, name, since + 1, change)
+    except Exception:
+        # Nothing changed, or it was taken back; a writer that dies instead leaves its claim.
+        if not exists(spark, name) or version(spark, name) != since + 1:
+            place, fs = _path(spark, f"{_home(name, root)}/_commits/{since + 1}")
+            fs.delete(place, False)
+        raise
+
+
+def _apply(spark: SparkSession, name: str, number: int, change: dict) -> None:
+    """The catalog's part of a commit. Each step looks whether it is done, so it may run again."""
+    if change["do"] == "attach":
+        _attach(spark, name, change, number)
+    elif change["do"] == "point":
+        _point(spark, name, change["location"], change["added"])
+        _set(spark, name, **{VERSION: number})
+    elif change["do"] == "ranges":
+        _add_columns(spark, name, change["added"])
+        _repoint(spark, name, change["location"], change["touched"])
+        _set(spark, name, **{VERSION: number})
+    else:
+        _swap(spark, name, number, change)
+
+
+def _swap(spark: SparkSession, name: str, number: int, change: dict) -> None:
+    fresh, old = change["fresh"], change["old"]
+    if not (exists(spark, name) and version(spark, name) == number):
+        if not exists(spark, fresh):
+            _attach(spark, fresh, change, number)
+        if exists(spark, name):
+            _rename(spark, name, old)
         try:
             _rename(spark, fresh, name)
         except Exception:
             _rename(spark, old, name)
+            spark.sql(f"DROP TABLE IF EXISTS {fresh}")
             raise
-        spark.sql(f"DROP TABLE {old}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
-def _rename(spark: SparkSession, name: str, to: str) -> None:
-    spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
+def recover(spark: SparkSession, name: str, root: str) -> bool:
+    """Finish the last commit of a writer that died during it; whether there was anything to do.
+
+    The files of a claimed commit are complete, so it is always finished, never undone. Call it only
+    when that writer cannot be running any more.
+    """
+    last = max(_claims(spark, name, root), default=0)
+    if not last:
+        return False
+    change = _claimed(spark, name, root, last)
+    done = exists(spark, name) and version(spark, name) >= last
+    if done and not (change["do"] == "swap" and exists(spark, change["old"])):
+        return False
+    _apply(spark, name, last, change)
+    return True
 
 
 def location_of(spark: SparkSession, name: str) -> str | None:
@@ -145,7 +288,7 @@ def expire(spark: SparkSession, name: str, root: str, keep: int = 1) -> list[str
     if not fs.exists(home):
         return []
     used = {_last(location_of(spark, name) or "")} if exists(spark, name) else set()
-    if exists(spark, name) and RANGE in spark.table(name).columns:
+    if exists(spark, name) and ranges_of(spark, name):
         used |= {_last(p.rpartition("/")[0]) for p in _range_locations(spark, name).values()}
     found = sorted(s.getPath().getName() for s in fs.listStatus(home) if s.isDirectory())
     old = [v for v in found if _VERSION.fullmatch(v) and v not in used]
@@ -199,14 +342,35 @@ def _columns(df: DataFrame) -> dict[str, str]:
     return dict(df.dtypes)
 
 
-def _attach(spark: SparkSession, name: str, df: DataFrame, location: str) -> None:
-    spark.catalog.createTable(name, path=location, source="parquet", schema=df.schema)
+def _attach(spark: SparkSession, name: str, made: Mapping, number: int) -> None:
+    """An entry for complete files, its properties included, in one statement (and one more that
+    finds the ranges)."""
+    schema = T.StructType.fromJson(json.loads(made["schema"]))
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema]
+    properties = {VERSION: number}
+    by = ""
+    if "key" in made:
+        columns.append(f"{RANGE} BIGINT")
+        properties |= {KEY: made["key"], WIDTH: made["width"]}
+        by = f"PARTITIONED BY ({RANGE}) "
+    pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+    spark.sql(
+        f"CREATE TABLE {name} ({', '.join(columns)}) USING parquet {by}"
+        f"LOCATION '{made['location']}' TBLPROPERTIES ({pairs})"
+    )
+    if by:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
-def _point(spark: SparkSession, name: str, location: str, added: dict[str, str] | None = None) -> None:
-    if added:
-        columns = ", ".join(f"`{n}` {t}" for n, t in added.items())
+def _add_columns(spark: SparkSession, name: str, added: Mapping[str, str]) -> None:
+    missing = {n: t for n, t in added.items() if n not in _columns(spark.table(name))}
+    if missing:
+        columns = ", ".join(f"`{n}` {t}" for n, t in missing.items())
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+
+
+def _point(spark: SparkSession, name: str, location: str, added: Mapping[str, str]) -> None:
+    _add_columns(spark, name, added)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     spark.catalog.refreshTable(name)
 
@@ -237,58 +401,118 @@ def _write_ranges(df: DataFrame, name: str, root: str) -> str:
     return location
 
 
+def ranges_of(spark: SparkSession, name: str) -> tuple[str, int] | None:
+    """Key and width of a table that is cut by ranges; they are the table's own for good."""
+    found = _properties(spark, name)
+    return (found[KEY], int(found[WIDTH])) if KEY in found else None
+
+
+def _unranged(spark: SparkSession, name: str) -> DataFrame:
+    return spark.table(name).drop(RANGE)
+
+
+def _agreed(
+    name: str, own: tuple[str, int] | None, key: str | None, width: int | None
+) -> tuple[str, int] | None:
+    """The table's ranges, or those wanted for a table that has none."""
+    if own is None:
+        return (key, width) if key is not None and width is not None else None
+    if width is not None and width != own[1]:
+        raise ValueError(f"{name} is cut by {own[1]} values of {own[0]}, not by {width}")
+    return own
+
+
+def width_for(df: DataFrame, key: str, rows: int) -> int:
+    """The width at which ranges of ``key`` hold about ``rows`` rows, were keys spread evenly."""
+    k = F.col(key)
+    found = df.agg(F.count(k).alias("n"), F.min(k).alias("low"), F.max(k).alias("high")).first()
+    if not found["n"]:
+        return rows
+    return max(1, -(-(found["high"] - found["low"] + 1) * rows // found["n"]))
+
+
+def _partitions(spark: SparkSession, name: str):
+    """The catalog's entries of all ranges, in one call. SQL can only describe them one by one."""
+    state = spark._jsparkSession.sessionState()
+    table = state.sqlParser().parseTableIdentifier(name)
+    found = state.catalog().listPartitions(table, spark._jvm.scala.Option.empty())
+    entries = [found.apply(k) for k in range(found.size())]
+    return state.catalog(), table, {e.spec().apply(RANGE): e for e in entries}
+
+
+_NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _range_locations(spark: SparkSession, name: str) -> dict[str, str]:
-    """Partition value to location; as many rows as the table has ranges."""
-    out = {}
-    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        value = row[0].partition("=")[2]
-        spec = f"{RANGE}={'NULL' if value in ('__HIVE_DEFAULT_PARTITION__', 'null') else value}"
-        out[value] = _described(spark, f"{name} PARTITION ({spec})")
-    return out
+    """Range to location; as many rows as the table has ranges."""
+    return {k: e.location().toString() for k, e in _partitions(spark, name)[2].items()}
+
+
+def _changed(entry, **fields):
+    """A copy of a catalog entry (a case class) with some of its fields changed."""
+    names = [entry.productElementName(k) for k in range(entry.productArity())]
+    return entry.copy(*(fields.get(n, entry.productElement(k)) for k, n in enumerate(names)))
+
+
+def _repoint(spark: SparkSession, name: str, location: str, touched: Sequence[str]) -> None:
+    """Point these ranges at their folders in ``location``, all in one call to the catalog.
+
+    Ranges the table did not have come first, with an empty folder, so that readers see all of the
+    change or nothing of it.
+    """
+    empty = f"{location}/_empty"
+    place, fs = _path(spark, empty)
+    fs.mkdirs(place)
+    known = _partitions(spark, name)[2]
+    fresh = [t for t in touched if t not in known]
+    if fresh:
+        specs = " ".join(f"PARTITION ({RANGE} = {'NULL' if t == _NO_KEY else t}) LOCATION '{empty}'" for t in fresh)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+    catalog, table, known = _partitions(spark, name)
+    moved = []
+    for value in touched:
+        entry = known[value]
+        folder = _path(spark, f"{location}/{RANGE}={value}")[0].toUri()
+        storage = _changed(entry.storage(), locationUri=spark._jvm.scala.Option.apply(folder))
+        moved.append(_changed(entry, storage=storage))
+    catalog.alterPartitions(table, spark._jvm.PythonUtils.toSeq(moved))
+    spark.catalog.refreshTable(name)
 
 
 def create_ranges(df: DataFrame, name: str, root: str, key: str, width: int) -> None:
-    """Create ``name`` as a table that is partitioned by ranges of ``width`` values of ``key``."""
+    """Create ``name`` as a table that is partitioned by ranges of ``width`` values of ``key``, a
+    whole number; both are kept with the table."""
     spark = df.sparkSession
     if exists(spark, name):
         raise ValueError(f"table {name} already exists")
-    location = _write_ranges(_ranged(df, key, width), name, root)
-    columns = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
-    spark.sql(
-        f"CREATE TABLE {name} ({columns}, {RANGE} BIGINT) USING parquet PARTITIONED BY ({RANGE}) LOCATION '{location}'"
-    )
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    rebuild(df, name, root, key, width)
 
 
 def upsert_ranges(
     batch: DataFrame,
     name: str,
     root: str,
-    key: str,
-    width: int,
     combine: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame],
+    since: int | None = None,
 ) -> None:
     """Combine a staged ``batch`` into ``name``, reading and writing only the ranges it has keys in.
 
-    The touched ranges are written as a whole new version and pointed at one by one; readers in
-    between see some ranges before and some after. The columns must be the table's.
+    Key and width are the table's. The touched ranges are written as a whole new version and
+    committed together. Columns that ``combine`` adds are added to the table.
     """
     spark = batch.sparkSession
-    old = {n: t for n, t in _columns(spark.table(name)).items() if n != RANGE}
-    if old != _columns(batch):
-        raise ValueError(f"the columns of the batch are not those of {name}")
+    since = version(spark, name) if since is None else since
+    key, width = ranges_of(spark, name)
     # As many rows as there are ranges: the catalog has an entry for each.
     touched = [r[0] for r in _ranged(batch, key, width).select(RANGE).distinct().collect()]
+    if not touched:
+        return
     column = F.col(RANGE)
     inside = column.isin([t for t in touched if t is not None])
     if None in touched:
         inside = inside | column.isNull()
-    existing = spark.table(name).where(inside).select(*old)
-    merged = combine(existing, batch, [key]).select(*old)
+    existing = spark.table(name).where(inside).drop(RANGE)
+    merged, added, grown = _shaped(combine(existing, batch, [key]), name)
     location = _write_ranges(_ranged(merged, key, width), name, root)
-    for value in touched:
-        folder = f"{RANGE}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
-        spec = f"{RANGE}={'NULL' if value is None else value}"
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{location}/{folder}'")
-        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{location}/{folder}'")
-    spark.catalog.refreshTable(name)
+    values = [_NO_KEY if t is None else str(t) for t in touched]
+    _commit(spark, name, root, since, {"do": "ranges", "location": location, "added": added, "touched": values})

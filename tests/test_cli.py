@@ -1,5 +1,5 @@
 import fixtures as fx
-from conftest import SF_SMALL
+from given import SF_SMALL
 from layerloom.__main__ import main
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures as fx
-from conftest import SF_SMALL
+from given import SF_SMALL
 from layerloom.functions.casts import conform
 from layerloom.operators import skew
 from layerloom.operators.metrics import owner_metrics

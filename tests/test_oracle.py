@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SF_CHECK
+from given import SF_CHECK
 
 import __spark_entry__ as entry
 

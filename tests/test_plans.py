@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures as fx
-from conftest import SF_SMALL
+from given import SF_SMALL
 from layerloom.functions.dates import filter_year, parse_dates
 from layerloom.operators.metrics import owner_metrics
 from layerloom.operators.upsert import upsert
@@ -137,7 +137,7 @@ def test_upsert_leaves_other_ranges_alone(spark, cfg, stored):
         return upsert(existing, incoming, keys)
 
     with tables.staged(batch, cfg.staging_root) as staged:
-        tables.upsert_ranges(staged, name, cfg.tables_root, "Id", 500, combine)
+        tables.upsert_ranges(staged, name, cfg.tables_root, combine)
     assert "PartitionFilters" in seen["plan"] and all("key_range=1/" in f for f in seen["files"])
     after = tables._range_locations(spark, name)
     assert {k for k in before if before[k] != after[k]} == {"1"} and set(after) == set(before)

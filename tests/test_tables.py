@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures as fx
-from conftest import SF_SMALL
+from given import SF_SMALL
 from layerloom.config import Config, build_session, shared_folder
 from layerloom.functions.dates import parse_dates
 from layerloom.operators.audit import row_counts, table_report
