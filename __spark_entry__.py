@@ -18,7 +18,7 @@ import fixtures as fx  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from layerloom.config import Config, shared_folder  # noqa: E402
+from layerloom.config import SESSION_DEFAULTS, Config, build_session, shared_folder  # noqa: E402
 from layerloom.functions.casts import conform, tolerant_int, tolerant_timestamp  # noqa: E402
 from layerloom.functions.dates import (  # noqa: E402
     drop_null_dates,
@@ -151,6 +151,16 @@ def _write_bronze_users(spark, sf, cfg):
     return root
 
 
+def bronze_named_years(spark, sf):
+    """Write all years, then replace two that do not follow each other and one that has no users."""
+    cfg = _workspace(spark, (1995, 2002))
+    users, root = fx.users(spark, sf), cfg.bronze("users")
+    bronze.ingest_years(users, root, cfg.years)
+    later = users.where(F.col("Id") % 2 == 0).withColumn("CreationDate", F.regexp_replace("CreationDate", "^2000", "2003"))
+    bronze.ingest_years(later, root, (1996, 1999, 2000))
+    return files.read_span(spark, root, cfg.years, parse_dates(users).schema)
+
+
 def bronze_users_by_year(spark, sf):
     """Write all years, then replace one of them by its narrow form, and read everything back."""
     cfg = _workspace(spark)
@@ -227,6 +237,19 @@ def settings_in_force(spark, sf):
     return counts[0].unionAll(counts[1])
 
 
+def session_settings(spark, sf):
+    """What a session that the library builds has in force, and what it counts. A setting that is
+    fixed once the first session runs is not the library's to report here."""
+    before = {k: spark.conf.get(k, None) for k in SESSION_DEFAULTS if spark.conf.isModifiable(k)}
+    session = build_session("settings", Config(root="", session={"spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions")}))
+    found = [(k, session.conf.get(k)) for k in before]
+    for k, v in before.items():
+        session.conf.unset(k) if v is None else session.conf.set(k, v)
+    pairs = F.explode(F.array(*(F.struct(F.lit(k).alias("name"), F.lit(v).alias("value")) for k, v in found)))
+    counted = fx.table(session, sf, "nation").agg(F.count("*").alias("n_rows"))
+    return counted.select(pairs.alias("s"), "n_rows").select("s.name", "s.value", "n_rows")
+
+
 def cast_reputation(spark, sf):
     return fx.users(spark, sf).select("Id", tolerant_int(F.col("Reputation")).alias("Reputation"))
 
@@ -276,6 +299,33 @@ def silver_users_table(spark, sf):
     return silver.build_users(spark, cfg, [parse_dates(fx.users_batch(spark, sf))], NEXT_STAMP)
 
 
+def ranged_posts_other_config(spark, sf):
+    """Posts cut into ranges by one configuration, upserted through another that names no width."""
+    first = replace(_workspace(spark), range_width=10_000)
+    silver.build_posts(spark, first, [fx.posts(spark, sf)], FIRST_STAMP)
+    return silver.build_posts(spark, replace(first, range_width=None), [fx.posts_batch(spark, sf)], NEXT_STAMP)
+
+
+def ranged_users_drift(spark, sf):
+    """A batch without some of the table's columns and with one more, into a table with ranges."""
+    cfg = replace(_workspace(spark), range_width=400)
+    silver.upsert_table(spark, cfg, cfg.users_table, _known_users(spark, sf), ["Id"])
+    return silver.upsert_table(spark, cfg, cfg.users_table, _new_users(spark, sf, about=True), ["Id"])
+
+
+def gold_table_ranged(spark, sf):
+    """The Gold table cut by ranges of its owner, then upserted from the posts of later years."""
+    cfg = replace(_workspace(spark), range_width=500)
+    posts, users = fx.posts(spark, sf), fx.users(spark, sf)
+    recent = posts.where(in_years(F.col("CreationDate"), *NARROW_YEARS))
+    tables.create_namespace(spark, cfg.silver, cfg.tables_root)
+    tables.publish(users, cfg.users_table, cfg.tables_root)
+    for part, day in ((posts, FIRST_DAY), (recent, NEXT_DAY)):
+        tables.publish(part, cfg.posts_table, cfg.tables_root)
+        gold.build_gold(spark, cfg, day)
+    return silver.read_table(spark, cfg.gold_table)
+
+
 def silver_posts_table(spark, sf):
     cfg = replace(_workspace(spark), range_width=2_000)
     silver.build_posts(spark, cfg, [fx.posts(spark, sf)], FIRST_STAMP)
@@ -457,12 +507,14 @@ def _own_queries() -> dict[str, Query]:
         "ingest_users_capped": ingest_users_capped,
         "ingest_posts_capped": ingest_posts_capped,
         "bronze_users_by_year": bronze_users_by_year,
+        "bronze_named_years": bronze_named_years,
         "union_years": union_years,
         "stamp_users": stamp_users,
         "stamp_now": stamp_now,
         "parse_zoned_dates": parse_zoned_dates,
         "conform_drift": conform_drift,
         "settings_in_force": settings_in_force,
+        "session_settings": session_settings,
         "cast_reputation": cast_reputation,
         "anti_unchanged": anti_unchanged_query,
         "upsert_users": upsert_users,
@@ -472,6 +524,9 @@ def _own_queries() -> dict[str, Query]:
         "upsert_gold": upsert_gold,
         "silver_users_table": silver_users_table,
         "silver_posts_table": silver_posts_table,
+        "ranged_posts_other_config": ranged_posts_other_config,
+        "ranged_users_drift": ranged_users_drift,
+        "gold_table_ranged": gold_table_ranged,
         "register_posts": register_posts,
         "rebuild_posts_light": rebuild_posts_light,
         "overwrite_from_self": overwrite_from_self,
@@ -585,6 +640,12 @@ FROM {_USERS} WHERE Id NOT IN (SELECT Id FROM {_LATER_USERS})
 UNION ALL SELECT {_NARROW}, {_NO_ATTRIBUTES}, {_STAMPED_NEXT}, AboutMe FROM {_LATER_USERS}"""
 
 
+# What every session of the library has in force.
+_SETTINGS = """('spark.sql.session.timeZone', 'UTC'), ('spark.sql.adaptive.enabled', 'true'),
+('spark.sql.adaptive.coalescePartitions.enabled', 'true'), ('spark.sql.adaptive.skewJoin.enabled', 'true'),
+('spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold', '64m'), ('spark.sql.parquet.compression.codec', 'snappy')"""
+
+
 def _upserted_posts(first: str = "", following: str = "") -> str:
     return f"""
 SELECT {_LIGHT}{first} FROM {_POSTS} WHERE Id NOT IN (SELECT Id FROM {_LATER_POSTS})
@@ -663,6 +724,17 @@ SELECT * FROM known WHERE OwnerUserId NOT IN (SELECT OwnerUserId FROM fresh)
 UNION ALL SELECT * FROM fresh""",
         "silver_users_table": _UPSERTED_USERS,
         "silver_posts_table": _upserted_posts(f", {_STAMPED_FIRST}", f", {_STAMPED_NEXT}"),
+        "ranged_posts_other_config": _upserted_posts(f", {_STAMPED_FIRST}", f", {_STAMPED_NEXT}"),
+        "ranged_users_drift": _UPSERTED_USERS_DRIFT,
+        "gold_table_ranged": f"""
+WITH fresh AS ({_RECENT_GOLD}), known AS ({_joined(_metrics(), extra=_DAY_FIRST)})
+SELECT * FROM known WHERE OwnerUserId NOT IN (SELECT OwnerUserId FROM fresh)
+UNION ALL SELECT * FROM fresh""",
+        "bronze_named_years": f"""
+SELECT * FROM {_USERS} WHERE {_between(1995, 2002)}
+AND (year(CreationDate) NOT IN (1996, 1999, 2000) OR (year(CreationDate) <> 2000 AND Id % 2 = 0))""",
+        "session_settings": f"""
+SELECT name, value, (SELECT COUNT(*) FROM nation) AS n_rows FROM (VALUES {_SETTINGS}) settings(name, value)""",
         "register_posts": fx.POSTS_WIDE_SQL,
         "rebuild_posts_light": f"SELECT {_LIGHT}, {_STAMPED_NEXT} FROM {_WIDE}",
         "overwrite_from_self": f"SELECT * FROM {_POSTS} WHERE OwnerUserId IS NOT NULL",

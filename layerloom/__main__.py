@@ -14,6 +14,7 @@ from layerloom.config import Config, build_session
 from layerloom.operators.audit import table_report
 from layerloom.plans import bronze, gold, pipeline, serving, silver
 from layerloom.schemas import USER_COLUMNS_NARROW
+from layerloom.sources import tables
 from layerloom.sources.files import read_entity, read_years, rows_per_file, yearly_path
 
 YEAR_FOLDER = "/year={year}"
@@ -41,7 +42,7 @@ def ingest_posts(spark, cfg, args):
 
 def ingest_users(spark, cfg, args):
     users = read_entity(spark, args.source, USER_COLUMNS_NARROW if args.narrow else None)
-    bronze.ingest_span(users, cfg.bronze("users"), min(cfg.years), max(cfg.years), cfg.limit_users)
+    bronze.ingest_years(users, cfg.bronze("users"), cfg.years, cfg.limit_users)
     _list(spark, _bronze_paths(cfg, "users"))
 
 
@@ -76,7 +77,7 @@ def build_gold(spark, cfg, args):
 
 
 def build_layers(spark, cfg, args):
-    pipeline.build_layers(spark, cfg).show(5, truncate=False)
+    pipeline.build_layers(spark, cfg, run=args.run).show(5, truncate=False)
     _report(spark, cfg.posts_table, cfg.users_table, cfg.gold_table)
 
 
@@ -89,6 +90,11 @@ def audit(spark, cfg, args):
     _report(spark, cfg.posts_table, cfg.users_table, cfg.gold_table)
 
 
+def recover(spark, cfg, args):
+    for name in (cfg.posts_table, cfg.users_table, cfg.gold_table):
+        print(name, "finished" if tables.recover(spark, name, cfg.tables_root) else "nothing to do", sep="\t")
+
+
 def list_bronze(spark, cfg, args):
     _list(spark, _bronze_paths(cfg, "posts", "users"))
 
@@ -105,6 +111,7 @@ STEPS = {
     "top-owners": top,
     "audit": audit,
     "list-bronze": list_bronze,
+    "recover": recover,
 }
 
 
@@ -112,6 +119,7 @@ def main(argv=None) -> None:
     parser = argparse.ArgumentParser(prog="layerloom")
     parser.add_argument("step", choices=STEPS)
     parser.add_argument("--source", help="raw file; posts take {year} in the name")
+    parser.add_argument("--run", help="build-layers: name of a run that goes on where it stopped")
     parser.add_argument("--narrow", action="store_true", help="users: Id, date and reputation only")
     args = parser.parse_args(argv)
     cfg = Config.from_env(os.environ)

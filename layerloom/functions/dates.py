@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +30,17 @@ def in_years(column: Column, first: int, last: int | None = None) -> Column:
     return (column >= _new_year(first)) & (column < _new_year(after))
 
 
+def in_any_year(column: Column, years: Iterable[int]) -> Column:
+    """True inside any of the named years: a half-open range for each run of years without a gap."""
+    runs: list[list[int]] = []
+    for year in sorted(set(years)):
+        if runs and runs[-1][1] == year - 1:
+            runs[-1][1] = year
+        else:
+            runs.append([year, year])
+    return reduce(or_, (in_years(column, *run) for run in runs), F.lit(False))
+
+
 def _new_year(year: int) -> Column:
     return F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp_ntz")
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.functions.dates import drop_null_dates, filter_year, in_years, parse_dates, with_year
+from layerloom.functions.dates import drop_null_dates, filter_year, in_any_year, parse_dates, with_year
 from layerloom.operators.limits import first_rows
 from layerloom.sources.files import write_year, write_years
 
@@ -46,13 +46,20 @@ def ingest_posts(posts: DataFrame, root: str, year: int, limit: int | None = Non
     return write_year(posts_of_year(posts, limit), root, year)
 
 
-def ingest_span(
-    df: DataFrame, root: str, first: int, last: int, limit: int | None = None
-) -> str:
-    """Split a source that spans years into its yearly folders in one pass over it.
+def ingest_years(df: DataFrame, root: str, years: Iterable[int], limit: int | None = None) -> str:
+    """Replace the named years by the rows of a source that spans years, in one pass over it.
 
-    ``limit`` keeps the rows with the lowest Ids of each year.
+    Only those years change: years between them stay as they are, and a named year the source has
+    no rows of becomes empty. ``limit`` keeps the rows with the lowest Ids of each year.
     """
+    years = sorted(set(years))
     dated = parse_dates(df)
-    kept = with_year(dated.where(in_years(F.col("CreationDate"), first, last)))
-    return write_years(first_rows(kept, limit, "Id", "year"), root)
+    kept = with_year(dated.where(in_any_year(F.col("CreationDate"), years)))
+    return write_years(first_rows(kept, limit, "Id", "year"), root, years)
+
+
+def ingest_span(
+    df: DataFrame, root: str, first: int, last: int, limit: int | None = None
+) -> str:
+    """``ingest_years`` for all years from ``first`` to ``last``."""
+    return ingest_years(df, root, range(first, last + 1), limit)

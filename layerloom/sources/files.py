@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,54 +64,88 @@ def write_year(df: DataFrame, root: str, year: int) -> str:
     return target
 
 
-def write_years(df: DataFrame, root: str, year_column: str = "year") -> str:
-    """Replace every year that occurs in ``df`` in one pass over it.
+def write_years(df: DataFrame, root: str, years: Sequence[int], year_column: str = "year") -> str:
+    """Replace exactly the named years of an entity in one pass over ``df``.
 
-    The rebalance hint lets adaptive execution split a year that holds most of the rows over many
-    writers and put small years together, so files come out evenly sized.
+    Rows of other years are left out and other years stay as they are; a named year without rows
+    becomes empty. The rebalance hint lets adaptive execution split a year that holds most of the
+    rows over many writers and put small years together, so files come out evenly sized.
     """
+    if not years:
+        return root
+    year = F.col(year_column)
+    # Counted while the rows pass by, so that no second pass has to find the empty years.
+    seen = Observation()
+    counts = [F.count_if(year == y).alias(str(y)) for y in years]
+    named = df.where(year.isin([*years])).observe(seen, *counts)
     (
-        df.hint("rebalance", F.col(year_column))
+        named.hint("rebalance", year)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(year_column)
         .parquet(root)
     )
+    for y in years:
+        if not seen.get[str(y)]:
+            write_year(df.where(F.lit(False)).drop(year_column), root, y)
     return root
 
 
 FOUND = "file_path string, n_bytes long, n_rows long, error string"
 
 
+# A column no file has: rows are counted without a look at what the files hold.
+_NOTHING = T.StructType([T.StructField("_nothing", T.IntegerType())])
+
+
 def rows_per_file(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Listing of all Parquet files under ``paths``: size and rows, empty files included.
 
-    A path that is not there is listed with an error. Only file metadata is asked for, no column
-    and no content is read.
+    Sizes come from a listing of the storage, rows from the files' footers, which tasks read. A path
+    that is not there is listed with an error, one without files gives no row, and a file whose footer
+    cannot be read has its error in its own row. Files that gave no row are looked at one by one.
     """
-    parts = []
+    parts, found = [], []
     for path in paths:
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        place = _hadoop_path(spark, path)
+        if place.getFileSystem(_hadoop_conf(spark)).exists(place):
+            found.append(path)
+        else:
             parts.append(spark.createDataFrame([(path, None, None, "missing")], FOUND))
-            continue
-        listed = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .load(path)
-            .select(F.col("path").alias("file_path"), F.col("length").alias("n_bytes"))
-        )
-        counted = (
-            spark.read.parquet(path)
-            .groupBy(F.col("_metadata.file_path").alias("file_path"))
-            .agg(F.count("*").alias("n_rows"))
-        )
-        # One names a local file file:/x, the other file:///x.
-        plain = F.regexp_replace("file_path", r"^file:/+", "file:/")
-        listed, counted = (d.withColumn("file_path", plain) for d in (listed, counted))
-        rows = F.coalesce("n_rows", F.lit(0)).alias("n_rows")
-        both = listed.join(counted, "file_path", "left")
-        parts.append(both.select("file_path", "n_bytes", rows, F.lit(None).cast("string").alias("error")))
+    if found:
+        parts.append(_listed(spark, found))
     return reduce(DataFrame.unionAll, parts)
+
+
+def _listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    def scan(kind: str):
+        return spark.read.format(kind).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+
+    name = F.col("_metadata.file_path").alias("file_path")
+    listed = scan("binaryFile").load([*paths]).select(name, F.col("length").alias("n_bytes"))
+    whole = scan("parquet").option("ignoreCorruptFiles", "true").schema(_NOTHING).load([*paths])
+    counted = whole.groupBy(name).agg(F.count("*").alias("n_rows"))
+    silent = [r["file_path"] for r in listed.join(counted, "file_path", "left_anti").select("file_path").collect()]
+    looked = spark.createDataFrame([(f, _footer_error(spark, f)) for f in silent], "file_path string, error string")
+    both = listed.join(counted, "file_path", "left").join(looked, "file_path", "left")
+    rows = F.coalesce("n_rows", F.when(F.col("error").isNull(), 0))
+    return both.select("file_path", "n_bytes", rows.alias("n_rows"), "error")
+
+
+def _hadoop_conf(spark: SparkSession):
+    return spark.sparkContext._jsc.hadoopConfiguration()
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _footer_error(spark: SparkSession, path: str) -> str | None:
+    """Why the footer of a file cannot be read; ``None`` for a readable one."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(path))
+    try:
+        spark.sparkContext._jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(_hadoop_conf(spark), place)
+    except Py4JJavaError as e:
+        return e.java_exception.getMessage().splitlines()[0]
+    return None

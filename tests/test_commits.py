@@ -1,0 +1,324 @@
+"""Numbered commits: ranges kept with the table, one commit for all ranges, two writers, recovery, resumed runs."""
+
+from dataclasses import replace
+from datetime import date, datetime
+
+import pytest
+from given import SF_SMALL
+from pyspark.sql import functions as F
+
+import fixtures as fx
+from layerloom.operators import limits
+from layerloom.operators.limits import first_rows
+from layerloom.operators.upsert import upsert
+from layerloom.plans import bronze, pipeline, silver
+from layerloom.sources import files, tables
+
+AT, ON = datetime(2023, 1, 1), date(2023, 1, 1)
+
+
+class Died(BaseException):
+    """A writer that goes without cleaning up."""
+
+
+def rows_of(spark, n, v, start=0):
+    return spark.range(start, start + n).select(F.col("id").alias("Id"), F.lit(v).alias("v"))
+
+
+def content(spark, name):
+    return sorted(map(tuple, silver.read_table(spark, name).collect()))
+
+
+@pytest.fixture
+def name(spark, cfg):
+    tables.create_namespace(spark, cfg.silver, cfg.tables_root)
+    return f"{cfg.silver}.things"
+
+
+@pytest.mark.parametrize("width", [None, 2_000])
+def test_ranges_are_the_tables_own(spark, cfg, name, width):
+    silver.upsert_table(spark, replace(cfg, range_width=2_000), name, rows_of(spark, 10_000, "old"), ["Id"])
+    out = silver.upsert_table(spark, replace(cfg, range_width=width), name, rows_of(spark, 1_000, "new", 1_500), ["Id"])
+    assert out.count() == 10_000 == out.select("Id").distinct().count()
+    assert out.where("v = 'new'").count() == 1_000
+    assert tables.ranges_of(spark, name) == ("Id", 2_000)
+
+
+def test_another_width_is_refused(spark, cfg, name):
+    silver.upsert_table(spark, replace(cfg, range_width=2_000), name, rows_of(spark, 5_000, "old"), ["Id"])
+    with pytest.raises(ValueError, match="2000 values of Id, not by 5000"):
+        silver.upsert_table(spark, replace(cfg, range_width=5_000), name, rows_of(spark, 10, "new"), ["Id"])
+    with pytest.raises(ValueError, match="not by 5000"):
+        tables.rebuild(rows_of(spark, 10, "new"), name, cfg.tables_root, "Id", 5_000)
+    assert spark.table(name).count() == 5_000
+
+
+def test_null_and_negative_and_new_ranges(spark, cfg, name):
+    made = replace(cfg, range_width=10)
+    first = spark.createDataFrame([(None, "n"), (-1, "a"), (5, "b"), (25, "c")], "Id long, v string")
+    batch = spark.createDataFrame([(None, "m"), (-1, "A"), (999, "d")], "Id long, v string")
+    silver.upsert_table(spark, made, name, first, ["Id"])
+    silver.upsert_table(spark, made, name, batch, ["Id"])
+    got = sorted(map(tuple, silver.read_table(spark, name).collect()), key=str)
+    assert got == sorted([(None, "n"), (None, "m"), (-1, "A"), (5, "b"), (25, "c"), (999, "d")], key=str)
+    silver.upsert_table(spark, made, name, batch.limit(0), ["Id"])
+    assert silver.read_table(spark, name).count() == 6
+
+
+def statements(spark, monkeypatch, call):
+    seen = []
+    sql = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: seen.append(text) or sql(self, text, *a, **k))
+    call()
+    monkeypatch.undo()
+    return [s for s in seen if s.startswith("ALTER")]
+
+
+def test_one_commit_for_any_number_of_ranges(spark, cfg, name, monkeypatch):
+    tables.create_ranges(rows_of(spark, 1_000, "old"), name, cfg.tables_root, "Id", 10)
+    made = replace(cfg, range_width=10)
+    few = statements(spark, monkeypatch, lambda: silver.upsert_table(spark, made, name, rows_of(spark, 10, "a"), ["Id"]))
+    many = statements(spark, monkeypatch, lambda: silver.upsert_table(spark, made, name, rows_of(spark, 900, "b"), ["Id"]))
+    assert len(few) == len(many) <= 2
+    assert silver.read_table(spark, name).where("v = 'b'").count() == 900
+
+
+def test_failed_write_leaves_every_range(spark, cfg, name):
+    tables.create_ranges(rows_of(spark, 100, "old"), name, cfg.tables_root, "Id", 10)
+    before = tables._range_locations(spark, name)
+    broken = lambda old, new, keys: old.withColumn("v", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        tables.upsert_ranges(rows_of(spark, 50, "new"), name, cfg.tables_root, broken)
+    assert tables._range_locations(spark, name) == before and tables.version(spark, name) == 1
+
+
+def test_publish_and_rebuild_keep_the_ranges(spark, cfg, name):
+    tables.create_ranges(rows_of(spark, 100, "old"), name, cfg.tables_root, "Id", 10)
+    tables.publish(rows_of(spark, 30, "new").withColumn("more", F.lit(1)), name, cfg.tables_root)
+    assert tables.ranges_of(spark, name) == ("Id", 10) and len(tables._range_locations(spark, name)) == 3
+    tables.rebuild(rows_of(spark, 55, "x").select("Id"), name, cfg.tables_root)
+    assert tables.ranges_of(spark, name) == ("Id", 10) and len(tables._range_locations(spark, name)) == 6
+    assert silver.read_table(spark, name).columns == ["Id"]
+
+
+def test_width_for_a_number_of_rows(spark):
+    assert tables.width_for(rows_of(spark, 1_000, "a"), "Id", 100) == 100
+    assert tables.width_for(spark.createDataFrame([(None,)], "Id long"), "Id", 100) == 100
+
+
+@pytest.mark.parametrize("width", [None, 10])
+def test_second_writer_is_refused(spark, cfg, name, width):
+    """Both plan on the same version; the one that commits later loses nothing of the other."""
+    tables.rebuild(rows_of(spark, 40, "old"), name, cfg.tables_root, "Id", width)
+    since = tables.version(spark, name)
+    silver.upsert_table(spark, cfg, name, rows_of(spark, 5, "first"), ["Id"])
+    batch = rows_of(spark, 5, "second", 35)
+    with pytest.raises(tables.Moved):
+        if width:
+            tables.upsert_ranges(batch, name, cfg.tables_root, upsert, since)
+        else:
+            tables.publish(upsert(spark.table(name), batch, ["Id"]), name, cfg.tables_root, since=since)
+    out = silver.upsert_table(spark, cfg, name, batch, ["Id"])
+    assert (out.count(), out.where("v = 'first'").count(), out.where("v = 'second'").count()) == (40, 5, 5)
+
+
+def test_writers_interleaved_inside_the_commit(spark, cfg, name, monkeypatch):
+    """The other writer claims the number after this one has looked and before it claims."""
+    tables.publish(rows_of(spark, 3, "old"), name, cfg.tables_root)
+    claim = tables._claim
+
+    def overtaken(session, table, root, number, change):
+        monkeypatch.setattr(tables, "_claim", claim)
+        tables.publish(rows_of(spark, 4, "other"), name, cfg.tables_root)
+        claim(session, table, root, number, change)
+
+    monkeypatch.setattr(tables, "_claim", overtaken)
+    with pytest.raises(tables.Moved):
+        tables.publish(rows_of(spark, 9, "mine"), name, cfg.tables_root)
+    assert content(spark, name) == [(k, "other") for k in range(4)]
+    tables.publish(rows_of(spark, 1, "next"), name, cfg.tables_root)
+    assert tables.version(spark, name) == 3
+
+
+def dies_at(monkeypatch, function, call, before=True):
+    """The ``call``-th use of a function of ``tables`` ends the writer, before or after it ran."""
+    real, count = getattr(tables, function), []
+
+    def end(*args, **kwargs):
+        count.append(1)
+        if len(count) == call and before:
+            raise Died
+        out = real(*args, **kwargs)
+        if len(count) == call:
+            raise Died
+        return out
+
+    monkeypatch.setattr(tables, function, end)
+
+
+STOPS = [("_attach", 1, True), ("_attach", 1, False), ("_rename", 1, False), ("_rename", 2, True), ("_rename", 2, False)]
+
+
+@pytest.mark.parametrize("ranged", [False, True])
+@pytest.mark.parametrize("function,call,before", STOPS)
+def test_recover_finishes_a_rebuild(spark, cfg, name, monkeypatch, function, call, before, ranged):
+    tables.rebuild(rows_of(spark, 30, "old"), name, cfg.tables_root, "Id", 10 if ranged else None)
+    dies_at(monkeypatch, function, call, before)
+    with pytest.raises(Died):
+        tables.rebuild(spark.range(25).select(F.col("id").alias("Id")), name, cfg.tables_root)
+    monkeypatch.undo()
+    assert tables.recover(spark, name, cfg.tables_root)
+    assert content(spark, name) == [(k,) for k in range(25)]
+    assert (tables.ranges_of(spark, name) is not None) == ranged
+    assert [t.name for t in spark.catalog.listTables(cfg.silver) if not t.isTemporary] == ["things"]
+    assert not tables.recover(spark, name, cfg.tables_root)
+    tables.publish(spark.range(2).select(F.col("id").alias("Id")), name, cfg.tables_root)
+    assert silver.read_table(spark, name).count() == 2
+
+
+@pytest.mark.parametrize("function", ["_point", "_set"])
+def test_recover_finishes_a_publish(spark, cfg, name, monkeypatch, function):
+    tables.publish(rows_of(spark, 3, "old"), name, cfg.tables_root)
+    dies_at(monkeypatch, function, 1)
+    with pytest.raises(Died):
+        tables.publish(rows_of(spark, 5, "new").withColumn("w", F.lit(2)), name, cfg.tables_root)
+    monkeypatch.undo()
+    with pytest.raises(tables.Moved, match="recover"):
+        tables.publish(rows_of(spark, 9, "late").withColumn("w", F.lit(2)), name, cfg.tables_root)
+    assert tables.recover(spark, name, cfg.tables_root)
+    assert content(spark, name) == [(k, "new", 2) for k in range(5)]
+
+
+@pytest.mark.parametrize("function", ["_repoint", "_set"])
+def test_recover_finishes_ranges(spark, cfg, name, monkeypatch, function):
+    tables.create_ranges(rows_of(spark, 30, "old"), name, cfg.tables_root, "Id", 10)
+    dies_at(monkeypatch, function, 1)
+    with pytest.raises(Died):
+        tables.upsert_ranges(rows_of(spark, 15, "new", 25), name, cfg.tables_root, upsert)
+    monkeypatch.undo()
+    assert tables.recover(spark, name, cfg.tables_root)
+    assert content(spark, name) == [(k, "new" if k >= 25 else "old") for k in range(40)]
+
+
+def test_recover_has_nothing_to_do(spark, cfg, name):
+    assert not tables.recover(spark, name, cfg.tables_root)
+    tables.create(rows_of(spark, 2, "x"), name, cfg.tables_root)
+    assert not tables.recover(spark, name, cfg.tables_root)
+
+
+def test_a_dropped_name_can_be_made_again(spark, cfg, name):
+    tables.create(rows_of(spark, 2, "x"), name, cfg.tables_root)
+    tables.publish(rows_of(spark, 3, "x"), name, cfg.tables_root)
+    tables.drop(spark, [name])
+    tables.create(rows_of(spark, 4, "y"), name, cfg.tables_root)
+    assert content(spark, name) == [(k, "y") for k in range(4)]
+
+
+# --- years by name -------------------------------------------------------------------------------
+
+
+def test_only_named_years_change(spark, tmp_path):
+    users = spark.createDataFrame([(k, f"{2019 + k}-05-05 00:00:00") for k in range(5)], "Id long, CreationDate string")
+    root = str(tmp_path / "users")
+    year = lambda y: sorted(r["Id"] for r in files.read_entity(spark, f"{root}/year={y}").collect())
+    bronze.ingest_years(users, root, range(2019, 2024))
+    assert [year(y) for y in range(2019, 2024)] == [[0], [1], [2], [3], [4]]
+    moved = users.where("Id <> 3").withColumn("Id", F.col("Id") + 10)
+    bronze.ingest_years(moved, root, [2020, 2022])
+    assert [year(y) for y in range(2019, 2024)] == [[0], [11], [2], [], [4]]
+    bronze.ingest_years(users, root, [])
+    assert year(2020) == [11]
+
+
+# --- row caps ------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("limit", [0, 1, 5, 399, 400, 401, 700, 1_000, 1_250, 5_000])
+def test_caps_inside_hot_keys(spark, limit):
+    """A third of the rows under null, a third under one key, repeated rows, keys around a bucket's end."""
+    rows = [(None, k % 7) for k in range(400)] + [(65_535, k % 50) for k in range(400)]
+    rows += [(65_530 + k % 12, 9) for k in range(300)] + [(-3, 1)] * 100
+    df = spark.createDataFrame(rows, "Id long, v int")
+    got = [tuple(r) for r in first_rows(df, limit, "Id").collect()]
+    keys = sorted((k is not None, k or 0) for k, _ in rows)[:limit]
+    assert sorted((k is not None, k or 0) for k, _ in got) == keys
+    hashed = df.select("Id", "v", F.xxhash64("Id", "v").alias("h")).collect()
+    want = sorted(hashed, key=lambda r: (r["Id"] is not None, r["Id"] or 0, r["h"]))[:limit]
+    assert sorted(got, key=str) == sorted(((r["Id"], r["v"]) for r in want), key=str)
+
+
+def test_caps_per_year(spark):
+    rows = [(k % 5, 2000 + k % 3, k) for k in range(600)]
+    df = spark.createDataFrame(rows, "Id long, year int, v int")
+    got = first_rows(df, 70, "Id", "year").groupBy("year").count().collect()
+    assert sorted(map(tuple, got)) == [(y, 70) for y in (2000, 2001, 2002)]
+
+
+def test_caps_rank_only_a_sub_bucket(spark, monkeypatch):
+    """What is ranked are the different rows of one sub-bucket of one key, not the rows of the key."""
+    ranked, seen = limits._ranked, []
+    monkeypatch.setattr(limits, "_ranked", lambda rows, columns: seen.append(rows.count()) or ranked(rows, columns))
+    hot = spark.range(20_000).select(F.lit(7).cast("long").alias("Id"), F.col("id").alias("v"))
+    for df in (hot, hot.withColumn("Id", F.lit(None).cast("long"))):
+        assert limits.first_rows(df, 12_345, "Id").distinct().count() == 12_345
+    assert max(seen) < 20
+
+
+# --- listing -------------------------------------------------------------------------------------
+
+
+def test_listing_survives_empty_prefixes_and_bad_footers(spark, tmp_path):
+    for part in ("a b", "none", "bad"):
+        (tmp_path / part).mkdir()
+    rows_of(spark, 7, "x").coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "a b"))
+    rows_of(spark, 0, "x").coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "zero"))
+    (tmp_path / "bad" / "torn.parquet").write_bytes(b"PAR1 this is no file of rows")
+    names = ["a b", "none", "bad", "zero", "absent"]
+    got = files.rows_per_file(spark, [str(tmp_path / n) for n in names]).collect()
+    found = {r["file_path"].rpartition("/")[2][:4]: r for r in got if "zero" not in r["file_path"]}
+    assert len(got) == 4 and set(found) == {"part", "torn", "abse"}
+    assert (found["part"]["n_rows"], found["part"]["error"]) == (7, None)
+    assert found["torn"]["n_rows"] is None and "torn.parquet" in found["torn"]["error"]
+    assert [(r["n_rows"], r["error"]) for r in got if "zero" in r["file_path"]] == [(0, None)]
+
+
+# --- resumed runs --------------------------------------------------------------------------------
+
+STEPS = ("bronze_posts", "bronze_users", "silver_posts", "silver_users", "gold")
+
+
+@pytest.mark.parametrize("stop", range(len(STEPS)))
+def test_run_goes_on_where_it_stopped(spark, cfg, tmp_path, monkeypatch, stop):
+    made = replace(cfg, years=(1995, 1998))
+    fx.posts(spark, SF_SMALL).write.parquet(str(tmp_path / "raw_posts"))
+    fx.users(spark, SF_SMALL).write.parquet(str(tmp_path / "raw_users"))
+    posts, users = (spark.read.parquet(str(tmp_path / f"raw_{e}")) for e in ("posts", "users"))
+    done, mark = [], pipeline.Markers.mark
+
+    def stopping(self, step, of):
+        mark(self, step, of)
+        done.append(step)
+        if len(done) == stop + 1:
+            raise Died
+
+    monkeypatch.setattr(pipeline.Markers, "mark", stopping)
+    with pytest.raises(Died):
+        pipeline.run_pipeline(spark, made, posts, users, AT, ON, run="day1")
+    out = pipeline.run_pipeline(spark, made, posts, users, AT, ON, run="day1")
+    assert done == list(STEPS) and out.count() > 0
+    again = len(done)
+    assert pipeline.run_pipeline(spark, made, posts, users, AT, ON, run="day1").count() == out.count()
+    assert len(done) == again
+
+
+def test_changed_input_is_not_taken_for_done(spark, cfg, tmp_path, monkeypatch):
+    made = replace(cfg, years=(1995,))
+    fx.posts(spark, SF_SMALL).write.parquet(str(tmp_path / "raw"))
+    users = fx.users(spark, SF_SMALL)
+    done, mark = [], pipeline.Markers.mark
+    monkeypatch.setattr(pipeline.Markers, "mark", lambda self, step, of: done.append(step) or mark(self, step, of))
+    posts = spark.read.parquet(str(tmp_path / "raw"))
+    pipeline.run_pipeline(spark, made, posts, users, AT, ON, run="r")
+    fx.posts_batch(spark, SF_SMALL).write.mode("append").parquet(str(tmp_path / "raw"))
+    pipeline.run_pipeline(spark, made, spark.read.parquet(str(tmp_path / "raw")), users, AT, ON, run="r")
+    assert done == [*STEPS, "bronze_posts", "silver_posts", "gold"]
