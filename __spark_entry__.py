@@ -327,7 +327,8 @@ def gold_table_ranged(spark, sf):
 
 
 def silver_posts_table(spark, sf):
-    cfg = replace(_workspace(spark), range_width=2_000)
+    """Posts cut into ranges of about so many rows, created and then merged into."""
+    cfg = replace(_workspace(spark), range_rows=20_000)
     silver.build_posts(spark, cfg, [fx.posts(spark, sf)], FIRST_STAMP)
     return silver.build_posts(spark, cfg, [fx.posts_batch(spark, sf)], NEXT_STAMP)
 

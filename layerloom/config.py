@@ -14,8 +14,10 @@ class Config:
     """Everything a run needs to know.
 
     ``root`` is a folder every executor can reach. A limit of ``None`` means no cap and ``0``
-    means no rows. ``range_width`` cuts new history tables into partitions of so many Ids, so that
-    an upsert leaves alone the ranges its batch has no keys in; ``None`` keeps a table in one piece.
+    means no rows. ``range_width`` cuts new history tables into partitions of so many keys, so that
+    an upsert leaves alone the ranges its batch has no keys in; ``range_rows`` takes the width at which
+    a range of the first batch has about so many rows instead. The width stays with the table. With
+    neither a table is in one piece.
     """
 
     root: str
@@ -25,6 +27,7 @@ class Config:
     silver: str = "silver"
     gold: str = "gold"
     range_width: int | None = None
+    range_rows: int | None = None
     session: Mapping[str, str] = field(default_factory=dict)
 
     @property
@@ -61,6 +64,7 @@ class Config:
             limit_posts=_limit(env.get("BRONZE_LIMIT_POSTS", shared)),
             limit_users=_limit(env.get("BRONZE_LIMIT_USERS", shared)),
             range_width=_limit(env.get("RANGE_WIDTH")),
+            range_rows=_limit(env.get("RANGE_ROWS")),
         )
 
 

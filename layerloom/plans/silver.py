@@ -53,7 +53,7 @@ def _write_keyed(spark, cfg, name, incoming, keys, combine) -> DataFrame:
     tables.create_namespace(spark, name.rpartition(".")[0], cfg.tables_root)
     if not tables.exists(spark, name):
         key = keys[0] if len(keys) == 1 else None
-        tables.rebuild(incoming, name, cfg.tables_root, key, cfg.range_width)
+        tables.rebuild(incoming, name, cfg.tables_root, key, _width(cfg, incoming, key))
         return read_table(spark, name)
     since, own = tables.version(spark, name), tables.ranges_of(spark, name)
     if cfg.range_width is not None and own is not None and own[1] != cfg.range_width:
@@ -67,6 +67,12 @@ def _write_keyed(spark, cfg, name, incoming, keys, combine) -> DataFrame:
     return read_table(spark, name)
 
 
+def _width(cfg: Config, first: DataFrame, key: str | None) -> int | None:
+    if cfg.range_width is None and cfg.range_rows is not None and key is not None:
+        return tables.width_for(first, key, cfg.range_rows)
+    return cfg.range_width
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A history table without the column that only says where its rows lie."""
     return spark.table(name).drop(tables.RANGE)
@@ -88,7 +94,10 @@ def rebuild_posts_light(
     spark: SparkSession, cfg: Config, batches: Sequence[DataFrame], at: datetime | None = None
 ) -> DataFrame:
     tables.create_namespace(spark, cfg.silver, cfg.tables_root)
-    tables.rebuild(posts_batch_light(batches, at), cfg.posts_table, cfg.tables_root, "Id", cfg.range_width)
+    posts, width = posts_batch_light(batches, at), cfg.range_width
+    if not tables.exists(spark, cfg.posts_table):
+        width = _width(cfg, posts, "Id")
+    tables.rebuild(posts, cfg.posts_table, cfg.tables_root, "Id", width)
     return read_table(spark, cfg.posts_table)
 
 

@@ -448,12 +448,6 @@ def _range_locations(spark: SparkSession, name: str) -> dict[str, str]:
     return {k: e.location().toString() for k, e in _partitions(spark, name)[2].items()}
 
 
-def _changed(entry, **fields):
-    """A copy of a catalog entry (a case class) with some of its fields changed."""
-    names = [entry.productElementName(k) for k in range(entry.productArity())]
-    return entry.copy(*(fields.get(n, entry.productElement(k)) for k, n in enumerate(names)))
-
-
 def _repoint(spark: SparkSession, name: str, location: str, touched: Sequence[str]) -> None:
     """Point these ranges at their folders in ``location``, all in one call to the catalog.
 
@@ -463,18 +457,23 @@ def _repoint(spark: SparkSession, name: str, location: str, touched: Sequence[st
     empty = f"{location}/_empty"
     place, fs = _path(spark, empty)
     fs.mkdirs(place)
-    known = _partitions(spark, name)[2]
+    catalog, table, known = _partitions(spark, name)
     fresh = [t for t in touched if t not in known]
     if fresh:
         specs = " ".join(f"PARTITION ({RANGE} = {'NULL' if t == _NO_KEY else t}) LOCATION '{empty}'" for t in fresh)
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
-    catalog, table, known = _partitions(spark, name)
+        catalog, table, known = _partitions(spark, name)
+    some, root = spark._jvm.scala.Option, _path(spark, location)[0].toUri().toString()
+    uri = spark._jvm.java.net.URI
+    # All entries of a table are alike but for range and place; what was known of the old files goes.
+    like = known[touched[0]]
+    kept = [like.storage().productElement(k) for k in range(1, like.storage().productArity())]
+    made, seen, gone = like.createTime(), like.lastAccessTime(), some.empty()
+    nothing = spark._jvm.PythonUtils.toScalaMap({})
     moved = []
     for value in touched:
-        entry = known[value]
-        folder = _path(spark, f"{location}/{RANGE}={value}")[0].toUri()
-        storage = _changed(entry.storage(), locationUri=spark._jvm.scala.Option.apply(folder))
-        moved.append(_changed(entry, storage=storage))
+        storage = like.storage().copy(some.apply(uri(f"{root}/{RANGE}={value}")), *kept)
+        moved.append(like.copy(known[value].spec(), storage, nothing, made, seen, gone))
     catalog.alterPartitions(table, spark._jvm.PythonUtils.toSeq(moved))
     spark.catalog.refreshTable(name)
 

@@ -106,6 +106,14 @@ def test_width_for_a_number_of_rows(spark):
     assert tables.width_for(spark.createDataFrame([(None,)], "Id long"), "Id", 100) == 100
 
 
+def test_width_comes_from_the_first_batch(spark, cfg, name):
+    made = replace(cfg, range_rows=250)
+    silver.upsert_table(spark, made, name, rows_of(spark, 1_000, "old", 100), ["Id"])
+    assert tables.ranges_of(spark, name) == ("Id", 250)
+    out = silver.upsert_table(spark, made, name, rows_of(spark, 5_000, "new", 900), ["Id"])
+    assert out.count() == 5_800 and tables.ranges_of(spark, name) == ("Id", 250)
+
+
 @pytest.mark.parametrize("width", [None, 10])
 def test_second_writer_is_refused(spark, cfg, name, width):
     """Both plan on the same version; the one that commits later loses nothing of the other."""
