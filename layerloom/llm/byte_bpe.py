@@ -82,11 +82,13 @@ class Memo(dict):
         if len(self) > self.half:
             self.old = dict(self)
             self.clear()
-        get, old = self.get, self.old
-        found = list(map(get, keys))
-        for k, value in enumerate(found):
-            if value is None and (value := old.get(keys[k])) is not None:
-                found[k] = self[keys[k]] = value
+        found = list(map(self.get, keys))
+        if self.old:
+            missing = [k for k, value in enumerate(found) if value is None]
+            again = list(map(self.old.get, [keys[k] for k in missing]))
+            for k, value in zip(missing, again):
+                if value is not None:
+                    found[k] = self[keys[k]] = value
         return found
 
 
@@ -181,13 +183,14 @@ class Encoder:
         chunks = pc.split_pattern(marked, _CUT)
         edges = chunks.offsets.to_numpy().astype(np.int64)
         coded = chunks.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
+        # Many times faster than to_pylist, which makes a scalar of each.
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         places = coded.indices.to_numpy()
         packed = self.known.look_up(names)
         fresh = [c for c, p in zip(names, packed) if p is None]
         odd = {c for c in fresh if _odd(c)}
         if fresh:
-            self._learn([c for c in fresh if c not in odd])
+            self._learn([c for c in fresh if c not in odd] if odd else fresh)
             get = self.known.get
             packed = [get(c, b"") if p is None else p for c, p in zip(names, packed)]
         if odd:

@@ -94,13 +94,17 @@ class SequenceFile:
         batches = self.reader.num_record_batches
         last = self.reader.get_batch(batches - 1).num_rows if batches else 0
         self.rows = max(0, batches - 1) * BATCH + last
+        self.held: tuple[int, pa.RecordBatch] | None = None
 
     def __len__(self) -> int:
         return self.rows
 
     def column(self, batch: int, name: str = "ids") -> np.ndarray:
         """All values of one batch, end to end; ids without a copy."""
-        values = self.reader.get_batch(batch).column(name).flatten()
+        # Readers go on from where they were, so the last batch is kept: one fetch a batch.
+        if self.held is None or self.held[0] != batch:
+            self.held = (batch, self.reader.get_batch(batch))
+        values = self.held[1].column(name).flatten()
         return values.to_numpy(zero_copy_only=name == "ids")
 
     def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -179,7 +183,7 @@ def write(
 def read(manifest: DataFrame) -> DataFrame:
     """Per document, from the files: place among all ids, number of ids and their CRC-32.
 
-    One task per shard; only the manifest, a row per shard, is ordered as a whole.
+    One task per shard; only the manifest, a row per shard, is counted and ordered as a whole.
     """
 
     def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +211,9 @@ def read(manifest: DataFrame) -> DataFrame:
                         names=["doc_id", "shard", "in_shard", "n_tokens", "ids_crc32"],
                     )
 
-    dealt = manifest.repartitionByRange("shard").mapInArrow(documents, READ_BACK)
+    # With a number of its own: adaptive execution would put a small manifest into one task.
+    shards = max(1, manifest.count())
+    dealt = manifest.repartitionByRange(shards, "shard").mapInArrow(documents, READ_BACK)
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0))
     first = manifest.select("shard", before.alias("before"))

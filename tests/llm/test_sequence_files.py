@@ -1,9 +1,11 @@
+import re
 import zlib
 
 import numpy as np
 from layerloom.llm import sequence_files
 from layerloom.llm.registry import BYTE_BPE, op8_sequence_files
 from tests.llm.conftest import SF, texts_of
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 
@@ -49,3 +51,29 @@ def test_odd_and_empty(spark, odd, none):
     assert ids == sorted(ids)
     assert [r["start"] for r in ordered] == [0, *np.cumsum([r["n_tokens"] for r in ordered])[:-1].tolist()]
     assert sequence_files.read(sequence_files.write(none, sequence_files.new_folder(spark), BYTE_BPE)).count() == 0
+
+
+def test_a_task_for_each_shard(spark, documents):
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    manifest = sequence_files.write(documents, sequence_files.new_folder(spark), BYTE_BPE)
+    spark.conf.unset(merge)
+    assert manifest.count() == 8
+    read = sequence_files.read(manifest).withColumn("task", F.spark_partition_id())
+    assert re.search(r"rangepartitioning\(shard\S* ASC NULLS FIRST, 8\), REPARTITION_BY_NUM", read._jdf.queryExecution().toString())
+
+
+def test_a_batch_is_fetched_once(spark, documents, monkeypatch):
+    manifest = sequence_files.write(documents, sequence_files.new_folder(spark), BYTE_BPE, sequence=64).collect()
+    file = sequence_files.SequenceFile(manifest[0]["ids_file"], 64)
+    fetched, reader = [], file.reader
+
+    class Counting:
+        def get_batch(self, k):
+            fetched.append(k)
+            return reader.get_batch(k)
+
+    file.reader = Counting()
+    for start in range(0, manifest[0]["n_tokens"] - 50, 50):
+        assert sum(map(len, file.span(start, 50))) == 50
+    assert fetched == sorted(set(fetched))
