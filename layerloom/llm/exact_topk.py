@@ -11,8 +11,14 @@ Annuli with many vectors (equal vectors all share one) are cut into blocks, each
 no task holds more than a block and the queries sent to it in one chunk. Pivots are a bounded,
 deterministic sample; every vector is indexed.
 
-Components are floor(256 * x). Defined cases: vectors that are null or hold a null or a component
-that is not finite take no part; shorter vectors count as filled up with zeros; rows that share an
+Components are floor(256 * x), held at the ends of a 64-bit integer. Scores are exact: products are
+added in floating point only where every partial sum is a whole number below 2^53, else in 64-bit
+integers where they fit, else in integers of any size; a score beyond 64 bits is given, and ranked,
+as the end of their range. Rings are a fixed number of parts of the largest distance, so the
+directory is bounded whatever the vectors' scale.
+
+Defined cases: rows whose id is null, and vectors that are null or hold a null or a component
+that is not finite, take no part; shorter vectors count as filled up with zeros; rows that share an
 id are candidates each but none is one for a query of that id; ties go to the smaller id; an empty
 table gives an empty result. Only the id and the vector are read.
 """
@@ -31,8 +37,8 @@ from layerloom.llm.common import stage
 
 SCALE = 256
 PIVOTS = 96
-# Width of a ring, in units of the scaled components.
-RING = 16.0
+# Rings around a pivot, from distance 0 to the largest distance of all.
+RINGS = 64
 # Vectors in a block, and queries met with it at once.
 BLOCK = 512
 QUERIES = 512
@@ -48,15 +54,16 @@ def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     whole = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
     scaled = F.transform(x, lambda e: F.floor(e.cast("double") * SCALE))
     # A null array fails the test, as does one with a null component.
-    return vectors.where(F.coalesce(whole, F.lit(False))).select(F.col(id_col).cast("long").alias("vec_id"), scaled.alias("v"))
+    taken = F.coalesce(whole, F.lit(False)) & F.col(id_col).isNotNull()
+    return vectors.where(taken).select(F.col(id_col).cast("long").alias("vec_id"), scaled.alias("v"))
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+def _matrix(column: pa.Array, dim: int, kind: type = np.float64) -> np.ndarray:
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind)
     sizes = np.diff(column.offsets.to_numpy())
     if len(flat) == len(sizes) * dim and (sizes == dim).all():
         return flat.reshape(-1, dim)
-    out = np.zeros((len(sizes), dim))
+    out = np.zeros((len(sizes), dim), kind)
     out[np.arange(dim) < sizes[:, None]] = flat
     return out
 
@@ -66,8 +73,25 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0))
 
 
-def index(found: DataFrame, pivots: np.ndarray, ring: float = RING) -> DataFrame:
-    """Key every vector: ``pivot``, ``ring``, ``distance`` and the squared length ``square``."""
+# The ends of a score's range.
+_END = 2**63 - 1
+
+
+def _exact_kind(q: np.ndarray, x: np.ndarray) -> type:
+    """The numbers in which all inner products of these rows are exact."""
+    largest = max(1, x.shape[1]) * float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0))
+    # Kept well below the limits, as the estimate itself is rounded.
+    return np.float64 if largest < 2.0**52 else np.int64 if largest < 2.0**62 else object
+
+
+def _to_long(scores: np.ndarray) -> np.ndarray:
+    if scores.dtype != object:
+        return scores.astype(np.int64)
+    return np.clip(scores, -_END, _END).astype(np.int64)
+
+
+def index(found: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Key every vector: nearest ``pivot``, ``distance`` from it and the squared length ``square``."""
     dim = pivots.shape[1]
 
     def key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,12 +100,12 @@ def index(found: DataFrame, pivots: np.ndarray, ring: float = RING) -> DataFrame
             d = _distances(x, pivots)
             near = d.argmin(1)
             d = d[np.arange(len(x)), near]
-            columns = [near.astype(np.int32), (d // ring).astype(np.int32), d, (x * x).sum(1)]
+            columns = [near.astype(np.int32), d, (x * x).sum(1)]
             yield pa.record_batch(
-                [*batch.columns, *map(pa.array, columns)], names=["vec_id", "v", "pivot", "ring", "distance", "square"]
+                [*batch.columns, *map(pa.array, columns)], names=["vec_id", "v", "pivot", "distance", "square"]
             )
 
-    return found.mapInArrow(key, "vec_id long, v array<long>, pivot int, ring int, distance double, square double")
+    return found.mapInArrow(key, "vec_id long, v array<long>, pivot int, distance double, square double")
 
 
 class _Directory:
@@ -101,12 +125,14 @@ class _Directory:
         """Largest inner product that each query can reach in each annulus."""
         d = _distances(x, self.pivots)[:, self.pivot[of]]
         gap = np.maximum(d - self.high[of], self.low[of] - d)
-        # Distances are rounded; the slack keeps the bound a bound.
-        gap = np.maximum(0, gap - 1e-6 * (1 + d))
+        # Distances are rounded, by a part of the lengths they are taken from; the slack keeps the
+        # bound a bound.
         q = (x * x).sum(1)[:, None]
+        lengths = np.sqrt(q) + np.sqrt(self.square[of]) + np.sqrt((self.pivots**2).sum(1))[self.pivot[of]]
+        gap = np.maximum(0, gap - 1e-6 * (1 + d + lengths))
         by_distance = (q + self.square[of] - gap * gap) / 2
         by_length = np.sqrt(q * self.square[of])
-        return np.minimum(by_distance, by_length) * (1 + 1e-9) + 1e-6
+        return np.minimum(by_distance, by_length) + 1e-9 * (q + self.square[of]) + 1e-6
 
     def first_floor(self, bounds: np.ndarray, enough: int) -> np.ndarray:
         """Per query the bound of the last annulus it needs, best first, for so many candidates."""
@@ -173,18 +199,24 @@ def _meet(blocks: DataFrame, visits: DataFrame, directory: _Directory, dim: int,
                 part = visitors.slice(at, QUERIES)
                 q, query = _matrix(_one(part, "q"), dim), part["query_id"].to_numpy()
                 wanted = directory.bounds(q, of) >= part["floor"].to_numpy()[:, None]
-                scores = np.full((len(q), len(x)), -np.inf)
+                kind = _exact_kind(q, x)
+                if kind is not np.float64:
+                    q, exact = (_matrix(_one(t, c), dim, np.int64).astype(kind) for t, c in ((part, "q"), (members, "v")))
+                else:
+                    exact = x
+                scores, seen = np.zeros((len(q), len(x)), np.int64), np.zeros((len(q), len(x)), bool)
                 for ring in np.unique(rings):
                     mine = rings == ring
                     who = wanted[:, np.searchsorted(directory.ring[of], ring)]
                     if who.any():
-                        scores[np.ix_(who, mine)] = q[who] @ x[mine].T
-                scores[query[:, None] == ids] = -np.inf
-                # Members are in order of id, so a stable sort settles ties.
-                best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-                value = np.take_along_axis(scores, best, axis=1)
-                row, column = np.nonzero(value > -np.inf)
-                for held, new in zip(out, (query[row], ids[best[row, column]], value[row, column].astype(np.int64))):
+                        scores[np.ix_(who, mine)] = _to_long(q[who] @ exact[mine].T)
+                        seen[np.ix_(who, mine)] = True
+                seen &= query[:, None] != ids
+                # Members are in order of id, so a stable sort settles ties; what was not seen is last.
+                best = np.lexsort((-scores, ~seen), axis=1)[:, :k]
+                row, column = np.nonzero(np.take_along_axis(seen, best, axis=1))
+                place = best[row, column]
+                for held, new in zip(out, (query[row], ids[place], scores[row, place])):
                     held.append(new)
         names = ["query_id", "vec_id", "score"]
         return pa.table({n: pa.array(np.concatenate(c) if c else [], pa.int64()) for n, c in zip(names, out)})
@@ -210,7 +242,7 @@ def search(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     n_pivots: int = PIVOTS,
-    ring: float = RING,
+    rings: int = RINGS,
 ) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``vec_id`` and ``score``: the ``k`` best of each id for
     which ``is_query`` (a condition on ``vec_id``) holds. Of rows that share such an id, the
@@ -226,7 +258,10 @@ def search(
     for row, (v,) in zip(pivots, chosen):
         row[: len(v)] = v
     pivots = np.unique(pivots, axis=0)
-    keyed = stage(index(found, pivots, ring))
+    keyed = stage(index(found, pivots))
+    widest = keyed.agg(F.max("distance")).first()[0]
+    ring = F.least(F.lit(rings - 1), F.floor(F.col("distance") * rings / F.lit(widest or 1.0))).cast("int")
+    keyed = keyed.withColumn("ring", ring)
     annuli = keyed.groupBy("pivot", "ring").agg(
         F.count("*").alias("n"),
         F.min("distance").alias("low"),
@@ -246,7 +281,7 @@ def search(
     unknown = queries.withColumn("floor", F.lit(None).cast("double"))
     first = _best(_meet(blocks, _visits(unknown, directory, dim, chunks, ENOUGH * k), directory, dim, k), k)
     floors = first.groupBy(F.col("query_id").alias("vec_id")).agg(
-        F.when(F.count("*") >= k, F.min("score").cast("double")).alias("floor")
+        F.when((F.count("*") >= k) & (F.min("score") > -_END), F.min("score").cast("double")).alias("floor")
     )
     # Without k candidates so far, everything must be seen.
     floor = F.coalesce("floor", F.lit(float("-inf"))).alias("floor")
