@@ -12,7 +12,9 @@ own best container is taken instead. All elements of the page with that path bel
 sections; where a path is cut to its last steps, those as deep as the best one.
 
 Left out wherever they stand: menus, headers, footers, sidebars, notices, adverts, forms, reader
-comments (told by tag, role or class), scripts, styles, markup and what is hidden. Character
+comments (told by tag, role, class or id), scripts, styles, markup and what is hidden. Headings,
+elements inside a line and the sections of an article are not left out for a name; nor is a header
+with a title, or a form around a title or most of the page. Character
 references are decoded, white space inside a block becomes one space, and blocks are joined by one.
 
 Defined cases: null or empty html and pages without an article's text give an empty text; a page
@@ -39,12 +41,12 @@ WIN = 0.02
 # Steps of a path, from its end.
 STEPS = 6
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.S,
-)
+_START = re.compile(r"<(?:!--|[!?]|/?(?=[a-zA-Z]))")
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+# Attributes up to the end of the tag, which may stand in quotes.
+_ATTRIBUTES = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
+# Looks at the whole rest of a page for quotes that never close; then every > ends its tag.
+_LOOKS = 20
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _RAW = frozenset("script style textarea title xmp noscript iframe template svg select".split())
@@ -54,7 +56,8 @@ _INLINE = frozenset(
     "ins del label big".split()
 )
 _CONTAINERS = frozenset("article main section div td body".split())
-_NOISE_TAGS = frozenset("nav footer aside form button dialog menu head object audio video canvas".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_NOISE_TAGS = frozenset("nav footer aside button dialog menu head object audio video canvas".split())
 _NOISE_ROLES = frozenset(
     "navigation contentinfo complementary search dialog alert alertdialog menu menubar form banner".split()
 )
@@ -66,6 +69,8 @@ _NOISE_WORDS = frozenset(
     "signin login share sharing social related recommended recommendations breadcrumb breadcrumbs popup modal overlay "
     "widget form search toolbar pagination pager skip tags tagcloud".split()
 )
+# Ids of sections that are no part of an article; others may be named after what they tell of.
+_NOISE_SECTIONS = frozenset("comments commentlist respond disqus disqus_thread sidebar newsletter cookies breadcrumbs".split())
 # Tags that end with the opening of one of the same kind, and where the search for it stops.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol"}),
@@ -77,6 +82,34 @@ _ENDS = {
 }
 
 
+def _scan(html: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """Tags in order: where one begins and ends, whether it closes, its name and its attributes.
+    Comments and declarations have no name. Never looks twice at a stretch without going on; the
+    receiver may send the place from which to go on."""
+    at, looks = 0, _LOOKS
+    while found := _START.search(html, at):
+        begin, mark = found.start(), found[0]
+        if mark == "<!--":
+            end = html.find("-->", found.end())
+            end, name, attributes = (len(html) if end < 0 else end + 3), "", ""
+        else:
+            named = _TAG_NAME.match(html, found.end()) if mark in ("<", "</") else None
+            stop = named.end() if named else found.end()
+            end = html.find(">", stop)
+            if end < 0:
+                return
+            if named and looks and (html.find('"', stop, end) >= 0 or html.find("'", stop, end) >= 0):
+                last = _ATTRIBUTES.match(html, stop).end()
+                if html[last : last + 1] == ">":
+                    end = last
+                else:
+                    looks -= 1
+            name, attributes = (named[0].lower(), html[stop:end]) if named else ("", "")
+            end += 1
+        moved = yield begin, end, mark == "</", name, attributes
+        at = end if moved is None else moved
+
+
 class Page:
     """The elements of a page in order, and its text between them.
 
@@ -92,31 +125,34 @@ class Page:
         self._read(html)
 
     def _read(self, html: str) -> None:
-        stack, at, size = [0], 0, len(html)
-        while at < size:
-            found = _TOKEN.search(html, at)
-            if not found:
-                self._text(html[at:], stack[-1])
-                break
-            if found.start() > at:
-                self._text(html[at : found.start()], stack[-1])
-            at = found.end()
-            name = found[2] or found[5]
-            if not name:
-                continue
-            name = name.lower()
-            if found[1] or found[4]:
+        stack, at, never = [0], 0, set()
+        self.open: dict[str, int] = {}
+        tags = _scan(html)
+        tag = next(tags, None)
+        while tag:
+            begin, end, closes, name, attributes = tag
+            if begin > at:
+                self._text(html[at:begin], stack[-1])
+            at, moved = end, None
+            if closes:
                 self._close(name, stack)
             elif name in _RAW:
                 # What is inside is no text of the page, whatever it looks like.
-                closing = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
+                closing = None if name in never else re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
                 if closing:
-                    at = closing.end()
+                    at = moved = closing.end()
                 elif name in ("script", "style", "textarea", "title", "xmp"):
-                    at = size
-            else:
-                attributes = found[3] or found[6] or ""
+                    at = moved = len(html)
+                else:
+                    never.add(name)
+            elif name:
                 self._open(name, attributes, stack, attributes.endswith("/"))
+            try:
+                tag = tags.send(moved)
+            except StopIteration:
+                break
+        if at < len(html):
+            self._text(html[at:], stack[-1])
         while stack:
             self._pop(stack)
 
@@ -137,11 +173,13 @@ class Page:
             self._break(stack[-1])
         if name in _VOID or name in ("html", "body"):
             if name == "body":
-                self.words[0] = self._describe(attributes)[0]
+                self.words[0] = self._describe(attributes, name)[0]
             return
-        words, kind = self._describe(attributes)
+        words, kind = self._describe(attributes, name)
         if name in _NOISE_TAGS:
             kind = 2
+        elif name == "form":
+            kind = max(kind, 3)
         elif name == "header":
             kind = max(kind, 1)
         self.tag.append(name)
@@ -152,11 +190,15 @@ class Page:
         self.end.append(-1)
         self.last.append(-1)
         stack.append(len(self.tag) - 1)
+        self.open[name] = self.open.get(name, 0) + 1
         if empty and name not in _INLINE and name not in _CONTAINERS and name != "p":
             self._pop(stack)
 
-    def _describe(self, attributes: str) -> tuple[str, int]:
-        """Class words for the path, and 2 for noise, 1 for noise unless the article is inside."""
+    def _describe(self, attributes: str, tag: str) -> tuple[str, int]:
+        """Class words for the path, and 2 for noise, 1 for noise unless the article is inside.
+
+        Names say nothing of headings and of elements inside a line, and the id of a section only
+        when it is one that no section of an article has."""
         if "=" not in attributes and "hidden" not in attributes:
             return "", 0
         classes, kind = "", 0
@@ -164,8 +206,12 @@ class Page:
             name, value = name.lower(), unescape(value.strip("\"'"))
             if name == "class":
                 classes = ".".join(sorted(re.sub(r"\d+", "#", c) for c in value.split()))
-            if name in ("class", "id") and not _NOISE_WORDS.isdisjoint(w.lower() for w in _NAME.findall(value)):
-                kind = max(kind, 1)
+            if name in ("class", "id") and tag not in _INLINE and tag not in _HEADINGS:
+                if name == "id" and tag == "section":
+                    told = value.lower() in _NOISE_SECTIONS
+                else:
+                    told = not _NOISE_WORDS.isdisjoint(w.lower() for w in _NAME.findall(value))
+                kind = max(kind, int(told))
             elif name == "role" and value.lower() in _NOISE_ROLES:
                 kind = max(kind, 1)
             elif (
@@ -178,11 +224,15 @@ class Page:
 
     def _pop(self, stack: list[int]) -> None:
         k = stack.pop()
+        if k:
+            self.open[self.tag[k]] -= 1
         if self.tag[k] not in _INLINE:
             self._break(k)
         self.end[k], self.last[k] = len(self.pieces), len(self.tag) - 1
 
     def _pop_to(self, stack: list[int], names: set[str], stop: set[str]) -> None:
+        if not any(self.open.get(n) for n in names):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             tag = self.tag[stack[depth]]
             if tag in names:
@@ -193,7 +243,7 @@ class Page:
                 return
 
     def _close(self, name: str, stack: list[int]) -> None:
-        if name in ("body", "html"):
+        if name in ("body", "html") or not self.open.get(name):
             return
         for depth in range(len(stack) - 1, 0, -1):
             tag = self.tag[stack[depth]]
@@ -207,17 +257,33 @@ class Page:
                 return
 
     def noise(self) -> list[bool]:
-        """Per element, whether it or an element around it is no part of an article."""
+        """Per element, whether it or an element around it is no part of an article.
+
+        What may be noise by its name or tag is none with an article or main inside. A header is none
+        with a title inside (in an article, with any heading), nor is a form with a title or with
+        more than half of the page's text."""
         mains = [k for k, t in enumerate(self.tag) if t in ("article", "main") and not self.kind[k]]
-        heads = sorted([*mains, *(k for k, t in enumerate(self.tag) if t == "h1")])
-        out = [False] * len(self.tag)
+        titles = sorted([*mains, *(k for k, t in enumerate(self.tag) if t == "h1")])
+        headings = sorted([*mains, *(k for k, t in enumerate(self.tag) if t in _HEADINGS)])
+        written = [0]
+        for piece in self.pieces:
+            written.append(written[-1] + (len(piece) if piece else 0))
+        out, within = [False] * len(self.tag), [False] * len(self.tag)
         for k in range(1, len(out)):
-            kind = self.kind[k]
-            if kind == 1 and self.tag[k] not in ("article", "main"):
-                inside = heads if self.tag[k] == "header" else mains
+            kind, tag, up = self.kind[k], self.tag[k], self.parent[k]
+            within[k] = within[up] or tag in ("article", "main")
+            if kind in (1, 3) and tag not in ("article", "main"):
+                inside = mains
+                if tag == "header":
+                    inside = headings if within[up] else titles
+                elif kind == 3:
+                    inside = titles
                 at = bisect_left(inside, k + 1)
-                kind = 0 if at < len(inside) and inside[at] <= self.last[k] else 1
-            out[k] = out[self.parent[k]] or kind > 0
+                if at < len(inside) and inside[at] <= self.last[k]:
+                    kind = 0
+                elif kind == 3 and 2 * (written[self.end[k]] - written[self.begin[k]]) > written[-1]:
+                    kind = 0
+            out[k] = out[up] or kind > 0
         return out
 
     def path(self, k: int) -> str:

@@ -1,3 +1,4 @@
+import time
 from html import escape
 
 import pytest
@@ -132,3 +133,34 @@ def test_pages_of_another_template(spark):
     df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in host_paths.extract_pages(df).collect()}
     assert got == {k: want for k, _, _, want in rows}
+
+
+WORDS = " ".join(f"word{k}" for k in range(60))
+
+
+@pytest.mark.parametrize(
+    "html,want",
+    [
+        (f'<body><form id="aspnetForm"><div class=content><h1>T</h1><p>{WORDS}</p></div></form></body>', f"T {WORDS}"),
+        (f'<body><form action="x"><div><p>{WORDS}</p></div></form><p>end</p></body>', WORDS),
+        (f"<body><article><p>{WORDS}</p><form><p>Your mail</p></form></article></body>", WORDS),
+        (f'<article><section id="discussion"><p>{WORDS}</p></section><section id="related-work"><p>more</p></section></article>', f"{WORDS} more"),
+        (f'<article><p>{WORDS}</p><section id="comments"><p>first!</p></section></article>', WORDS),
+        (f'<article><h2 id="form-validation">Forms</h2><h2 id="search">Find</h2><p>{WORDS} <em class="ad">ad</em></p></article>', f"Forms Find {WORDS} ad"),
+        (f"<body><header><h2>Site</h2></header><article><header><h2>Title</h2></header><p>{WORDS}</p></article></body>", f"Title {WORDS}"),
+        (f'<article><p>{WORDS}</p><p title="a > b">x</p><p title="open>y</p></article>', f"{WORDS} x y"),
+    ],
+)
+def test_keeps_the_article(html, want):
+    assert host_paths.extract(html, []) == want
+
+
+@pytest.mark.parametrize(
+    "part", ["<a ", '<a "', "<svg>", "</section>", "<b>", "<!", "<div><b></i>", "<div></p>", "<li><b>", "<a<", "<p '", "<!-- ", "<title"]
+)
+def test_broken_markup_takes_linear_time(part):
+    html = "<article><p>text</p>" + part * (1_000_000 // len(part))
+    began = time.process_time()
+    host_paths.extract(html, [])
+    host_paths.extract(html + ">", [])
+    assert time.process_time() - began < 20
