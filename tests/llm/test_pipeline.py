@@ -18,7 +18,7 @@ def test_stages_agree_with_their_operators(spark, documents):
         assert docs.columns == names
         kept = {r["doc_id"] for r in docs.collect()}
         if name == "shingle_join":
-            rows = brute(texts_of(before))
+            rows = brute(texts_of(before), 5, 80)
             assert kept == {d for d, _, c in rows if d == c}
         elif name == "toxicity":
             labels = spark.read.parquet(f"{SF}/labels.parquet")
@@ -77,3 +77,11 @@ def test_near_duplicates_link_at_five_words_and_80(spark, documents):
 def _shingles(text, words):
     w = text.lower().split()
     return {tuple(w[k : k + words]) for k in range(len(w) - words + 1)} or {tuple(w)}
+
+
+def test_different_texts_of_one_id_stay(spark, documents):
+    """Only equal rows of an id are one; a different text that shares the id is not dropped."""
+    one, two = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    rows = [(7, one, "en", "s", 1), (7, one, "en", "s", 1), (7, two, "en", "s", 1), (8, one + " z", "en", "s", 1)]
+    kept = cp.near_duplicates(spark, spark.createDataFrame(rows, documents.schema), SF)
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(7, one), (7, two)]

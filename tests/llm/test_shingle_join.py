@@ -14,14 +14,14 @@ SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def tokens(text):
+def tokens(text, words=4):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
-    return {tuple(w[k : k + 4]) for k in range(len(w) - 3)} or ({tuple(w)} if w else set())
+    return {tuple(w[k : k + words]) for k in range(len(w) - words + 1)} or ({tuple(w)} if w else set())
 
 
-def brute(texts):
+def brute(texts, words=4, percent=85):
     """(id, tokens, component) by comparing every pair."""
-    sets = [(d, tokens(t)) for d, t in texts]
+    sets = [(d, tokens(t, words)) for d, t in texts]
     root = list(range(len(sets)))
 
     def find(x):
@@ -32,7 +32,7 @@ def brute(texts):
     for i, (_, a) in enumerate(sets):
         for j in range(i):
             b = sets[j][1]
-            if a and b and 20 * min(len(a), len(b)) >= 17 * max(len(a), len(b)) and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) and 100 * len(a & b) >= percent * len(a | b):
                 root[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(sets):
