@@ -4,8 +4,8 @@ Each stage takes the rows its predecessor kept, in the columns of ``documents``,
 before the next one reads it. Learned stages learn from their own input.
 
 Defined cases: rows with a null id are kept by the near-duplicate stage, as no one can tell them
-apart; rows that repeat an id with the same text are one group of duplicates; an empty input stays
-empty. Columns beyond id, text and language pass through unread.
+apart; rows that repeat an id with the same text are one group of duplicates, different texts that
+share an id are linked as one document and stay or go together; an empty input stays empty. Columns beyond id, text and language pass through unread.
 """
 
 from __future__ import annotations
@@ -57,7 +57,7 @@ def near_duplicates(spark, docs, sf_dir):
     ship(spark)
     joined = shingle_join.join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     first = stage(joined.where("doc_id = component_id").select("doc_id").distinct())
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = _keyed(docs.join(first, "doc_id", "left_semi")).dropDuplicates([*_KEY]).drop("_text_hash")
     return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
 
 
