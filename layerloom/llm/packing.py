@@ -114,14 +114,15 @@ def assign(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Give each piece of ``found`` (staged: it is read twice) its sequence and offset.
 
     A rank within a length is a place within a bucket of that length plus the sizes of the buckets
-    before it, so a length that a third of all pieces have is ranked in many tasks. The histogram
-    on the driver has at most ``capacity`` rows.
+    before it, so a length that a third of all pieces have is ranked in many tasks. Buckets are dealt
+    by the staged ``lane``, a number of the row, so copies of one row are spread as well. The
+    histogram on the driver has at most ``capacity`` rows.
     """
     spark = found.sparkSession
     histogram = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = spark.createDataFrame(plan(histogram, capacity), PLAN)
     buckets = 2 * shuffle_partitions(spark)
-    keyed = found.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(buckets)))
+    keyed = found.withColumn("bucket", F.pmod(F.xxhash64("lane"), F.lit(buckets)))
     sizes = keyed.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
@@ -131,7 +132,7 @@ def assign(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     met = spans.join(p, meets & (F.col("p.high") > F.col("before")))
     slot = F.struct("p.low", "p.high", "p.bin", "p.offset")
     each = met.groupBy("s.length", "s.bucket", "before").agg(F.collect_list(slot).alias("slots"))
-    place = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece")) - 1
+    place = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "lane")) - 1
     ranked = keyed.withColumn("place", place.cast("long")).join(each, ["length", "bucket"])
     rank = F.col("before") + F.col("place")
     chosen = F.filter("slots", lambda s: (s["low"] <= F.col("rank")) & (F.col("rank") < s["high"]))[0]
@@ -159,4 +160,4 @@ def pack(
     """Pieces of all documents with their sequences and offsets. ``keep`` and ``arrow_rows`` trade
     the memory of Python workers for speed."""
     cut = pieces(docs, tokenizer, capacity, id_col, text_col, keep)
-    return assign(stage(cut, arrow_rows), capacity)
+    return assign(stage(cut.withColumn("lane", F.monotonically_increasing_id()), arrow_rows), capacity)

@@ -83,3 +83,13 @@ def test_whole_table(spark, documents):
 def test_odd_and_empty(odd, none):
     check(packing.pack(odd, BYTE_BPE).collect(), texts_of(odd))
     assert packing.pack(none, BYTE_BPE).count() == 0
+
+
+def test_copies_of_a_row_are_spread_and_packed_each(spark):
+    rows = [(7, "the same text")] * 3000 + [(None, "no id")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    packed = packing.pack(docs, BYTE_BPE)
+    check_places = {(r["sequence_id"], r["offset"]) for r in packed.collect()}
+    assert len(check_places) == len(rows)
+    plan = packed._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(lane" in plan and "xxhash64(doc_id" not in plan
