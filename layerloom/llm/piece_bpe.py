@@ -5,7 +5,9 @@ spaces with what follows them, since no piece has a space after another characte
 words of a batch lie end to end in one array of symbols. Each round finds the best pair of every
 word by a segmented minimum, merges it at all its places from the left at once, and closes the
 gaps; words without a pair leave. Where a merge would open a pair that is as good or better, the
-order of single merges matters, and only the leftmost place of that word is merged.
+order of single merges matters, and only the leftmost place of that word is merged. A long word is
+first cut where no piece of the vocabulary can reach over, by up to two characters on either side:
+merges never cross such a place, so its sections are merged side by side like words.
 
 Characters without a piece become the pieces of their bytes. Decoding joins the bytes of pieces and
 drops the space that was put before the text.
@@ -32,6 +34,8 @@ from layerloom.llm.byte_bpe import Memo, slices
 MARK = "▁"
 # Words that a worker keeps. Changes time and memory, never results.
 KEEP = 700_000
+# Words of more characters are cut into sections. Changes time, never results.
+LONG = 64
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 _CUT = "\x00"
 _NONE = np.iinfo(np.int64).max
@@ -74,6 +78,10 @@ class PieceCodec:
         for name, i in ids.items():
             if len(name) == 1:
                 self.char[ord(name)] = i
+        self.letters = np.array(sorted({ord(c) for name in ids for c in name}), np.int64)
+        if len(self.letters) >= 1 << 15:
+            raise ValueError("models with 32,768 or more different characters are not supported")
+        self.crossings = self._crossings(ids)
         self.byte = np.zeros(256, np.int64)
         surface = [x.replace(MARK, " ").encode() for x in names]
         for i in range(n):
@@ -95,6 +103,45 @@ class PieceCodec:
         merged = np.where(self.keys[at] == keys, self.merged[at], -1)
         return np.where(merged >= 0, self.rank[merged], _NONE), merged
 
+    def _letters(self, points: np.ndarray) -> np.ndarray:
+        """Small numbers of characters from 1, 0 for those that no piece has."""
+        points = points.astype(np.int64)
+        at = np.minimum(np.searchsorted(self.letters, points), len(self.letters) - 1)
+        return np.where(self.letters[at] == points, at + 1, 0)
+
+    def _crossings(self, names: Iterable[str]) -> dict[tuple[int, int], np.ndarray]:
+        """Sorted keys of what stands around the inner places of all pieces: one character to the
+        left or right where the piece ends there, else two."""
+        keys: dict[tuple[int, int], set[int]] = {(a, b): set() for a in (1, 2) for b in (1, 2)}
+        for name in names:
+            codes = self._letters(np.array([ord(c) for c in name])).tolist()
+            for k in range(1, len(codes)):
+                left, right = min(k, 2), min(len(codes) - k, 2)
+                key = 0
+                for c in codes[k - left : k + right]:
+                    key = key << 15 | c
+                keys[left, right].add(key)
+        return {sides: np.array(sorted(found), np.int64) for sides, found in keys.items()}
+
+    def _sections(self, points: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Number of the section of each character: a new one at each word and at each place that no
+        piece reaches over."""
+        code, n = self._letters(points), len(points)
+        starts = np.append(True, word[1:] != word[:-1])
+        open_ = np.zeros(n, bool)  # a piece may reach over the place before this character
+        for (left, right), keys in self.crossings.items():
+            if not len(keys) or n < left + right:
+                continue
+            m = n - left - right + 1
+            key, whole = np.zeros(m, np.int64), np.ones(m, bool)
+            for k in range(left + right):
+                key = key << 15 | code[k : k + m]
+                if k:
+                    whole &= ~starts[k : k + m]
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            open_[left : left + m] |= whole & (keys[at] == key)
+        return np.cumsum(starts | ~open_) - 1
+
     def _merge(self, symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Final symbols with their words, in order."""
         done_symbols, done_words = [], []
@@ -156,7 +203,14 @@ class PieceCodec:
             return
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         points = np.frombuffer("".join(words).replace(" ", MARK).encode("utf-32-le"), "<u4")
-        symbols, word = self._merge(self.char[points], np.repeat(np.arange(len(words)), sizes))
+        word = np.repeat(np.arange(len(words)), sizes)
+        if sizes.max() > LONG:
+            section = self._sections(points, word)
+            of = word[np.flatnonzero(np.append(True, section[1:] != section[:-1]))]
+            symbols, section = self._merge(self.char[points], section)
+            word = of[section]
+        else:
+            symbols, word = self._merge(self.char[points], word)
         odd = np.flatnonzero(symbols >= self.n)
         if len(odd):
             # Characters without a piece: the pieces of their bytes.

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pyarrow as pa
 import sentencepiece
@@ -31,6 +32,24 @@ def test_random_texts():
     agree([*texts, "a" * 5000, "ab" * 3000, " " * 700, "", " "])
 
 
+def test_long_words():
+    """Words without spaces, of letters, of vocabulary pieces and of several scripts, also when cut at any length."""
+    draw = random.Random(11)
+    pieces = [p for p in (LIBRARY.id_to_piece(i) for i in range(300, LIBRARY.get_piece_size(), 7)) if "▁" not in p]
+    words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyzéß漢字语", k=draw.randint(65, 900))) for _ in range(60)]
+    words += ["".join(draw.choices(pieces, k=draw.randint(20, 300))) for _ in range(60)]
+    words += ["".join(draw.choices("ab", k=700)), "x" * 999, "=" * 500 + "a" * 500, "🙂" * 200]
+    agree([*words, " ".join(words[:5]), "   ".join(words[60:65])])
+
+
+def test_a_very_long_word_takes_seconds():
+    draw = random.Random(12)
+    word = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=100_000))
+    began = time.process_time()
+    agree([word])
+    assert time.process_time() - began < 8
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=40), max_size=5))
 def test_any_text(texts):
