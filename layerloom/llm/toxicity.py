@@ -5,10 +5,12 @@ share is far above the usual one. They, a list of known insults, and patterns of
 voters. A generative label model, fitted by expectation maximisation to the counts of all vote
 patterns of all documents, estimates how often each voter fires in either class and how far voters
 repeat each other within a class; correlated voters share their weight. Its posterior labels train a
-linear classifier over the mined terms, which scores every text.
+linear classifier over the mined terms and all voters, which scores every text. In the posterior of
+a document whose label is known the label is one more voter: the others together can outvote it.
 
-What comes to the driver is bounded: ``TERMS`` terms, at most 2**``VOTERS`` vote patterns, and a
-sample of ``SAMPLE`` labelled rows for the classifier.
+What comes to the driver does not grow with the number of rows: terms that at least ``SUPPORT`` of
+the toxic learning rows hold, at most 2**``VOTERS`` vote patterns, and a sample of ``SAMPLE``
+labelled rows for the classifier.
 
 Defined cases: a null or empty text fires no voter and gets the classifier's base score; without
 labels of both classes every score is 0; labels repeated for an id count once, as toxic if one of
@@ -38,8 +40,9 @@ INSULTS = (
 STEMS = (4, 5, 6, 7)
 # A beginning is mined once for each of these numbers of uses in a text.
 TIMES = (1, 2, 3)
-# Mined terms that are kept, the strongest first.
-TERMS = 4096
+# Share of the toxic learning rows that must hold a mined term, at every size of the input. A row with
+# d terms supports d of them, so at most (terms of a mean toxic row) / SUPPORT terms can be mined.
+SUPPORT = 0.004
 # A term is mined if its documents are so much likelier (in nats) under its own toxic share than
 # under the usual one, and if that share is high enough.
 EVIDENCE = 11.0
@@ -55,8 +58,8 @@ PATTERNS = 1 + len(WRITING)
 # Toxic shares that part the lexicons of whole words, beginnings, and beginnings used repeatedly.
 LEVELS = (0.95, 0.8, 0.6)
 VOTERS = PATTERNS + 3 * (len(LEVELS) + 1)
-# Log odds by which a label that is known outweighs the voters in the posterior of its document.
-KNOWN_LABEL = 6.0
+# Log odds of a known label as a voter: right about 95 times of 100.
+LABEL_ODDS = 3.0
 # Labelled rows that the linear classifier is fitted to.
 SAMPLE = 30_000
 THRESHOLD = 0.3
@@ -106,7 +109,8 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def mine(labelled: DataFrame) -> list[tuple[str, float]]:
     """Terms of ``labelled`` (``text``, ``toxic``) that speak for toxicity, the strongest first, with
-    the toxic share of their documents."""
+    the toxic share of their documents. None is cut off: what is mined follows from shares alone once
+    there is evidence."""
     totals = labelled.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < totals[1] < totals[0]:
         return []
@@ -120,10 +124,10 @@ def mine(labelled: DataFrame) -> list[tuple[str, float]]:
     share = F.col("n_toxic") / F.col("n")
     rest = F.when(share < 1, (1 - share) * F.ln((1 - share) / (1 - base))).otherwise(0.0)
     evidence = F.col("n") * (share * F.ln(share / base) + rest)
-    strong = counts.where((share >= MIN_SHARE) & (share > base)).withColumn("evidence", evidence)
-    found = stage(strong.where(F.col("evidence") >= EVIDENCE))
-    top = found.orderBy(F.desc("evidence"), "term").limit(TERMS)
-    return [(r["term"], r["share"]) for r in top.select("term", share.alias("share")).collect()]
+    held = F.col("n_toxic") >= SUPPORT * totals[1]
+    strong = counts.where(held & (share >= MIN_SHARE) & (share > base)).withColumn("evidence", evidence)
+    found = strong.where(F.col("evidence") >= EVIDENCE).orderBy(F.desc("evidence"), "term")
+    return [(r["term"], r["share"]) for r in found.select("term", share.alias("share")).collect()]
 
 
 def _lexicon(term: str, share: float) -> int:
@@ -194,6 +198,11 @@ def vote(docs: DataFrame, voters: Voters, keep: tuple[str, ...] = ("doc_id",)) -
     return picked.mapInArrow(run, f"{types}, votes long, terms array<int>")
 
 
+def _fires(votes: np.ndarray) -> np.ndarray:
+    """A column for each voter."""
+    return (votes[:, None] >> np.arange(VOTERS)) & 1
+
+
 class LabelModel:
     """Two classes in which each voter fires with a rate of its own.
 
@@ -204,7 +213,7 @@ class LabelModel:
     """
 
     def fit(self, patterns: np.ndarray, unknown: np.ndarray, zero: np.ndarray, one: np.ndarray) -> LabelModel:
-        fires = (patterns[:, None] >> np.arange(VOTERS)) & 1
+        fires = _fires(patterns)
         self.weight = np.ones(VOTERS)
         post = (one + 0.1) / (zero + one + 1.0)
         for _ in range(30):
@@ -226,27 +235,28 @@ class LabelModel:
         return correlation.sum(axis=1)
 
     def posterior(self, patterns: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
-        """Chance of class 1 by the votes, and by the ``label`` where one is known."""
-        fires = (patterns[:, None] >> np.arange(VOTERS)) & 1
+        """Chance of class 1 by the votes, with the ``label`` as one more voter if it is given."""
+        fires = _fires(patterns)
         yes = np.log(self.rate[1] / self.rate[0]) * self.weight
         no = np.log((1 - self.rate[1]) / (1 - self.rate[0])) * self.weight
         odds = np.log(self.prior / (1 - self.prior)) + fires @ yes + (1 - fires) @ no
         if label is not None:
-            odds = np.clip(odds, -KNOWN_LABEL / 2, KNOWN_LABEL / 2) + np.where(label == 1, KNOWN_LABEL, -KNOWN_LABEL)
+            odds = odds + np.where(label == 1, LABEL_ODDS, -LABEL_ODDS)
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def fit_linear(rows: list[np.ndarray], insulted: np.ndarray, target: np.ndarray, n_terms: int) -> np.ndarray:
-    """Logistic regression over terms, the insults and a constant; gradient steps over all rows."""
+def fit_linear(rows: list[np.ndarray], votes: np.ndarray, target: np.ndarray, n_terms: int) -> np.ndarray:
+    """Logistic regression over terms, voters and a constant; gradient steps over all rows."""
     sizes = np.fromiter(map(len, rows), np.int64, len(rows))
     owner = np.repeat(np.arange(len(rows)), sizes)
     term = np.concatenate(rows) if len(rows) else np.zeros(0, np.int64)
-    weights = np.zeros(n_terms + 2)
-    pace = np.full(n_terms + 2, 1e-6)
+    fires = np.column_stack([_fires(votes), np.ones(len(rows), np.int64)])
+    weights = np.zeros(n_terms + VOTERS + 1)
+    pace = np.full(len(weights), 1e-6)
     for _ in range(300):
-        z = np.bincount(owner, weights[term], len(rows)) + weights[-2] * insulted + weights[-1]
+        z = np.bincount(owner, weights[term], len(rows)) + fires @ weights[n_terms:]
         error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - target
-        step = np.append(np.bincount(term, error[owner], n_terms), [error @ insulted, error.sum()])
+        step = np.append(np.bincount(term, error[owner], n_terms), error @ fires)
         step = step / max(1, len(rows)) + 1e-6 * weights
         pace += step * step
         weights -= 0.3 * step / np.sqrt(pace)
@@ -260,7 +270,7 @@ def score(voted: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = ("doc_i
             sizes = np.diff(terms.offsets.to_numpy())
             owner = np.repeat(np.arange(len(sizes)), sizes)
             z = np.bincount(owner, weights[terms.flatten().to_numpy()], len(sizes)) + weights[-1]
-            z += weights[-2] * (batch.column("votes").to_numpy() & 1)
+            z += _fires(batch.column("votes").to_numpy()) @ weights[-VOTERS - 1 : -1]
             value = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.record_batch(
                 [*(batch.column(k) for k in keep), pa.array(value)], names=[*keep, "score"]
@@ -292,7 +302,7 @@ def learn(
     ).toPandas()
     n_terms = len(voters.place)
     if not patterns["one"].sum() or not patterns["zero"].sum():
-        return np.append(np.zeros(n_terms + 1), -30.0), voted
+        return np.append(np.zeros(n_terms + VOTERS), -30.0), voted
     columns = [patterns[c].to_numpy() for c in ("votes", "unknown", "zero", "one")]
     model = LabelModel().fit(columns[0], *(c.astype(float) for c in columns[1:]))
     order = F.xxhash64("doc_id")
@@ -300,7 +310,7 @@ def learn(
     votes = rows["votes"].to_numpy()
     target = model.posterior(votes, rows["toxic"].to_numpy())
     terms = [np.asarray(t, np.int64) for t in rows["terms"]]
-    return fit_linear(terms, (votes & 1).astype(float), target, n_terms), voted
+    return fit_linear(terms, votes, target, n_terms), voted
 
 
 def detect(

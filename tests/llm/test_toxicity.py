@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 from layerloom.llm import toxicity
@@ -31,6 +33,63 @@ def test_learns_an_unknown_stem(spark):
     assert len(hits) > 100 and np.mean(hits) > 0.97
 
 
+def brute_mine(rows):
+    """Terms with their toxic shares, by counting every word and beginning of every text."""
+    n, n_toxic = Counter(), Counter()
+    for text, toxic in rows:
+        words = [w for w in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()]
+        terms = set(words)
+        for k in toxicity.STEMS:
+            begun = Counter(w[:k] for w in words if len(w) >= k)
+            terms |= {s + "*" * m for s, c in begun.items() for m in toxicity.TIMES if c >= m}
+        n.update(terms)
+        n_toxic.update(terms if toxic else ())
+    total = sum(t for _, t in rows)
+    base, out = total / len(rows), {}
+    for term, count in n.items():
+        share = n_toxic[term] / count
+        if share <= base or share < toxicity.MIN_SHARE or n_toxic[term] < toxicity.SUPPORT * total:
+            continue
+        rest = (1 - share) * math.log((1 - share) / (1 - base)) if share < 1 else 0.0
+        if count * (share * math.log(share / base) + rest) >= toxicity.EVIDENCE:
+            out[term] = share
+    return out
+
+
+def test_mining_by_brute_force(spark):
+    docs, labels = corpus(spark)
+    given = docs.join(labels, "doc_id").select("text", "toxic")
+    want = brute_mine([tuple(r) for r in given.collect()])
+    got = dict(toxicity.mine(given))
+    assert set(got) == set(want) and "zork*" in want and len(want) > 8
+    assert all(abs(got[t] - want[t]) < 1e-12 for t in want)
+
+
+def test_what_is_mined_does_not_depend_on_the_number_of_rows(spark):
+    docs, labels = corpus(spark)
+    given = docs.join(labels, "doc_id").select("text", "toxic")
+    once = set(dict(toxicity.mine(given)))
+    four = set(dict(toxicity.mine(given.unionAll(given).unionAll(given).unionAll(given))))
+    assert once <= four
+    assert all(t.startswith("zork") for t in once) and once
+
+
+def test_voters_can_outvote_a_label():
+    """The posterior, not the label, is what the classifier is trained on."""
+    patterns = np.array([0, 0b111])
+    model = toxicity.LabelModel().fit(patterns, np.array([500.0, 100.0]), np.array([300.0, 2.0]), np.array([2.0, 60.0]))
+    model.rate = np.clip(model.rate, 0.01, 0.99)
+    model.weight = np.ones(toxicity.VOTERS)
+    kept = model.posterior(np.array([0b111, 0]), np.array([0, 1]))
+    assert kept[0] > 0.5 > kept[1]
+
+
+def test_every_voter_is_a_feature():
+    votes = np.array([1 << 3, 0] * 200)
+    weights = toxicity.fit_linear([np.zeros(0, np.int64)] * 400, votes, (votes > 0).astype(float), 0)
+    assert len(weights) == toxicity.VOTERS + 1 and weights[3] > 2 and abs(weights[5]) < 1e-9
+
+
 def test_held_out_quality(spark):
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     rows = [r for r in op9_toxicity(spark, SF).collect() if r["held_out"] and r["doc_id"] in labels]
