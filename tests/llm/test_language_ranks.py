@@ -44,6 +44,34 @@ def test_profiles_and_ranks(spark):
     assert rank("qq")[0] == "x"  # equally far from both: the smaller name
 
 
+def out_of_place(text, profiles, size):
+    """Language and score by the plain definition of the distance."""
+    counts = Counter()
+    for g, n in grams(text or "").items():
+        counts[code(g)] += n
+    top = sorted(counts, key=lambda c: (-counts[c], c))[:size]
+    if not top:
+        return "und", 0.0
+    far = {}
+    for lang, profile in profiles.items():
+        place = {c: k for k, c in enumerate(profile)}
+        far[lang] = sum(abs(place[c] - k) if c in place else size for k, c in enumerate(top))
+    best = min(sorted(far), key=far.get)
+    return best, 1 - far[best] / (size * len(top))
+
+
+def test_distance_by_brute_force(spark, documents, odd):
+    for size in (20, language_ranks.PROFILE):
+        profiles = language_ranks.learn(documents, size=size)
+        assert len(profiles) > 1
+        for docs in (documents, odd):
+            found = language_ranks.predict(docs, profiles, size=size, keep=("doc_id", "text")).collect()
+            assert len(found) == docs.count()
+            for r in found:
+                lang, score = out_of_place(r["text"], profiles, size)
+                assert r["lang_pred"] == lang and abs(r["score"] - score) < 1e-9
+
+
 def test_held_out_accuracy(spark):
     known = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = [r for r in op4_language_ranks(spark, SF).collect() if r["held_out"]]
