@@ -326,6 +326,46 @@ def gold_table_ranged(spark, sf):
     return silver.read_table(spark, cfg.gold_table)
 
 
+def _upserted(spark, known, batch, keys, **settings):
+    """A table of its own with ``known``, upserted by ``batch``, under settings for its ranges."""
+    cfg = replace(_workspace(spark), **settings)
+    name = f"{cfg.silver}.kept"
+    silver.upsert_table(spark, cfg, name, known, keys)
+    return silver.upsert_table(spark, cfg, name, batch, keys)
+
+
+def ranged_time_key(spark, sf):
+    """Orders in a table cut by ranges of 90 days of their date; a date of the batch replaces all its rows."""
+    orders = fx.table(spark, sf, "orders").select(F.col("o_orderdate").alias("Day"), F.col("o_orderkey").alias("Id"))
+    batch = orders.where("Id % 50 = 0").select("Day", (-F.col("Id")).alias("Id"))
+    day = F.col("Day").cast("date")
+    return _upserted(spark, orders.withColumn("Day", day), batch.withColumn("Day", day), ["Day"], range_width=90)
+
+
+def ranged_two_keys(spark, sf):
+    """Order lines in a table cut by hashes of order and line; the batch brings later ones and new ones."""
+    lines = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    batch = lines.where("l_orderkey % 100 = 7").withColumn("l_quantity", -F.col("l_quantity"))
+    added = batch.withColumn("l_orderkey", -F.col("l_orderkey"))
+    return _upserted(spark, lines, batch.unionByName(added), ["l_orderkey", "l_linenumber"], range_rows=10_000)
+
+
+def ranged_text_key(spark, sf):
+    """Customers by name, cut by hashes of it."""
+    people = fx.table(spark, sf, "customer").select("c_name", "c_nationkey")
+    batch = people.where("c_nationkey = 3").withColumn("c_nationkey", F.col("c_nationkey") - 100)
+    return _upserted(spark, people, batch, ["c_name"], range_width=2**28)
+
+
+def one_piece_to_ranges(spark, sf):
+    """Users in a table without ranges, which the next upsert cuts, and one more into its ranges."""
+    cfg = _workspace(spark)
+    cut = replace(cfg, range_rows=200)
+    silver.upsert_table(spark, cfg, cfg.users_table, _known_users(spark, sf), ["Id"])
+    silver.upsert_table(spark, cut, cfg.users_table, _known_users(spark, sf).where("Id % 7 = 0"), ["Id"])
+    return silver.upsert_table(spark, cfg, cfg.users_table, _new_users(spark, sf, about=True), ["Id"])
+
+
 def silver_posts_table(spark, sf):
     """Posts cut into ranges of about so many rows, created and then merged into."""
     cfg = replace(_workspace(spark), range_rows=20_000)
@@ -528,6 +568,10 @@ def _own_queries() -> dict[str, Query]:
         "ranged_posts_other_config": ranged_posts_other_config,
         "ranged_users_drift": ranged_users_drift,
         "gold_table_ranged": gold_table_ranged,
+        "ranged_time_key": ranged_time_key,
+        "ranged_two_keys": ranged_two_keys,
+        "ranged_text_key": ranged_text_key,
+        "one_piece_to_ranges": one_piece_to_ranges,
         "register_posts": register_posts,
         "rebuild_posts_light": rebuild_posts_light,
         "overwrite_from_self": overwrite_from_self,
@@ -702,6 +746,17 @@ FROM (VALUES (1995), (1998)) years(y)""",
 SELECT o_orderdate AS Day, o_orderkey AS Id FROM orders
 WHERE o_orderdate NOT IN (SELECT o_orderdate FROM orders WHERE o_orderkey % 50 = 0)
 UNION ALL SELECT o_orderdate, -o_orderkey FROM orders WHERE o_orderkey % 50 = 0""",
+        "ranged_time_key": """
+SELECT CAST(o_orderdate AS DATE) AS Day, o_orderkey AS Id FROM orders
+WHERE CAST(o_orderdate AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 50 = 0)
+UNION ALL SELECT CAST(o_orderdate AS DATE), -o_orderkey FROM orders WHERE o_orderkey % 50 = 0""",
+        "ranged_two_keys": """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 100 = 7 THEN -l_quantity ELSE l_quantity END AS l_quantity
+FROM lineitem
+UNION ALL SELECT -l_orderkey, l_linenumber, -l_quantity FROM lineitem WHERE l_orderkey % 100 = 7""",
+        "ranged_text_key": """
+SELECT c_name, CAST(CASE WHEN c_nationkey = 3 THEN -97 ELSE c_nationkey END AS INT) AS c_nationkey FROM customer""",
+        "one_piece_to_ranges": _UPSERTED_USERS_DRIFT,
         "publish_adds_column": f"SELECT *, CAST(Views AS BIGINT) * 2 AS Karma FROM {_USERS}",
         "gold_hot_users": f"""
 WITH many AS (

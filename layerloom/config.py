@@ -16,8 +16,9 @@ class Config:
     ``root`` is a folder every executor can reach. A limit of ``None`` means no cap and ``0``
     means no rows. ``range_width`` cuts new history tables into partitions of so many keys, so that
     an upsert leaves alone the ranges its batch has no keys in; ``range_rows`` takes the width at which
-    a range of the first batch has about so many rows instead. The width stays with the table. With
-    neither a table is in one piece.
+    a range of the first batch has about so many rows instead. The width counts whole numbers, days of
+    dates, seconds of timestamps, and for other keys and several columns parts of 2^31 hash values. It
+    stays with the table. With neither a table is in one piece, until an upsert under settings with one.
     """
 
     root: str

@@ -9,6 +9,8 @@ they are not. To leave alone what a batch cannot touch, partition the table by r
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ CLAIMS = "_claims"
 def anti_unchanged(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Existing rows the batch does not replace, in their own column order.
 
-    A null key equals nothing, so such rows are always kept.
+    A null key equals nothing, so such rows are always kept; NaN equals NaN, and -0.0 equals 0.0.
     """
     kept = existing.join(_keys(incoming, keys), list(keys), "left_anti")
     return kept.select(*existing.columns)
@@ -60,7 +62,8 @@ def merge_into(
 
 
 def _keys(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return incoming.select(*keys).na.drop(subset=list(keys))
+    # Not na.drop, which takes NaN for null: Spark joins NaN with NaN.
+    return incoming.select(*keys).where(reduce(and_, (F.col(k).isNotNull() for k in keys)))
 
 
 def _refuse(keys: Sequence[str]):

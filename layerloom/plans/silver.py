@@ -51,8 +51,8 @@ def merge_table(
 
 def _write_keyed(spark, cfg, name, incoming, keys, combine) -> DataFrame:
     tables.create_namespace(spark, name.rpartition(".")[0], cfg.tables_root)
+    key = keys[0] if len(keys) == 1 else tuple(keys)
     if not tables.exists(spark, name):
-        key = keys[0] if len(keys) == 1 else None
         tables.rebuild(incoming, name, cfg.tables_root, key, _width(cfg, incoming, key))
         return read_table(spark, name)
     since, own = tables.version(spark, name), tables.ranges_of(spark, name)
@@ -60,15 +60,23 @@ def _write_keyed(spark, cfg, name, incoming, keys, combine) -> DataFrame:
         raise ValueError(f"{name} is cut by {own[1]} values of {own[0]}, not by {cfg.range_width}")
     # The batch feeds both the anti-join and the union, so it is computed once and read twice.
     with tables.staged(incoming, cfg.staging_root) as batch:
-        if own is not None:
+        if own is not None and _same(tables.key_names(own[0]), keys):
             tables.upsert_ranges(batch, name, cfg.tables_root, combine, since)
         else:
-            tables.publish(combine(spark.table(name), batch, keys), name, cfg.tables_root, since=since)
+            # In one piece, or cut by another key: read whole. The first write under settings that
+            # ask for ranges cuts a table that has none.
+            width = _width(cfg, spark.table(name), key) if own is None else None
+            merged = combine(read_table(spark, name), batch, keys)
+            tables.publish(merged, name, cfg.tables_root, since=since, key=key, width=width)
     return read_table(spark, name)
 
 
-def _width(cfg: Config, first: DataFrame, key: str | None) -> int | None:
-    if cfg.range_width is None and cfg.range_rows is not None and key is not None:
+def _same(names: Sequence[str], others: Sequence[str]) -> bool:
+    return {n.lower() for n in names} == {n.lower() for n in others}
+
+
+def _width(cfg: Config, first: DataFrame, key: tables.Key) -> int | None:
+    if cfg.range_width is None and cfg.range_rows is not None:
         return tables.width_for(first, key, cfg.range_rows)
     return cfg.range_width
 

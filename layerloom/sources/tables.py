@@ -18,14 +18,19 @@ import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
+from functools import reduce
+from operator import and_
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerloom.sources.files import read_entity
 
+# One column or several.
+Key = str | Sequence[str]
+
 
 def exists(spark: SparkSession, name: str) -> bool:
     """Whether the catalog knows ``name``; other errors are not taken for absence."""
@@ -51,25 +56,30 @@ def create(df: DataFrame, name: str, root: str) -> None:
     _commit(spark, name, root, 0, {"do": "attach", **_plain(df, _write_version(df, name, root))})
 
 
-def publish(df: DataFrame, name: str, root: str, widen: bool = False, since: int | None = None) -> None:
+def publish(
+    df: DataFrame, name: str, root: str, widen: bool = False, since: int | None = None,
+    key: Key | None = None, width: int | None = None,
+) -> None:
     """Create ``name`` or replace all its rows; ``df`` may read ``name``.
 
     The table keeps its columns, their order, their types and its ranges; columns new in ``df`` are
     added at its end. A ``df`` that lacks a column, or has one in a type that does not fit into the
     table's, is refused. ``widen`` lets a column of the table grow to a larger type of its kind.
     ``since`` is the ``version`` that ``df`` was planned against, if that is older than this call.
+    ``key`` and ``width`` cut a table by ranges that is in one piece so far.
 
     With added columns the catalog takes two statements; a reader between them sees the new columns
     as null.
     """
     spark = df.sparkSession
     if not exists(spark, name):
-        rebuild(df, name, root)
+        rebuild(df, name, root, key, width)
         return
     since = version(spark, name) if since is None else since
     shaped, added, grown = _shaped(df, name, widen)
-    if grown or ranges_of(spark, name):
-        rebuild(shaped, name, root, since=since)
+    own = ranges_of(spark, name)
+    if grown or own or _agreed(name, own, key, width):
+        rebuild(shaped, name, root, None if own else key, None if own else width, since)
     else:
         location = _write_version(shaped, name, root)
         _commit(spark, name, root, since, {"do": "point", "location": location, "added": added})
@@ -99,7 +109,7 @@ def _fits(small: str, large: str) -> bool:
 
 
 def rebuild(
-    df: DataFrame, name: str, root: str, key: str | None = None, width: int | None = None, since: int | None = None
+    df: DataFrame, name: str, root: str, key: Key | None = None, width: int | None = None, since: int | None = None
 ) -> None:
     """Create ``name`` or replace it together with its columns and their order.
 
@@ -140,6 +150,8 @@ def _rename(spark: SparkSession, name: str, to: str) -> None:
 # --- commits -------------------------------------------------------------------------------------
 
 VERSION, KEY, WIDTH = "layerloom.version", "layerloom.range.key", "layerloom.range.width"
+# In place of KEY for a key of several columns: their names as JSON.
+KEYS = "layerloom.range.keys"
 
 
 class Moved(RuntimeError):
@@ -351,7 +363,8 @@ def _attach(spark: SparkSession, name: str, made: Mapping, number: int) -> None:
     by = ""
     if "key" in made:
         columns.append(f"{RANGE} BIGINT")
-        properties |= {KEY: made["key"], WIDTH: made["width"]}
+        named = {KEY: made["key"]} if isinstance(made["key"], str) else {KEYS: json.dumps(made["key"])}
+        properties |= {**named, WIDTH: made["width"]}
         by = f"PARTITIONED BY ({RANGE}) "
     pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
     spark.sql(
@@ -387,12 +400,45 @@ def drop(spark: SparkSession, names: Sequence[str]) -> None:
 
 # --- tables cut by ranges of their key ------------------------------------------------------------
 
-# The partition column: the whole part of key / width; null for null keys.
+# The partition column: the whole part of place / width; null for null keys.
 RANGE = "key_range"
 
 
-def _ranged(df: DataFrame, key: str, width: int) -> DataFrame:
-    return df.withColumn(RANGE, F.floor(F.col(key) / F.lit(width)).cast("long"))
+def key_names(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def place(df: DataFrame, key: Key) -> Column:
+    """The number that says in which range a row lies: equal keys have equal places.
+
+    Whole numbers and decimals are their own place, dates the day and timestamps the second since
+    1970, so keys that come together lie together. Any other type, and a key of several columns, is
+    placed by a hash from 0 to 2^31 - 1, evenly and without an order. A key with a null has none.
+    Nested columns are refused.
+    """
+    names = key_names(key)
+    kinds = [f.dataType for f in df.select(*names).schema]
+    nested = [n for n, t in zip(names, kinds) if not isinstance(t, T.AtomicType)]
+    if nested:
+        raise ValueError(f"no ranges over the nested columns {', '.join(nested)}")
+    columns, kind = [_one_zero(F.col(n), t) for n, t in zip(names, kinds)], kinds[0]
+    if len(names) == 1 and isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return columns[0]
+    if len(names) == 1 and isinstance(kind, T.DateType):
+        return F.unix_date(columns[0])
+    if len(names) == 1 and isinstance(kind, T.TimestampType):
+        return F.unix_seconds(columns[0])
+    whole = reduce(and_, (c.isNotNull() for c in columns))
+    return F.when(whole, F.shiftrightunsigned(F.xxhash64(*columns), 33))
+
+
+def _one_zero(column: Column, kind: T.DataType) -> Column:
+    # Joins take -0.0 for 0.0, hashes do not.
+    return F.when(column == 0, F.lit(0).cast(kind)).otherwise(column) if isinstance(kind, T.FractionalType) else column
+
+
+def _ranged(df: DataFrame, key: Key, width: int) -> DataFrame:
+    return df.withColumn(RANGE, F.floor(place(df, key) / F.lit(width)).cast("long"))
 
 
 def _write_ranges(df: DataFrame, name: str, root: str) -> str:
@@ -401,9 +447,11 @@ def _write_ranges(df: DataFrame, name: str, root: str) -> str:
     return location
 
 
-def ranges_of(spark: SparkSession, name: str) -> tuple[str, int] | None:
+def ranges_of(spark: SparkSession, name: str) -> tuple[Key, int] | None:
     """Key and width of a table that is cut by ranges; they are the table's own for good."""
     found = _properties(spark, name)
+    if KEYS in found:
+        return tuple(json.loads(found[KEYS])), int(found[WIDTH])
     return (found[KEY], int(found[WIDTH])) if KEY in found else None
 
 
@@ -412,8 +460,8 @@ def _unranged(spark: SparkSession, name: str) -> DataFrame:
 
 
 def _agreed(
-    name: str, own: tuple[str, int] | None, key: str | None, width: int | None
-) -> tuple[str, int] | None:
+    name: str, own: tuple[Key, int] | None, key: Key | None, width: int | None
+) -> tuple[Key, int] | None:
     """The table's ranges, or those wanted for a table that has none."""
     if own is None:
         return (key, width) if key is not None and width is not None else None
@@ -422,13 +470,13 @@ def _agreed(
     return own
 
 
-def width_for(df: DataFrame, key: str, rows: int) -> int:
+def width_for(df: DataFrame, key: Key, rows: int) -> int:
     """The width at which ranges of ``key`` hold about ``rows`` rows, were keys spread evenly."""
-    k = F.col(key)
+    k = place(df, key)
     found = df.agg(F.count(k).alias("n"), F.min(k).alias("low"), F.max(k).alias("high")).first()
     if not found["n"]:
         return rows
-    return max(1, -(-(found["high"] - found["low"] + 1) * rows // found["n"]))
+    return max(1, int(-(-(found["high"] - found["low"] + 1) * rows // found["n"])))
 
 
 def _partitions(spark: SparkSession, name: str):
@@ -478,9 +526,9 @@ def _repoint(spark: SparkSession, name: str, location: str, touched: Sequence[st
     spark.catalog.refreshTable(name)
 
 
-def create_ranges(df: DataFrame, name: str, root: str, key: str, width: int) -> None:
-    """Create ``name`` as a table that is partitioned by ranges of ``width`` values of ``key``, a
-    whole number; both are kept with the table."""
+def create_ranges(df: DataFrame, name: str, root: str, key: Key, width: int) -> None:
+    """Create ``name`` as a table that is partitioned by ranges of ``width`` places of ``key``; both
+    are kept with the table."""
     spark = df.sparkSession
     if exists(spark, name):
         raise ValueError(f"table {name} already exists")
@@ -502,8 +550,12 @@ def upsert_ranges(
     spark = batch.sparkSession
     since = version(spark, name) if since is None else since
     key, width = ranges_of(spark, name)
+    names = key_names(key)
+    # A hash depends on the type, and a batch may come with a smaller one.
+    of, held = _columns(batch.select(*names)), _columns(spark.table(name).select(*names))
+    alike = batch.select(*(F.col(n).cast(t) if _fits(of[b], t) else F.col(n) for (n, t), b in zip(held.items(), of)))
     # As many rows as there are ranges: the catalog has an entry for each.
-    touched = [r[0] for r in _ranged(batch, key, width).select(RANGE).distinct().collect()]
+    touched = [r[0] for r in _ranged(alike.toDF(*held), key, width).select(RANGE).distinct().collect()]
     if not touched:
         return
     column = F.col(RANGE)
@@ -511,7 +563,7 @@ def upsert_ranges(
     if None in touched:
         inside = inside | column.isNull()
     existing = spark.table(name).where(inside).drop(RANGE)
-    merged, added, grown = _shaped(combine(existing, batch, [key]), name)
+    merged, added, grown = _shaped(combine(existing, batch, names), name)
     location = _write_ranges(_ranged(merged, key, width), name, root)
     values = [_NO_KEY if t is None else str(t) for t in touched]
     _commit(spark, name, root, since, {"do": "ranges", "location": location, "added": added, "touched": values})
