@@ -9,7 +9,8 @@ from contextlib import contextmanager
 from functools import cache
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerloom.config import shared_folder
 from layerloom.sources import tables
@@ -67,3 +68,29 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bit_map(hashes: DataFrame, longs_bits: int) -> DataFrame:
+    """One row, ``map``: 2**``longs_bits`` longs with the bits of all ``hashes`` (one column of 64-bit
+    values). Its size does not depend on the number of hashes."""
+    hashed = F.col(hashes.columns[0])
+    set_bits = hashes.select(_slot(hashed, longs_bits).alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), _bit(hashed)).alias("bits"))
+    every = hashes.sparkSession.range(1 << longs_bits).select(F.col("id").cast("int").alias("slot"), F.lit(0).cast("long").alias("bits"))
+    slots = set_bits.unionAll(every).groupBy("slot").agg(F.bit_or("bits").alias("bits"))
+    ordered = F.sort_array(F.collect_list(F.struct("slot", "bits")))
+    return slots.agg(F.transform(ordered, lambda s: s["bits"]).alias("map"))
+
+
+def in_bit_map(made: DataFrame, hashed: Column, longs_bits: int) -> Column:
+    """Whether the bit of ``hashed`` is set in ``made`` by ``bit_map``: always for its hashes, by chance
+    for others. Null for a null."""
+    held = F.get(made.scalar(), _slot(hashed, longs_bits))
+    return F.call_function("shiftrightunsigned", held, _bit(hashed)).bitwiseAND(F.lit(1)) == 1
+
+
+def _slot(hashed: Column, longs_bits: int) -> Column:
+    return F.shiftrightunsigned(hashed, 64 - longs_bits).cast("int")
+
+
+def _bit(hashed: Column) -> Column:
+    return hashed.bitwiseAND(F.lit(63)).cast("int")

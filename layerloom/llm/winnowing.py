@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerloom.llm.common import stage
+from layerloom.llm.common import bit_map, in_bit_map, stage
 
 WINDOW = 10
 KGRAM = 5
@@ -67,14 +67,6 @@ def _fingerprints(df: DataFrame, length: int, kgram: int) -> DataFrame:
     return out.withColumn("prints", F.when(whole > 0, F.slice("prints", 1, whole)))
 
 
-def _slot(fingerprint: Column) -> Column:
-    return F.shiftrightunsigned(fingerprint, 64 - _LONGS_BITS).cast("int")
-
-
-def _bit(fingerprint: Column) -> Column:
-    return fingerprint.bitwiseAND(F.lit(63)).cast("int")
-
-
 _PLACED = "array<struct<length:int,start:int,print:bigint>>"
 
 
@@ -113,15 +105,6 @@ def item_windows(
     return whole.distinct()
 
 
-def _print_map(windows: DataFrame) -> DataFrame:
-    """One row, ``map``: 65,536 longs with the bits of all fingerprints."""
-    set_bits = windows.select(_slot(F.col("print")).alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), _bit(F.col("print"))).alias("bits"))
-    every = windows.sparkSession.range(1 << _LONGS_BITS).select(F.col("id").cast("int").alias("slot"), F.lit(0).cast("long").alias("bits"))
-    slots = set_bits.unionAll(every).groupBy("slot").agg(F.bit_or("bits").alias("bits"))
-    ordered = F.sort_array(F.collect_list(F.struct("slot", "bits")))
-    return slots.agg(F.transform(ordered, lambda s: s["bits"]).alias("map"))
-
-
 def _read(docs: DataFrame, id_col: str, text_col: str, lengths: list[int], windows: DataFrame, kgram: int) -> DataFrame:
     """A row per document (``is_doc``) with its id, the two parts of its text's name and ``n_words``,
     and rows for those of its windows that may be an item's (``likely``). One pass, no shuffle."""
@@ -145,8 +128,7 @@ def _read(docs: DataFrame, id_col: str, text_col: str, lengths: list[int], windo
     every = F.concat(F.array().cast(_PLACED), *(f"placed_{length}" for length in lengths))
     out = out.select("doc_id", "name", "name2", "n_words", "hashes", F.posexplode_outer(every).alias("at", "w"))
     out = out.select("doc_id", "name", "name2", "n_words", "hashes", "at", "w.*")
-    held = F.get(_print_map(windows).scalar(), _slot(F.col("print")))
-    hit = F.call_function("shiftrightunsigned", held, _bit(F.col("print"))).bitwiseAND(F.lit(1)) == 1
+    hit = in_bit_map(bit_map(windows.select("print"), _LONGS_BITS), F.col("print"), _LONGS_BITS)
     is_doc, likely = F.coalesce(F.col("at") == 0, F.lit(True)), F.coalesce(hit, F.lit(False))
     kept = out.where(is_doc | likely).withColumns({"is_doc": is_doc, "likely": likely})
     first, second = (F.when(F.col("likely"), h) for h in _window(F.col("length"), F.col("start")))

@@ -1,5 +1,8 @@
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from layerloom.llm import registry, toxicity
 from layerloom.llm.common import stage
@@ -85,3 +88,52 @@ def test_different_texts_of_one_id_stay(spark, documents):
     rows = [(7, one, "en", "s", 1), (7, one, "en", "s", 1), (7, two, "en", "s", 1), (8, one + " z", "en", "s", 1)]
     kept = cp.near_duplicates(spark, spark.createDataFrame(rows, documents.schema), SF)
     assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(7, one), (7, two)]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _texts_moved(df):
+    """Rows with a text that shuffles of the finished query wrote."""
+    found, nodes = 0, [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec" and " text#" in f" {node.output().mkString(' ')}":
+                found += node.metrics().apply("shuffleRecordsWritten").value()
+            children = node.children()
+            nodes += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def test_texts_that_stay_are_not_moved(spark, documents, no_broadcast):
+    """However many keys are rejected, only their rows meet them in a join."""
+    rows = [(k, f"text {k}", "en", "s", 1) for k in range(4000)]
+    rows += [(None, "gone", None, None, None), (None, "stays", None, None, None), (7, None, None, "s", None)]
+    rows += [(11, "text 10", None, "s", 1), (12, "stays", None, "s", 1), (20, "text 20", "en", "s", 1)]
+    docs = stage(spark.createDataFrame(rows, documents.schema))
+    bad = (F.col("doc_id") % 10 == 0) | (F.col("text") == "gone") | F.col("text").isNull()
+    kept = cp._without(docs, cp._keyed(docs).where(F.coalesce(bad, F.lit(False))))
+    assert kept.columns == docs.columns
+    gone = lambda r: r[1] in (None, "gone") or (r[0] is not None and r[0] % 10 == 0)
+    plain = lambda found: sorted((tuple(r) for r in found), key=repr)
+    assert plain(kept.collect()) == plain(r for r in rows if not gone(r))
+    assert 403 <= _texts_moved(kept) < 450
+
+
+def test_a_full_map_of_rejected_keys_loses_nothing(spark, documents, no_broadcast, monkeypatch):
+    monkeypatch.setattr(cp, "MAP_BITS", 1)
+    docs = stage(spark.createDataFrame([(k, f"text {k}", "en", "s", 1) for k in range(4000)], documents.schema))
+    kept = cp._without(docs, cp._keyed(docs).where("doc_id % 2 = 0"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(1, 4000, 2))
+    assert _texts_moved(kept) == 4000
