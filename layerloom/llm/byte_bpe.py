@@ -3,9 +3,10 @@
 A text is cut where a space stands between two characters that are no white space. A byte-level
 pre-tokeniser always ends one piece before such a space and begins the next with it, so the chunks
 encode independently and a chunk that was seen before need not be encoded again. Arrow cuts the
-texts of a batch and finds the distinct chunks; the library encodes those met for the first time,
-many to a call. Texts that cannot be cut this way, and all texts under any other tokeniser set-up,
-are encoded whole.
+texts of a batch, finds the distinct chunks, cuts those again where a run of letters meets a sign or
+a line begins, and looks up the pieces; the library encodes those met for the first time, many to a
+call. Texts that cannot be cut this way, and all texts under any other tokeniser set-up, are encoded
+whole.
 
 An empty or null text has no ids. Special tokens' strings are read as the library does by default.
 """
@@ -23,8 +24,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 0
-# Chunks that a worker keeps. Changes time and memory, never results.
+# Pieces that a worker keeps, if they have at most so many bytes. Changes time and memory, never results.
 KEEP = 700_000
+_LONGEST = 256
 # Bytes of text handled at once; a longer text is handled alone.
 BATCH_BYTES = 8 << 20
 _JOIN = 256
@@ -34,12 +36,16 @@ _SPACES = frozenset(chr(c) for c in range(0x3100) if chr(c).isspace()) | frozens
     map(chr, (0x00, 0x180E, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF))
 )
 
-
-def _odd(chunk: str) -> bool:
-    """Whether the text must not be cut before or after this chunk."""
-    if not chunk:
-        return False
-    return chunk[-1] in _SPACES or chunk[0] == " " and chunk[1] in _SPACES
+_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(_SPACES)) + "]"
+# Chunks before or after which the text must not be cut.
+_ODD = f"{_CLASS}$|^ {_CLASS}"
+# A run of letters ends before a sign, and either ends before a line feed. These are letters by any
+# version of Unicode.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_SIGNS = ".,;:!?#$%&*"
+_CUTS = (f"([{_LETTERS}])([{_SIGNS}])", f"([{_LETTERS}{_SIGNS}])(\n)")
+# Pieces whose first token alone begins with a space or a line feed.
+_HEADED = "^[ \n][^ \n]*$"
 
 
 @cache
@@ -92,6 +98,36 @@ class Memo(dict):
         return found
 
 
+class Codes:
+    """As ``Memo``, in Arrow arrays and for whole arrays of keys."""
+
+    def __init__(self, size: int):
+        self.half, self.young = size // 2, 0
+        # The young ones first.
+        self.keys, self.values = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def look_up(self, keys: pa.Array) -> pa.Array:
+        """Values of ``keys``, null where there is none."""
+        if self.young > self.half:
+            self.keys, self.values, self.young = self.keys[: self.young], self.values[: self.young], 0
+        at = pc.index_in(keys, value_set=self.keys)
+        found = self.values.take(at)
+        again = pc.greater_equal(at, self.young)
+        self.add(keys.filter(again), found.filter(again))
+        return found
+
+    def add(self, keys: pa.Array, values: pa.Array) -> None:
+        self.keys = pa.concat_arrays([keys, self.keys])
+        self.values = pa.concat_arrays([values, self.values])
+        self.young += len(keys)
+
+
+def _binary(ends: np.ndarray, flat: np.ndarray, width: int) -> pa.Array:
+    """The bytes of ``flat`` from each of ``ends``, counted in ``width`` bytes, to the next."""
+    offsets = pa.py_buffer(ends.astype(np.int64) * width)
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, offsets, pa.py_buffer(flat)])
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str, spans: bool = False, keep: int = KEEP) -> Encoder:
     return Encoder(path, spans, keep)
@@ -109,70 +145,98 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         setup = json.loads(self.tokenizer.to_str())
         pre = setup.get("pre_tokenizer") or {}
+        added = setup.get("added_tokens") or []
+        apart = set(" \n\u0120\u010a" + _SIGNS)
         self.local = (
             not setup.get("normalizer")
+            and not any(t["lstrip"] or t["rstrip"] or apart & set(t["content"]) for t in added)
             and pre.get("type") == "ByteLevel"
             and not pre.get("add_prefix_space")
             and pre.get("use_regex", True)
         )
         self.with_spans = spans
         self.vocab_size = self.tokenizer.get_vocab_size()
-        self.known = Memo(keep)
-        # A character no piece of the vocabulary holds with others: its id parts joined chunks.
-        mark = self.tokenizer.encode(_CUT, add_special_tokens=False)
-        alone = len(mark.ids) == 1 and sum(mark.tokens[0] in t for t in self.tokenizer.get_vocab()) == 1
-        self.mark = mark.ids[0] if alone else None
+        self.known = Codes(keep)
+        self.width = 8 if spans else 4
+        # Tokens that begin with a space or a line feed.
+        vocab = self.tokenizer.get_vocab()
+        self.heads = np.zeros(1 + max(vocab.values(), default=0), bool)
+        self.heads[[k for t, k in vocab.items() if t.startswith(("\u0120", "\u010a"))]] = True
 
     def _whole(self, texts: Sequence[str]) -> list[bytes]:
         run = self.tokenizer.encode_batch if self.with_spans else self.tokenizer.encode_batch_fast
         found = run(list(texts), add_special_tokens=False)
         return [np.asarray(e.offsets if self.with_spans else e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode ``new``. A full stop or comma after a letter is a piece of its own, so a word need
-        not be encoded once more for it."""
-        known, old = self.known, self.known.old
-        tailed = {c for c in new if c[-1:] in (".", ",") and c[-2:-1].isalpha()}
-        stems = {c[:-1] for c in tailed}
-        self._encode(list(stems.union(new).difference(tailed, known, old)))
-        end = dict(zip(".,", self._whole(".,")))
-        for c in tailed:
-            tail = np.array([len(c) - 1, len(c)], "<u4").tobytes() if self.with_spans else end[c[-1]]
-            stem = known.get(c[:-1])
-            known[c] = (old[c[:-1]] if stem is None else stem) + tail
-
-    def _encode(self, new: list[str]) -> None:
-        single = [c for c in new if c[:1] != " "]
-        self.known.update(zip(single, self._whole(single)))
-        follow = [c for c in new if c[:1] == " "]
-        groups = [follow[i : i + _JOIN] for i in range(0, len(follow), _JOIN)]
-        if self.mark is None or self.with_spans:
-            self._learn_by_offsets(groups)
-            return
-        texts = [_CUT.join(g) + _CUT for g in groups]
-        for group, encoded in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.asarray(encoded.ids, dtype="<u4")
-            flat, at = ids.tobytes(), 0
-            for chunk, end in zip(group, (np.flatnonzero(ids == self.mark) * 4).tolist()):
-                self.known[chunk] = flat[at:end]
-                at = end + 4
-
-    def _learn_by_offsets(self, groups: list[list[str]]) -> None:
-        for group in groups:
-            (encoded,) = self.tokenizer.encode_batch(["".join(group)], add_special_tokens=False)
+    def _encode(self, new: pa.Array) -> pa.Array:
+        """Values of ``new`` pieces."""
+        headed = pc.match_substring_regex(new, _HEADED)
+        follow, single = new.filter(headed), new.filter(pc.invert(headed))
+        many = self._by_offsets(follow) if self.with_spans else self._by_heads(follow)
+        if many is None:
+            many = pa.array(self._whole(follow.to_pylist()), pa.large_binary())
+        one = pa.array(self._whole(single.to_pylist()), pa.large_binary())
+        is_head = headed.to_numpy(zero_copy_only=False)
+        place = np.where(is_head, np.cumsum(is_head) - 1, len(follow) + np.cumsum(~is_head) - 1)
+        return pa.concat_arrays([many, one]).take(pa.array(place))
+
+    def _joined(self, follow: pa.Array) -> list[str]:
+        # Many times faster than to_pylist, which makes a scalar of each.
+        names = follow.to_numpy(zero_copy_only=False).tolist()
+        return ["".join(names[k : k + _JOIN]) for k in range(0, len(names), _JOIN)]
+
+    def _by_heads(self, follow: pa.Array) -> pa.Array | None:
+        """Each piece begins where a token begins with a space or a line feed. None if the
+        vocabulary has no such token for some."""
+        found = self.tokenizer.encode_batch_fast(self._joined(follow), add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, "<u4"), *(np.asarray(e.ids, "<u4") for e in found)])
+        starts = np.flatnonzero(self.heads[ids])
+        return _binary(np.append(starts, len(ids)), ids, 4) if len(starts) == len(follow) else None
+
+    def _by_offsets(self, follow: pa.Array) -> pa.Array:
+        """Spans of each piece, from the spans of many."""
+        ends, parts = [np.zeros(1, np.int64)], [np.zeros((0, 2), "<u4")]
+        for k, text in enumerate(self._joined(follow)):
+            (encoded,) = self.tokenizer.encode_batch([text], add_special_tokens=False)
             offsets = np.asarray(encoded.offsets, dtype=np.int64).reshape(-1, 2)
-            sizes = np.fromiter(map(len, group), np.int64, len(group))
+            sizes = pc.utf8_length(follow[k * _JOIN : (k + 1) * _JOIN]).to_numpy()
             starts = np.cumsum(sizes) - sizes
             owner = np.searchsorted(starts, offsets[:, 0], "right") - 1
-            ends = np.cumsum(np.bincount(owner, minlength=len(group)))
-            if self.with_spans:
-                flat, width = (offsets - starts[owner, None]).astype("<u4").tobytes(), 8
-            else:
-                flat, width = np.asarray(encoded.ids, dtype="<u4").tobytes(), 4
-            at = 0
-            for chunk, end in zip(group, (ends * width).tolist()):
-                self.known[chunk] = flat[at:end]
-                at = end
+            ends.append(ends[-1][-1] + np.cumsum(np.bincount(owner, minlength=len(sizes))))
+            parts.append((offsets - starts[owner, None]).astype("<u4"))
+        return _binary(np.concatenate(ends), np.concatenate(parts), 8)
+
+    def _values(self, names: pa.Array) -> pa.Array:
+        """Values of distinct chunks, each from the values of its pieces."""
+        for between in _CUTS:
+            names = pc.replace_substring_regex(names, between, f"\\1{_CUT}\\2")
+        cut = pc.split_pattern(names, _CUT)
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary
+        values = self.known.look_up(pieces)
+        if values.null_count:
+            new = pieces.filter(values.is_null())
+            learned = self._encode(new)
+            values = pc.replace_with_mask(values, values.is_null(), learned)
+            short = pc.less_equal(pc.binary_length(new), _LONGEST)
+            self.known.add(new.filter(short), learned.filter(short))
+        ends, flat = self._end_to_end(pieces, values, coded.indices, cut.offsets.to_numpy())
+        return _binary(ends, flat.astype("<u4"), self.width)
+
+    def _end_to_end(self, names: pa.Array, values: pa.Array, places: pa.Array, edges: np.ndarray):
+        """The values of the ``places`` of ``names``, one after another, and how many of them there
+        are before each of ``edges``. Spans count from the edge before them."""
+        flat = np.frombuffer(values.take(places).buffers()[2] or b"", "<u4")
+        places = places.to_numpy()
+        counts = (pc.binary_length(values).to_numpy() // self.width)[places]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        if self.with_spans:
+            sizes = pc.utf8_length(names).to_numpy().astype(np.int64)[places]
+            base = np.cumsum(sizes) - sizes
+            owner_base = np.repeat(np.append(base, 0)[np.minimum(edges[:-1], len(base))], np.diff(edges))
+            flat = flat[: 2 * ends[-1]].astype(np.int64).reshape(-1, 2)
+            flat = flat + np.repeat(base - owner_base, counts)[:, None]
+        return ends[edges], flat
 
     def _batch(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts, "")
@@ -183,33 +247,14 @@ class Encoder:
         chunks = pc.split_pattern(marked, _CUT)
         edges = chunks.offsets.to_numpy().astype(np.int64)
         coded = chunks.flatten().dictionary_encode()
-        # Many times faster than to_pylist, which makes a scalar of each.
-        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        places = coded.indices.to_numpy()
-        packed = self.known.look_up(names)
-        fresh = [c for c, p in zip(names, packed) if p is None]
-        odd = {c for c in fresh if _odd(c)}
-        if fresh:
-            self._learn([c for c in fresh if c not in odd] if odd else fresh)
-            get = self.known.get
-            packed = [get(c, b"") if p is None else p for c, p in zip(names, packed)]
-        if odd:
+        names = coded.dictionary.cast(pa.large_string())
+        odd = pc.match_substring_regex(names, _ODD)
+        if pc.any(odd).as_py():
             # Count of odd chunks in each text: those are encoded whole.
-            is_odd = np.fromiter((c in odd for c in names), bool, len(names))
-            before = np.concatenate([[0], np.cumsum(is_odd[places])])
+            before = np.concatenate([[0], np.cumsum(odd.to_numpy(zero_copy_only=False)[coded.indices.to_numpy()])])
             alone = alone | (before[edges[1:]] > before[edges[:-1]])
-        width = 8 if self.with_spans else 4
-        tokens = np.fromiter(map(len, packed), np.int64, len(packed)) // width
-        flat = np.frombuffer(pa.array(packed, pa.large_binary()).take(coded.indices).buffers()[2] or b"", "<u4")
-        counts = tokens[places]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        if self.with_spans:
-            sizes = pc.utf8_length(coded.dictionary).to_numpy().astype(np.int64)[places]
-            base = np.cumsum(sizes) - sizes
-            text_base = np.repeat(np.append(base, 0)[np.minimum(edges[:-1], len(base))], np.diff(edges))
-            flat = flat[: 2 * ends[-1]].astype(np.int64).reshape(-1, 2)
-            flat = flat + np.repeat(base - text_base, counts)[:, None]
-        cut = ends[edges]
+            names = pc.if_else(odd, pa.scalar("", names.type), names)
+        cut, flat = self._end_to_end(names, self._values(names), coded.indices, edges)
         out = [flat[a:b] for a, b in zip(cut[:-1], cut[1:])]
         whole = np.flatnonzero(alone)
         again = self._finish(self._whole(texts.take(pa.array(whole)).to_pylist())) if len(whole) else []
