@@ -15,8 +15,11 @@ brought together are then compared in blocks, by bitmaps within the tasks, so ev
 different components is found while no list is expanded into pairs.
 
 Documents with equal sets are one node from the start. Frequencies are exact counts over all
-documents; the ``FREQUENT`` most frequent tokens form the broadcast table, and a frequent token
-beyond them is only treated as rare, which changes work and not results.
+documents; the ``FREQUENT`` most frequent tokens form the broadcast table with their counts. Those
+beyond them are frequent as well, or else their lists would chain unrelated documents into one
+cluster: they are told from rare ones by a map of bytes, which holds their levels of frequency. Its
+size is bounded. A rare token may hit a byte of another and then counts as frequent, in all
+documents alike, which changes work and not results.
 
 Defined cases: null and empty texts have no token and link with nothing; a document with fewer words
 than a shingle has its whole word sequence as one token; equal rows are one node; a null id is
@@ -36,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.llm.byte_bpe import slices
-from layerloom.llm.common import shuffle_partitions, stage
+from layerloom.llm.common import bit_map, in_bit_map, shuffle_partitions, stage
 from layerloom.llm.components import components
 
 # Defaults of ``words`` and ``percent``, those of op6's contract. Two documents link when
@@ -46,6 +49,13 @@ PERCENT = 85
 # A token of more documents is frequent; lists up to this length give all pairs.
 RARE = 10
 FREQUENT = 1 << 19
+# The map of the frequent tokens beyond: 2^LEVEL_BITS bytes at most, in slices of 2^SLICE_BITS.
+LEVEL_BITS = 25
+SLICE_BITS = 16
+# Bytes for each token in it, while there are few.
+SPARSE = 8
+# The map of documents to verify: 2^18 longs, 2 MB. A fuller one lets more texts move.
+MAP_BITS = 18
 # Documents in a block of a long list's cluster.
 BLOCK = 256
 # Smallest size for which frequent tokens are paired.
@@ -53,6 +63,7 @@ PAIRED = 20
 # Tokens of a prefix in one class of frequent tokens, about.
 CLASS = 4
 _K = np.uint64(0x9E3779B97F4A7C15)
+NO_LEVELS = np.zeros(0, np.uint8)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -157,11 +168,12 @@ def measure(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, digest binary, bits binary")
 
 
-def frequent_tokens(docs: DataFrame, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, int]:
+def frequent_tokens(docs: DataFrame, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
     """The most frequent tokens, as fingerprints in order, with their numbers of documents.
 
     Tokens are counted within a part of a task, then by ranges of their values; what moves is 4
-    bytes per token. Returns also the shift from token to fingerprint.
+    bytes per token. Returns also the shift from token to fingerprint, and the map of the levels of
+    all other frequent tokens, by the first bits of the token; it is empty if there are none.
     """
     power = max(6, (8 * shuffle_partitions(docs.sparkSession) - 1).bit_length())
     shift = np.uint64(32 - power)
@@ -204,7 +216,30 @@ def frequent_tokens(docs: DataFrame, words: int = WORDS) -> tuple[np.ndarray, np
             break
         lowest = level
     top = counted.where(F.col("level") >= lowest).toPandas().sort_values("mark")
-    return top["mark"].to_numpy(np.uint64), top["n"].to_numpy(np.int64), int(shift)
+    beyond = sum(n for level, n in sizes.items() if level < lowest)
+    levels = _level_map(counted.where(F.col("level") < lowest), beyond, 64 - int(shift))
+    return top["mark"].to_numpy(np.uint64), top["n"].to_numpy(np.int64), int(shift), levels
+
+
+def _level_map(counted: DataFrame, size: int, mark_bits: int) -> np.ndarray:
+    """Levels of ``size`` tokens by the first bits of their ``mark``; 0: no token. Where several meet,
+    the highest level holds. Slices are filled inside tasks; the driver only puts them together."""
+    if not size:
+        return np.zeros(0, np.uint8)
+    bits = min(LEVEL_BITS, (SPARSE * size - 1).bit_length())
+    slice_bits = min(SLICE_BITS, bits)
+
+    def fill(table: pa.Table) -> pa.Table:
+        held = np.zeros(1 << slice_bits, np.uint8)
+        at = (table["mark"].to_numpy() >> (mark_bits - bits)) & ((1 << slice_bits) - 1)
+        np.maximum.at(held, at, np.minimum(table["level"].to_numpy(), 255).astype(np.uint8))
+        return pa.table({"slice": table["slice"][:1], "held": pa.array([held.tobytes()], pa.binary())})
+
+    sliced = counted.select("mark", "level", F.shiftright("mark", mark_bits - bits + slice_bits).cast("int").alias("slice"))
+    levels = np.zeros((1 << (bits - slice_bits), 1 << slice_bits), np.uint8)
+    for r in sliced.groupBy("slice").applyInArrow(fill, "slice int, held binary").toLocalIterator():
+        levels[r["slice"]] = np.frombuffer(r["held"], np.uint8)
+    return levels.reshape(-1)
 
 
 def _band(n: int, percent: int) -> int:
@@ -219,18 +254,30 @@ def _classes(band: int, percent: int) -> int:
 
 
 def signatures(
-    tokens: np.ndarray, marks: np.ndarray, counts: np.ndarray, shift: int, percent: int = PERCENT
+    tokens: np.ndarray,
+    marks: np.ndarray,
+    counts: np.ndarray,
+    shift: int,
+    percent: int = PERCENT,
+    levels: np.ndarray = NO_LEVELS,
 ) -> np.ndarray:
-    """Signatures of one set (sorted tokens)."""
+    """Signatures of one set (sorted tokens). ``levels``: of frequent tokens that are not in ``marks``;
+    they come before those in it."""
     n = len(tokens)
     need = n - -(-percent * n // 100) + 1
     mark = tokens >> np.uint64(shift)
     at = np.minimum(np.searchsorted(marks, mark), max(0, len(marks) - 1))
     common = marks[at] == mark if len(marks) else np.zeros(n, bool)
+    # Places in the order of frequent tokens; 0: rare. Counts come after all levels.
+    place = np.zeros(n, np.int64)
+    if len(levels):
+        place += levels[tokens >> np.uint64(65 - len(levels).bit_length())]
+    place[common] = counts[at[common]] + 256
+    common = place > 0
     rare = tokens[~common]
     if len(rare) >= need:
         return rare[:need]
-    frequent = tokens[common][np.lexsort((tokens[common], counts[at[common]]))]
+    frequent = tokens[common][np.lexsort((tokens[common], place[common]))]
     need -= len(rare)
     out = [rare]
     for band in (_band(n, percent), _band(n, percent) + 1):
@@ -256,9 +303,9 @@ def _signed(docs: DataFrame, table, words: int, percent: int) -> DataFrame:
     """``doc_id`` and its ``sigs``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, counts, shift = table.value
+        marks, counts, shift, levels = table.value
         for ids, sets in _parts(batches, words):
-            sigs = [(signatures(s, marks, counts, shift, percent) if len(s) else s).view(np.int64) for s in sets]
+            sigs = [(signatures(s, marks, counts, shift, percent, levels) if len(s) else s).view(np.int64) for s in sets]
             yield pa.record_batch([ids, pa.array(sigs, pa.list_(pa.int64()))], names=["doc_id", "sigs"])
 
     return docs.mapInArrow(run, "doc_id long, sigs array<long>")
@@ -302,7 +349,8 @@ def _screen(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs whose token sets link. Only documents in ``pairs`` are read into sets again."""
+    """Pairs whose token sets link. Only documents in ``pairs`` are read into sets again, and only
+    texts that hit a map of their ids move."""
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, found in _parts(batches, words):
@@ -318,7 +366,10 @@ def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Data
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     asked = stage(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct())
-    found = stage(docs.join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).mapInArrow(sets, "node long, tokens binary"))
+    hashed = F.xxhash64("doc_id")
+    hit = in_bit_map(bit_map(asked.select(hashed), MAP_BITS), hashed, MAP_BITS)
+    met = docs.where(hit).join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    found = stage(met.mapInArrow(sets, "node long, tokens binary"))
     return _both(pairs, found).mapInArrow(run, "a long, b long").distinct()
 
 

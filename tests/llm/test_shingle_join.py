@@ -123,6 +123,63 @@ def test_linked_sets_share_a_signature(n, swaps, seed):
     assert shingle_join.may_link(len(x), shingle_join.bitmap(x), len(y), shingle_join.bitmap(y))
 
 
+def test_frequent_tokens_beyond_the_table(spark, monkeypatch):
+    """Passages of more tokens than the table holds chain no unrelated documents: there is no long list."""
+    monkeypatch.setattr(shingle_join, "FREQUENT", 4)
+    found = []
+    lists = shingle_join._lists
+
+    def spied(signed):
+        pairs, long = lists(signed)
+        found.append(long.count())
+        return pairs, long
+
+    monkeypatch.setattr(shingle_join, "_lists", spied)
+    draw = random.Random(3)
+    passages = [" ".join(f"p{p}x{k}" for k in range(7)) for p in range(30)]
+    rows = []
+    for d in range(300):
+        own = [f"d{d}x{k}" for k in range(50)]
+        rows.append((d, " ".join(own[:25] + draw.sample(passages, 2) + own[25:])))
+    rows += [(1000 + d, f"{t} end") for d, t in rows[::10]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(shingle_join.join(df)) == brute(rows)
+    assert found == [0]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 120), st.integers(0, 9), st.integers(2, 12), st.integers(0, 10_000))
+def test_linked_sets_share_a_signature_under_levels(n, swaps, bits, seed):
+    """Whatever the map of levels holds besides the table, also where rare tokens hit it."""
+    draw = np.random.default_rng(seed)
+    every = draw.integers(0, 1 << 63, 200, dtype=np.int64).astype(np.uint64) * np.uint64(2)
+    a, b = every[:n], np.concatenate([every[min(swaps, n) : n], every[150 : 150 + draw.integers(0, 9)]])
+    frequent = draw.permutation(every)[: draw.integers(0, 60)]
+    marks, at = np.unique(frequent >> np.uint64(22), return_index=True)
+    levels = (draw.integers(0, 256, 1 << bits) * (draw.random(1 << bits) < draw.random())).astype(np.uint8)
+    x, y = np.unique(a), np.unique(b)
+    common = len(np.intersect1d(x, y))
+    if not len(y) or 100 * common < 85 * (len(x) + len(y) - common):
+        return
+    counts = draw.integers(11, 50, 200)[at]
+    sigs = [set(shingle_join.signatures(s, marks, counts, 22, levels=levels).tolist()) for s in (x, y)]
+    assert sigs[0] & sigs[1]
+
+
+def test_level_map(spark, monkeypatch):
+    """Every token beyond the table has its level at its place, or a higher one of another."""
+    monkeypatch.setattr(shingle_join, "SLICE_BITS", 5)
+    draw = np.random.default_rng(1)
+    marks = np.unique(draw.integers(0, 1 << 40, 500))
+    level = draw.integers(55, 400, len(marks)).tolist()
+    df = spark.createDataFrame(list(zip(marks.tolist(), level)), "mark long, level int")
+    levels = shingle_join._level_map(df, len(marks), 40)
+    want = np.zeros(1 << 12, np.int64)
+    np.maximum.at(want, marks >> 28, np.minimum(level, 255))
+    assert levels.tolist() == want.tolist()
+    assert len(shingle_join._level_map(df.limit(0), 0, 40)) == 0
+
+
 def test_shingle_counts():
     texts = [None, "", "a", "A b\tC", "a b c d", "a b c d a b c d", "é É e E e", " a \x0b b\x0cc\r\nd e "]
     assert [len(s) for s in shingle_join.shingles(pa.array(texts, pa.string()))] == [len(tokens(t)) for t in texts]
