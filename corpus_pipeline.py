@@ -61,10 +61,15 @@ def near_duplicates(spark, docs, sf_dir):
     """Keep the document with the smallest id of each group of linked documents: those whose sets of
     five-word shingles have a similarity of 0.8 or more."""
     ship(spark)
-    joined = shingle_join.join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    first = stage(joined.where("doc_id = component_id").select("doc_id").distinct())
-    kept = _keyed(docs.join(first, "doc_id", "left_semi")).dropDuplicates([*_KEY]).drop("_text_hash")
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    joined = shingle_join.join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT).where("doc_id is not null")
+    ids = joined.groupBy("doc_id").agg(F.max(F.expr("doc_id = component_id")).alias("_first"), F.count("*").alias("_rows"))
+    # Ids that go and ids of several rows: only texts that hit a map of them are moved.
+    met = stage(ids.where("not _first or _rows > 1").select("doc_id", "_first"))
+    hashed = F.xxhash64(F.col("doc_id").cast("long"))
+    hit = in_bit_map(bit_map(met.select(hashed), MAP_BITS), hashed, MAP_BITS) & F.col("doc_id").isNotNull()
+    gone = met.where("not _first").select("doc_id")
+    kept = _keyed(docs.where(hit).join(gone, "doc_id", "left_anti")).dropDuplicates([*_KEY]).drop("_text_hash")
+    return docs.where(~hit).unionByName(kept.select(*docs.columns))
 
 
 def best_fit_packing(spark, docs, sf_dir):

@@ -137,3 +137,19 @@ def test_a_full_map_of_rejected_keys_loses_nothing(spark, documents, no_broadcas
     kept = cp._without(docs, cp._keyed(docs).where("doc_id % 2 = 0"))
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(1, 4000, 2))
     assert _texts_moved(kept) == 4000
+
+
+def test_near_duplicates_move_only_what_goes_or_repeats(spark, documents, no_broadcast, monkeypatch):
+    """Texts that stay are not moved; rows of one id are told apart by their texts, null ids stay."""
+    draw = random.Random(2)
+    texts = [" ".join(f"w{draw.randrange(10**6)}" for _ in range(30)) for _ in range(200)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(300 + k, texts[k]) for k in range(5)]
+    rows += [(7, texts[7]), (8, texts[8] + " end"), (None, texts[0]), (None, None), (400, ""), (400, texts[9])]
+    docs = spark.createDataFrame([(d, t, None, None, None) for d, t in rows], documents.schema)
+    moved, keyed = [], cp._keyed
+    monkeypatch.setattr(cp, "_keyed", lambda df: moved.append(df.count()) or keyed(df))
+    kept = sorted(((r["doc_id"], r["text"]) for r in cp.near_duplicates(spark, docs, SF).collect()), key=str)
+    # 7 came twice; of 400, which has a text that goes with 9, an empty one stays by itself.
+    want = set(rows) - {(300 + k, texts[k]) for k in range(5)}
+    assert kept == sorted([*want], key=str)
+    assert moved[0] < 20
